@@ -5,7 +5,7 @@ from __future__ import annotations
 SEED = 42
 VOCABULARY = 3000
 BATCH = 100
-ROWS_PER_SHARD = 50_000
+ROWS_PER_SHARD = 10_000
 SIZE = 32
 
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

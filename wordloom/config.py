@@ -10,7 +10,7 @@ class Limits:
     """Sizes below which a table may be broadcast. Beyond them every operator takes a shuffle path."""
 
     broadcast_rows: int = 2_000_000
-    broadcast_bytes: int = 64 * 1024 * 1024
+    broadcast_bytes: int = 128 * 1024 * 1024
     # A key is "hot" when it holds at least 1/hot_keys of the rows, so at most hot_keys keys are hot.
     hot_keys: int = 20_000
     hot_key_bytes: int = 256
@@ -34,7 +34,7 @@ class ModelConfig:
 
     # How training is spread. num_shards=None derives the count from the data, never from the cluster.
     num_shards: int | None = None
-    rows_per_shard: int = 50_000
+    rows_per_shard: int = 10_000
     max_shards: int = 4096
     block_width: int = 64
     dtype: str = "float32"

@@ -57,7 +57,7 @@ def token_vector(token: Column, size: int, seed: int) -> Column:
     """Gaussian vector of a token id, the same wherever the token occurs."""
     return F.transform(
         F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda d: draws.gauss(draws.key(seed, token, d)) * EMBEDDING_SCALE,
+        lambda d: let(draws.digest(seed, token, d), draws.gauss) * EMBEDDING_SCALE,
     )
 
 
@@ -67,15 +67,9 @@ def position_value(pos: Column, dim: Column, size: int) -> Column:
     return F.when(dim % 2 == 0, F.sin(angle)).otherwise(F.cos(angle))
 
 
-def embed_context(context: Column, size: int, seed: int) -> Column:
-    """One vector per position: token vector plus position values."""
-    dims = F.sequence(F.lit(0), F.lit(size - 1))
-    return F.transform(
-        context,
-        lambda token, pos: F.zip_with(
-            token_vector(token, size, seed), dims, lambda v, d: v + position_value(pos, d, size)
-        ),
-    )
+def position_vector(pos: int, size: int) -> Column:
+    """The values of one position: a constant."""
+    return F.array(*[position_value(F.lit(pos), F.lit(d), size) for d in range(size)])
 
 
 def self_attention(rows: Column, size: int) -> Column:

@@ -28,7 +28,7 @@ def partition_count(df: DataFrame) -> DataFrame:
 
 def split_train(lines: DataFrame, percent: int = 80, seed: int = 42) -> DataFrame:
     """Adds is_train from a hash of the line's key: the same lines under any partitioning."""
-    bucket = draws.hash32(draws.key(seed, F.col("doc_id"), F.col("line_no")), 1) % 100
+    bucket = draws.hash32(draws.digest(seed, F.col("doc_id"), F.col("line_no")), 1) % 100
     return lines.withColumn("is_train", bucket < percent)
 
 

@@ -32,7 +32,7 @@ def initial_model(spark: SparkSession, cfg: ModelConfig, sizes: list[int] | None
         if name == "weight":
             cols = F.lit(shape[1])
             i, j = F.floor(F.col("id") / cols), F.col("id") % cols
-            value = draws.gauss(draws.key(cfg.seed, F.lit(layer), i, j)) * float(np.sqrt(2.0 / sum(shape)))
+            value = draws.gauss(draws.digest(cfg.seed, F.lit(layer), i, j)) * float(np.sqrt(2.0 / sum(shape)))
         else:
             value = F.lit(0.0)
         parts.append(
@@ -56,34 +56,35 @@ def initial_model(spark: SparkSession, cfg: ModelConfig, sizes: list[int] | None
 
 def to_array(model: DataFrame, sizes: list[int]) -> np.ndarray:
     """The flat parameters of a model table. Their number is fixed by the configuration."""
-    tensors = layout(sizes)
-    expected = {(layer, name): list(shape) for layer, name, shape in tensors}
-    rows = model.select("layer", "name", "shape", "block_id", "values").collect()
-    blocks = {(r["layer"], r["name"], r["block_id"]): r for r in rows}
-    if {(layer, name): list(r["shape"]) for (layer, name, _), r in blocks.items()} != expected:
+    table = model.select("layer", "name", "shape", "block_id", "values").toArrow()
+    # A layer's weight comes before its bias.
+    table = table.sort_by([("layer", "ascending"), ("name", "descending"), ("block_id", "ascending")])
+    places = list(zip(*(table[c].to_pylist() for c in ("layer", "name", "block_id"))))
+    shapes = {(layer, name): tuple(s) for (layer, name, _), s in zip(places, table["shape"].to_pylist())}
+    flat = table["values"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    expected = {(layer, name): shape for layer, name, shape in layout(sizes)}
+    if shapes != expected or len(set(places)) != len(places) or flat.size != parameter_count(sizes):
         raise ValueError("model table does not fit the configured sizes")
-    order = {(layer, name): at for at, (layer, name, _) in enumerate(tensors)}
-    keys = sorted(blocks, key=lambda k: (order[k[0], k[1]], k[2]))
-    flat = np.concatenate([np.asarray(blocks[k]["values"], dtype=np.float64) for k in keys])
-    if flat.size != parameter_count(sizes):
-        raise ValueError("model table has missing or repeated blocks")
     return flat
 
 
-def split_blocks(flat: np.ndarray, sizes: list[int], width: int):
-    """(layer, name, shape, block_id, values) pieces of flat parameters."""
-    at = 0
-    for layer, name, shape in layout(sizes):
-        count = int(np.prod(shape))
-        for block, start in enumerate(range(0, count, width)):
-            yield layer, name, list(shape), block, flat[at + start : at + min(start + width, count)]
-        at += count
+def split_blocks(sizes: list[int], width: int) -> list[tuple[int, str, list[int], int, int]]:
+    """(layer, name, shape, block_id, length) of each block, in flat order."""
+    return [
+        (layer, name, list(shape), block, min(width, count - start))
+        for layer, name, shape in layout(sizes)
+        for count in [int(np.prod(shape))]
+        for block, start in enumerate(range(0, count, width))
+    ]
 
 
 def to_table(spark: SparkSession, flat: np.ndarray, sizes: list[int], epoch: int, width: int) -> DataFrame:
     """A model table from flat parameters."""
-    pieces = [(epoch, *rest, values.tolist()) for *rest, values in split_blocks(flat, sizes, width)]
-    return spark.createDataFrame(pieces, MODEL_SCHEMA)
+    rows, at = [], 0
+    for *place, length in split_blocks(sizes, width):
+        rows.append((epoch, *place, flat[at : at + length].tolist()))
+        at += length
+    return spark.createDataFrame(rows, MODEL_SCHEMA)
 
 
 def save_model(model: DataFrame, path: str) -> None:

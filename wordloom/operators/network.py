@@ -45,19 +45,26 @@ def log_softmax(logits: np.ndarray) -> np.ndarray:
 
 
 class Network:
+    """Forward and backward passes on one flat parameter array.
+
+    Layer outputs live in buffers that the next pass overwrites: batches are small and many, and
+    fresh arrays for each would cost as much as the arithmetic.
+    """
+
     def __init__(self, flat: np.ndarray, sizes: list[int]):
         self.flat, self.sizes = flat, sizes
         self.tensors = views(flat, sizes)
-        self.grad = np.zeros_like(flat)
-        self.grad_tensors = views(self.grad, sizes)
-        self.first, self.second = np.zeros_like(flat), np.zeros_like(flat)
-        self.scratch, self.steps = np.empty_like(flat), 0
+        self.buffers: list[np.ndarray] = []
 
     def _layers(self, x: np.ndarray, keeps: list[np.ndarray] | None = None) -> list[np.ndarray]:
+        rows, depth = len(x), len(self.sizes) - 1
+        if not self.buffers or len(self.buffers[0]) < rows:
+            self.buffers = [np.empty((rows, width), dtype=self.flat.dtype) for width in self.sizes[1:]]
         acts = [x]
-        depth = len(self.sizes) - 1
         for layer in range(depth):
-            out = acts[-1] @ self.tensors[2 * layer] + self.tensors[2 * layer + 1]
+            out = self.buffers[layer][:rows]
+            np.matmul(acts[-1], self.tensors[2 * layer], out=out)
+            out += self.tensors[2 * layer + 1]
             if layer < depth - 1:
                 np.maximum(out, 0, out=out)
                 if keeps is not None:
@@ -70,13 +77,30 @@ class Network:
 
     def loss(self, x: np.ndarray, labels: np.ndarray, mask: np.ndarray) -> float:
         """Masked negative log-likelihood, summed and divided by the rows of the batch."""
-        picked = log_softmax(self.logits(x))[np.arange(len(labels)), labels]
-        return float(-(picked * mask).sum(dtype=np.float64) / len(labels))
+        out = self.logits(x)
+        out -= out.max(axis=1, keepdims=True)
+        picked = out[np.arange(len(labels)), labels]
+        nll = np.log(np.exp(out, out=out).sum(axis=1)) - picked
+        return float((nll * mask).sum(dtype=np.float64) / len(labels))
+
+
+class Trainer(Network):
+    """A network with its gradient and Adam's state."""
+
+    def __init__(self, flat: np.ndarray, sizes: list[int]):
+        super().__init__(flat, sizes)
+        self.grad = np.zeros_like(flat)
+        self.grad_tensors = views(self.grad, sizes)
+        self.first, self.second = np.zeros_like(flat), np.zeros_like(flat)
+        self.scratch, self.steps = np.empty_like(flat), 0
 
     def gradient(self, x, labels, mask, keeps=None) -> np.ndarray:
         """Gradient of loss, by back-propagation, into one flat array."""
         acts = self._layers(x, keeps)
-        delta = np.exp(log_softmax(acts[-1]))
+        delta = acts[-1]
+        delta -= delta.max(axis=1, keepdims=True)
+        np.exp(delta, out=delta)
+        delta /= delta.sum(axis=1, keepdims=True)
         delta[np.arange(len(labels)), labels] -= 1
         delta *= (mask / len(labels)).astype(delta.dtype)[:, None]
         for layer in range(len(self.sizes) - 2, -1, -1):

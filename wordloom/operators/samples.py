@@ -42,7 +42,7 @@ def training_samples(
 
 def shard_of(seed: int, num_shards: int) -> Column:
     """Model replica a sample belongs to: an even spread, whatever the documents' sizes."""
-    sample = draws.key(seed, F.col("doc_id"), F.col("line_no"), F.col("k"))
+    sample = draws.digest(seed, F.col("doc_id"), F.col("line_no"), F.col("k"))
     return (draws.hash32(sample, 17) % num_shards).cast("int")
 
 

@@ -14,7 +14,7 @@ from wordloom.config import ModelConfig
 from wordloom.operators import metrics
 from wordloom.operators.arrow import list_rows, numbers
 from wordloom.operators.model import check_size, initial_model, split_blocks, to_array, to_table
-from wordloom.operators.network import ContextFeatures, Network, dropout, model_sizes
+from wordloom.operators.network import ContextFeatures, Trainer, dropout, model_sizes
 from wordloom.operators.samples import shard_samples
 from wordloom.sources.session import stable
 
@@ -53,7 +53,7 @@ class ShardPass:
     """The pass of one shard: starts from the given parameters and walks its batches in order."""
 
     def __init__(self, flat: np.ndarray, sizes: list[int], cfg: ModelConfig, epoch: int, shard: int):
-        self.net = Network(flat.astype(cfg.dtype), sizes)
+        self.net = Trainer(flat.astype(cfg.dtype), sizes)
         self.cfg, self.epoch, self.shard = cfg, epoch, shard
         self.sum = np.zeros(flat.size)
         self.batch_no, self.log = 0, []
@@ -70,24 +70,35 @@ class ShardPass:
             stats = (float(grad.mean(dtype=np.float64)), float(grad.max()), float(grad.min()))
         self.net.adam(self.cfg.learning_rate(self.epoch))
         correct = int((self.net.logits(x).argmax(axis=1) == labels).sum())
-        self.log.append(("batch", self.shard, self.batch_no, loss, correct, len(x), *stats) + (None,) * 6)
+        self.log.append(("batch", self.shard, self.batch_no, loss, correct, len(x), *stats))
         self.sum += self.net.flat
         self.batch_no += 1
 
-    def rows(self) -> list[tuple]:
+    def log_batch(self) -> pa.RecordBatch:
+        """The batch rows logged since the last call."""
+        log, self.log = self.log, []
+        return _record_batch(dict(zip(LOG_COLUMNS, zip(*log))), len(log))
+
+    def params_batch(self) -> pa.RecordBatch:
+        """The sum of the parameters after every batch, in blocks."""
         total = np.rint(self.sum * GRID) / GRID
-        blocks = split_blocks(total, self.net.sizes, self.cfg.block_width)
-        return self.log + [
-            ("params", self.shard) + (None,) * 7 + (layer, name, shape, block, self.batch_no, values)
-            for layer, name, shape, block, values in blocks
-        ]
+        *places, sizes = zip(*split_blocks(self.net.sizes, self.cfg.block_width))
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        columns = dict(zip(("layer", "name", "shape", "block_id"), places))
+        columns["values"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(total))
+        rows = len(sizes)
+        columns |= {"kind": ["params"] * rows, "shard": [self.shard] * rows, "snapshots": [self.batch_no] * rows}
+        return _record_batch(columns, rows)
 
 
-def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, f.type) for c, f in zip(columns, PASS_TYPES)], schema=PASS_TYPES
-    )
+LOG_COLUMNS = ("kind", "shard", "batch_no", "loss", "correct", "total", "grad_mean", "grad_max", "grad_min")
+
+
+def _record_batch(columns: dict, rows: int) -> pa.RecordBatch:
+    arrays = [
+        pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in PASS_TYPES
+    ]
+    return pa.RecordBatch.from_arrays(arrays, schema=PASS_TYPES)
 
 
 def run_pass(sharded: DataFrame, flat: np.ndarray, cfg: ModelConfig, epoch: int, sizes: list[int]) -> DataFrame:
@@ -122,18 +133,19 @@ def run_pass(sharded: DataFrame, flat: np.ndarray, cfg: ModelConfig, epoch: int,
                 if current is None or current.shard != shards[start]:
                     if current is not None:
                         take(True)
-                        yield _record_batch(current.rows())
+                        yield current.log_batch()
+                        yield current.params_batch()
                     current = ShardPass(shared.value, sizes, cfg, epoch, int(shards[start]))
                 part = slice(start, end)
                 held.append((featurize(contexts[part], full[part]), labels[part], full[part].astype(float)))
                 held_rows += end - start
                 take(False)
                 if len(current.log) >= 5000:
-                    yield _record_batch(current.log)
-                    current.log = []
+                    yield current.log_batch()
         if current is not None:
             take(True)
-            yield _record_batch(current.rows())
+            yield current.log_batch()
+            yield current.params_batch()
 
     done = stable(sharded.select("shard", "context", "label").mapInArrow(walk, PASS_SCHEMA))
     shared.destroy()

@@ -36,11 +36,11 @@ def vocab_size(vocab: DataFrame) -> int:
     return vocab.count()
 
 
-def fits_broadcast(table: DataFrame, key: str, limits: Limits) -> bool:
-    """Whether a two-column lookup table is within the broadcast limits, by counting it."""
+def fits_broadcast(table: DataFrame, key: str, limits: Limits, value_bytes: int = 8) -> bool:
+    """Whether a lookup table is within the broadcast limits, by counting it."""
     size = table.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.octet_length(F.col(key).cast("string")) + 32), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(F.octet_length(F.col(key).cast("string")) + 24 + value_bytes), F.lit(0)).alias("bytes"),
     ).first()
     return size["rows"] <= limits.broadcast_rows and size["bytes"] <= limits.broadcast_bytes
 
@@ -53,7 +53,14 @@ def _probe(key: Column, limits: Limits) -> Column:
     )
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, value: str, limits: Limits | None = None) -> DataFrame:
+def lookup(
+    rows: DataFrame,
+    table: DataFrame,
+    key: str,
+    value: str,
+    limits: Limits | None = None,
+    value_bytes: int = 8,
+) -> DataFrame:
     """rows left join table(key, value), safe for a table of any size and for frequent keys.
 
     A small table is broadcast after its size is counted. Otherwise the distinct keys of rows are
@@ -63,7 +70,7 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, value: str, limits: Limi
     """
     limits = limits or Limits()
     table = table.select(key, value)
-    if fits_broadcast(table, key, limits):
+    if fits_broadcast(table, key, limits, value_bytes):
         return rows.join(F.broadcast(table), key, "left")
 
     counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
@@ -80,6 +87,11 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, value: str, limits: Limi
     return done.unionByName(rest.join(cold, key, "left"))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df partitioned by keys into the session's number of shuffle partitions, however few its bytes."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def encode(lines: DataFrame, vocab: DataFrame, limits: Limits | None = None) -> DataFrame:
     """doc_id, line_no, ids, oov_count: the words of each line as ids, unknown words as 0.
 
@@ -87,7 +99,7 @@ def encode(lines: DataFrame, vocab: DataFrame, limits: Limits | None = None) ->
     form to shuffle, and with a broadcast vocabulary the regrouping then needs no further exchange.
     A group is the words of one line, so it never outgrows the row it came from.
     """
-    tokens = lines.repartition("doc_id", "line_no").select(
+    tokens = spread(lines, "doc_id", "line_no").select(
         "doc_id", "line_no", F.posexplode_outer(split_words(F.col("line"))).alias("pos", "word")
     )
     found = lookup(tokens, vocab, "word", "id", limits)
@@ -119,7 +131,7 @@ def encode_tokens(lines: DataFrame, vocab: DataFrame, limits: Limits | None = No
 
 def decode(encoded: DataFrame, vocab: DataFrame, keys: list[str], limits: Limits | None = None) -> DataFrame:
     """keys, text: ids back to words, joined by one space; unknown ids become empty words."""
-    entries = encoded.repartition(*keys).select(*keys, F.posexplode_outer("ids").alias("pos", "id"))
+    entries = spread(encoded, *keys).select(*keys, F.posexplode_outer("ids").alias("pos", "id"))
     found = lookup(entries, vocab, "id", "word", limits)
     entry = F.when(
         F.col("pos").isNotNull(), F.struct("pos", F.coalesce("word", F.lit("")).alias("word"))

@@ -17,7 +17,7 @@ from wordloom.functions import draws, vectors
 from wordloom.functions.text import collapse_blanks
 from wordloom.operators import corpus, features, generation, metrics, samples, scoring, training, vocab
 from wordloom.operators.model import initial_model
-from wordloom.sources.session import stable
+from wordloom.sources.session import stable, widened
 from wordloom.sources.text import lines_from, turn_key
 
 CFG = ModelConfig()
@@ -31,11 +31,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return lines_from(_table(spark, folder, "documents"), "doc_id", "text")
+    return lines_from(widened(_table(spark, folder, "documents"), "doc_id"), "doc_id", "text")
 
 
 def conversations(spark: SparkSession, folder: str) -> DataFrame:
-    return lines_from(_table(spark, folder, "conversations"), turn_key(), "text")
+    turns = widened(_table(spark, folder, "conversations"), "conv_id", "turn")
+    return lines_from(turns, turn_key(), "text")
 
 
 def seeds(spark: SparkSession, folder: str) -> DataFrame:
@@ -167,10 +168,8 @@ def token_embedding(spark, folder):
 
 
 def positional_encoding(spark, folder):
-    tokens = corpus.explode_tokens(conversations(spark, folder))
-    dims = F.sequence(F.lit(0), F.lit(CFG.embedding_size - 1))
-    encoding = F.transform(dims, lambda d: vectors.position_value(F.col("pos"), d, CFG.embedding_size))
-    return tokens.select("doc_id", "line_no", "pos", joined_reals(encoding).alias("encoding"))
+    tokens = features.positional_encoding(corpus.explode_tokens(conversations(spark, folder)), CFG)
+    return tokens.select("doc_id", "line_no", "pos", joined_reals("encoding").alias("encoding"))
 
 
 def _conversation_windows(spark, folder, width):
@@ -179,7 +178,8 @@ def _conversation_windows(spark, folder, width):
 
 
 def embedding_matrix(spark, folder):
-    matrices = features.embedding_matrix(_conversation_windows(spark, folder, 2), CFG)
+    windows = stable(_conversation_windows(spark, folder, 2))
+    matrices = features.embedding_matrix(windows, replace(CFG, window_size=2))
     return matrices.select("doc_id", "line_no", "k", joined_reals(F.flatten("matrix")).alias("matrix"))
 
 
@@ -203,14 +203,14 @@ def self_attention_w4(spark, folder):
 
 
 def sample_features(spark, folder):
-    return features.sample_features(_windows(spark, folder, 1), CFG).select(
+    return features.sample_features(stable(_windows(spark, folder, 1)), CFG).select(
         "doc_id", "line_no", "k", joined_reals("features").alias("features"), "mask"
     )
 
 
 def sample_features_w3(spark, folder):
     cfg = replace(CFG, window_size=3)
-    return features.sample_features(_conversation_windows(spark, folder, 3), cfg).select(
+    return features.sample_features(stable(_conversation_windows(spark, folder, 3)), cfg).select(
         "doc_id", "line_no", "k", joined_reals("features").alias("features"), "mask"
     )
 
@@ -233,7 +233,7 @@ def temperature_probs(spark, folder):
 
 def sample_token(spark, folder):
     scaled = vectors.scale_by_temperature(F.col("probs"), CFG.temperature)
-    draw = draws.uniform(draws.key(CFG.seed, F.col("vec_id"), F.lit(0)), 1)
+    draw = draws.uniform(draws.digest(CFG.seed, F.col("vec_id"), F.lit(0)), 1)
     return _distributions(spark, folder).select("vec_id", vectors.sample_index(scaled, draw).alias("token"))
 
 

@@ -26,6 +26,15 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def widened(df: DataFrame, *keys: str) -> DataFrame:
+    """df spread over the cluster's cores by its keys, if its files give fewer partitions than that.
+
+    Tables of many splits are left as they are, so no large table is shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def dense_ids(df: DataFrame, order: list[str], name: str, start: int = 0) -> DataFrame:
     """Adds 0-based consecutive ids in the given order, without a one-partition window.
 
