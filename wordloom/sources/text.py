@@ -80,5 +80,6 @@ def read_lines(spark: SparkSession, path: str, limits: Limits | None = None) ->
     if last is None:
         return numbered.where(F.lit(False))
     return numbered.where(
-        F.struct("doc_id", "line_no") <= F.struct(F.lit(last["doc_id"]), F.lit(last["line_no"]))
+        (F.col("doc_id") < last["doc_id"])
+        | ((F.col("doc_id") == last["doc_id"]) & (F.col("line_no") <= last["line_no"]))
     )
