@@ -70,11 +70,15 @@ def test_shards_fill_their_partitions(rows):
     assert placed.rdd.getNumPartitions() == 6
     where = placed.select("shard", F.spark_partition_id().alias("part")).distinct().collect()
     assert len(where) == 6 and all(r["shard"] == r["part"] for r in where)
+    packed = samples.shard_samples(rows, 6, ModelConfig(max_tasks=4))
+    assert packed.rdd.getNumPartitions() == 4
+    where = packed.select("shard", F.spark_partition_id().alias("part")).distinct().collect()
+    assert len(where) == 6 and all(r["shard"] % 4 == r["part"] for r in where)
 
 
 def test_shard_count_follows_the_data():
-    cfg = ModelConfig(rows_per_shard=10, max_shards=4)
-    assert [cfg.shards_for(n) for n in (0, 1, 10, 11, 1000)] == [1, 1, 1, 2, 4]
+    cfg = ModelConfig(rows_per_shard=10)
+    assert [cfg.shards_for(n) for n in (0, 1, 10, 11, 1000)] == [1, 1, 1, 2, 100]
     assert ModelConfig(num_shards=7).shards_for(1) == 7
 
 

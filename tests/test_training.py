@@ -70,7 +70,7 @@ def shard_by_hand(rows, shard, flat, epoch=1):
 def test_average_is_the_mean_of_all_snapshots(spark, rows):
     flat = to_array(initial_model(spark, SMALL), SIZES)
     sharded, counts = training.prepare(rows, SMALL)
-    passed = training.run_pass(sharded, flat, SMALL, 1, SIZES)
+    passed = training.run_pass(sharded, flat, SMALL, 1, SIZES, counts["grid"])
     mean = to_array(training.average_params(passed, 1, SMALL.block_width), SIZES)
     walks = [shard_by_hand(rows, shard, flat) for shard in range(3)]
     every = np.concatenate([s for _, s in walks])
@@ -89,6 +89,15 @@ def test_result_does_not_depend_on_partitions_or_arrow_batches(spark, rows):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     np.testing.assert_array_equal(first, second)
+    packed = training.train(rows, replace(SMALL, max_tasks=2), epochs=2)
+    np.testing.assert_array_equal(first, to_array(packed.model, SIZES))
+
+
+def test_sums_on_the_grid_are_exact():
+    for batches in (10, 10**6, 10**11):
+        grid = training.sum_grid(batches)
+        assert 8 * batches * grid <= 2.0**53
+    assert training.sum_grid(1000) >= 2.0**38
 
 
 def test_loss_falls_and_metrics_add_up(rows):

@@ -32,10 +32,12 @@ class ModelConfig:
     drop_prob: float = 0.2
     temperature: float = 0.7
 
-    # How training is spread. num_shards=None derives the count from the data, never from the cluster.
+    # How training is spread. A shard is one sequential walk from the epoch's model; its size, not the
+    # cluster, decides the result. num_shards=None derives the count from the data. A task walks one
+    # or more shards and sends one sum of parameters.
     num_shards: int | None = None
     rows_per_shard: int = 10_000
-    max_shards: int = 4096
+    max_tasks: int = 16_384
     block_width: int = 64
     dtype: str = "float32"
     max_model_bytes: int = 256 * 1024 * 1024
@@ -50,7 +52,7 @@ class ModelConfig:
         return self.initial_rate * self.gamma ** (epoch - 1)
 
     def shards_for(self, rows: int) -> int:
-        """Model replicas for a sample count: one per rows_per_shard, at most max_shards."""
+        """Shards for a sample count: one per rows_per_shard, so a shard never outgrows a task."""
         if self.num_shards is not None:
             return self.num_shards
-        return max(1, min(self.max_shards, -(-rows // self.rows_per_shard)))
+        return max(1, -(-rows // self.rows_per_shard))

@@ -41,7 +41,7 @@ def training_samples(
 
 
 def shard_of(seed: int, num_shards: int) -> Column:
-    """Model replica a sample belongs to: an even spread, whatever the documents' sizes."""
+    """Shard a sample belongs to: an even spread, whatever the documents' sizes."""
     sample = draws.digest(seed, F.col("doc_id"), F.col("line_no"), F.col("k"))
     return (draws.hash32(sample, 17) % num_shards).cast("int")
 
@@ -58,13 +58,14 @@ def assign_batches(samples: DataFrame, num_shards: int, batch_size: int, seed: i
 
 
 def shard_samples(samples: DataFrame, num_shards: int, cfg: ModelConfig) -> DataFrame:
-    """One shard per partition, in corpus order: what a training pass reads."""
+    """Each shard whole in one partition, in corpus order: what a training pass reads."""
+    tasks = min(num_shards, cfg.max_tasks)
     return (
         samples.select(
             "doc_id", "line_no", "k", "context", "label", shard_of(cfg.seed, num_shards).alias("shard")
         )
-        .repartitionById(num_shards, F.col("shard"))
-        .sortWithinPartitions("doc_id", "line_no", "k")
+        .repartitionById(tasks, F.col("shard") % tasks)
+        .sortWithinPartitions("shard", "doc_id", "line_no", "k")
     )
 
 

@@ -43,12 +43,18 @@ PASS_TYPES = pa.schema(
         ("values", pa.list_(pa.float64())),
     ]
 )
-# Parameter sums are put on this grid: adding such numbers is exact while sums stay below 2^29,
-# so their total does not depend on the order in which Spark adds them.
-GRID = 2.0**24
 GRADIENT_EVERY = 10
 
 
+def sum_grid(batches: int) -> float:
+    """Step, as 1/grid, on which shards round their parameter sums.
+
+    Numbers on one grid add exactly while the total stays below 2^53 steps, here for parameters up to
+    8 in size. So the average does not depend on how shards meet in tasks, or in what order Spark adds.
+    """
+    return 2.0 ** max(0, 50 - int(batches).bit_length())
+
+
 class ShardPass:
     """The pass of one shard: starts from the given parameters and walks its batches in order."""
 
@@ -79,16 +85,16 @@ class ShardPass:
         log, self.log = self.log, []
         return _record_batch(dict(zip(LOG_COLUMNS, zip(*log))), len(log))
 
-    def params_batch(self) -> pa.RecordBatch:
-        """The sum of the parameters after every batch, in blocks."""
-        total = np.rint(self.sum * GRID) / GRID
-        *places, sizes = zip(*split_blocks(self.net.sizes, self.cfg.block_width))
-        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        columns = dict(zip(("layer", "name", "shape", "block_id"), places))
-        columns["values"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(total))
-        rows = len(sizes)
-        columns |= {"kind": ["params"] * rows, "shard": [self.shard] * rows, "snapshots": [self.batch_no] * rows}
-        return _record_batch(columns, rows)
+
+def _params_batch(total: np.ndarray, snapshots: int, sizes: list[int], width: int) -> pa.RecordBatch:
+    """The sum of the parameters after every batch of a task, in blocks."""
+    *places, lengths = zip(*split_blocks(sizes, width))
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    columns = dict(zip(("layer", "name", "shape", "block_id"), places))
+    rows = len(lengths)
+    columns |= {"kind": ["params"] * rows, "snapshots": [snapshots] * rows}
+    columns["values"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(total))
+    return _record_batch(columns, rows)
 
 
 LOG_COLUMNS = ("kind", "shard", "batch_no", "loss", "correct", "total", "grad_mean", "grad_max", "grad_min")
@@ -101,26 +107,35 @@ def _record_batch(columns: dict, rows: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=PASS_TYPES)
 
 
-def run_pass(sharded: DataFrame, flat: np.ndarray, cfg: ModelConfig, epoch: int, sizes: list[int]) -> DataFrame:
-    """Batch rows and parameter-sum rows of one epoch. Every task starts from the broadcast parameters."""
+def run_pass(
+    sharded: DataFrame, flat: np.ndarray, cfg: ModelConfig, epoch: int, sizes: list[int], grid: float
+) -> DataFrame:
+    """Batch rows and parameter-sum rows of one epoch. Every shard starts from the broadcast parameters."""
     check_size(sizes, cfg.max_model_bytes)
-    shared = sharded.sparkSession.sparkContext.broadcast(flat)
+    shared, flat_size = sharded.sparkSession.sparkContext.broadcast(flat), flat.size
 
     def walk(batches):
-        featurize = ContextFeatures(cfg)
-        current: ShardPass | None = None
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        held_rows = 0
-
-        def take(everything: bool):
-            nonlocal held, held_rows
-            x, y, m = (np.concatenate(part) for part in zip(*held)) if held else (np.empty(0),) * 3
-            at = 0
-            while held_rows - at >= cfg.batch_size or (everything and at < held_rows):
-                end = min(at + cfg.batch_size, held_rows)
-                current.step(x[at:end], y[at:end], m[at:end])
-                at = end
-            held, held_rows = ([(x[at:], y[at:], m[at:])], held_rows - at) if at < held_rows else ([], 0)
+        featurize, current, held = ContextFeatures(cfg), None, []
+        total, snapshots = np.zeros(flat_size), 0
+
+        def take(everything: bool) -> None:
+            """Steps through the held rows in whole batches; the rest waits for more rows."""
+            nonlocal held
+            x, labels, mask = (np.concatenate(part) for part in zip(*held))
+            size = cfg.batch_size
+            end = len(x) if everything else len(x) // size * size
+            for at in range(0, end, size):
+                stop = min(at + size, end)
+                current.step(x[at:stop], labels[at:stop], mask[at:stop])
+            held = [(x[end:], labels[end:], mask[end:])] if end < len(x) else []
+
+        def finish() -> pa.RecordBatch:
+            nonlocal total, snapshots
+            if held:
+                take(True)
+            total += np.rint(current.sum * grid) / grid
+            snapshots += current.batch_no
+            return current.log_batch()
 
         for batch in batches:
             shards = numbers(batch.column("shard"))
@@ -132,20 +147,16 @@ def run_pass(sharded: DataFrame, flat: np.ndarray, cfg: ModelConfig, epoch: int,
                     continue
                 if current is None or current.shard != shards[start]:
                     if current is not None:
-                        take(True)
-                        yield current.log_batch()
-                        yield current.params_batch()
+                        yield finish()
                     current = ShardPass(shared.value, sizes, cfg, epoch, int(shards[start]))
                 part = slice(start, end)
                 held.append((featurize(contexts[part], full[part]), labels[part], full[part].astype(float)))
-                held_rows += end - start
                 take(False)
                 if len(current.log) >= 5000:
                     yield current.log_batch()
         if current is not None:
-            take(True)
-            yield current.log_batch()
-            yield current.params_batch()
+            yield finish()
+            yield _params_batch(total, snapshots, sizes, cfg.block_width)
 
     done = stable(sharded.select("shard", "context", "label").mapInArrow(walk, PASS_SCHEMA))
     shared.destroy()
@@ -206,7 +217,8 @@ def prepare(samples: DataFrame, cfg: ModelConfig) -> tuple[DataFrame, dict]:
     ).first()
     num_shards = cfg.shards_for(counts["rows"])
     sharded = stable(shard_samples(samples.where(in_range), num_shards, cfg))
-    return sharded, {**counts.asDict(), "shards": num_shards}
+    batches = counts["rows"] // cfg.batch_size + num_shards
+    return sharded, {**counts.asDict(), "shards": num_shards, "grid": sum_grid(batches)}
 
 
 def train(samples: DataFrame, cfg: ModelConfig, epochs: int | None = None, model: DataFrame | None = None) -> TrainResult:
@@ -224,7 +236,7 @@ def train(samples: DataFrame, cfg: ModelConfig, epochs: int | None = None, model
         if not counts["rows"]:
             break
         started = time.monotonic()
-        passed = run_pass(sharded, flat, cfg, epoch, sizes)
+        passed = run_pass(sharded, flat, cfg, epoch, sizes, counts["grid"])
         flat = to_array(average_params(passed, epoch, cfg.block_width), sizes)
         logs.append(batch_rows(passed, epoch))
         durations.append((epoch, cfg.learning_rate(epoch), int((time.monotonic() - started) * 1000)))
@@ -242,5 +254,5 @@ def train_epoch(samples: DataFrame, cfg: ModelConfig, epoch: int = 1, model: Dat
     """The batch log of one pass over the samples."""
     sizes = model_sizes(cfg)
     flat = to_array(model if model is not None else initial_model(samples.sparkSession, cfg), sizes)
-    sharded, _ = prepare(samples, cfg)
-    return batch_rows(run_pass(sharded, flat, cfg, epoch, sizes), epoch)
+    sharded, counts = prepare(samples, cfg)
+    return batch_rows(run_pass(sharded, flat, cfg, epoch, sizes, counts["grid"]), epoch)
