@@ -61,7 +61,7 @@ def words(line: str) -> str:
 
 def tokens(name: str, source: str) -> str:
     return f"""{name} as (
-      select doc_id, line_no, i - 1 as pos, w[i] as word from (
+      select doc_id, line_no, cast(i - 1 as integer) as pos, w[i] as word from (
         select doc_id, line_no, w, generate_subscripts(w, 1) as i
         from (select doc_id, line_no, {words('line')} as w from {source})))"""
 
@@ -218,7 +218,7 @@ ORACLES: dict[str, str] = {
         select word, first.doc_id as doc_id, first.line_no as line_no, first.pos as pos, n from (
           select word, min({{'doc_id': doc_id, 'line_no': line_no, 'pos': pos}}) as first, count(*) as n
           from doc_tokens group by word)""",
-    "tokenize": f"""with {DOCS} select doc_id, line_no, len(w) as n_words, array_to_string(w, '|') as words
+    "tokenize": f"""with {DOCS} select doc_id, line_no, cast(len(w) as integer) as n_words, array_to_string(w, '|') as words
         from (select doc_id, line_no, {words('line')} as w from doc_lines)""",
     "explode_tokens": f"with {DOC_TOKENS} select doc_id, line_no, pos, word from doc_tokens",
     "fit_vocab": f"with {DOC_VOCAB} select word, id from doc_vocab",
@@ -292,7 +292,7 @@ ORACLES: dict[str, str] = {
     "predict": f"""with {NETWORK}
         select vec_id, prediction, {micro('prob')} as prob, {micro('nll')} as nll from scored""",
     "loss": f"""with {NETWORK}
-        select label, count(*) as rows, {micro('sum(nll) / count(*)')} as loss from scored group by label""",
+        select cast(label as bigint) as label, count(*) as rows, {micro('sum(nll) / count(*)')} as loss from scored group by all""",
     "batch_totals": f"""with {TOTALS}
         select epoch, {micro('total_loss')} as total_loss, correct, predictions, batches from totals""",
     "epoch_accuracy": f"""with {TOTALS}

@@ -132,6 +132,14 @@ def test_no_exchange_after_lines_are_placed(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_beyond_broadcast_only_cold_words_are_shuffled_again(spark):
+    lines = lines_in_memory(spark, ["a b"])
+    plan = vocab.encode(lines, vocab.fit_vocab(lines), TIGHT)._jdf.queryExecution().executedPlan().toString()
+    # The lines (for both parts), the cold words and their table, and the words found, by line.
+    assert plan.count("Exchange hashpartitioning(doc_id") - plan.count("ReusedExchange") <= 3
+    assert plan.count("Exchange hashpartitioning(word") == 2
+
+
 def test_stats_and_distinct_words(spark):
     lines = lines_in_memory(spark, ["a b a", "", "  ", "b c"])
     assert corpus.corpus_stats(lines).first().asDict() == {"lines": 4, "words": 6}

@@ -34,10 +34,10 @@ class ModelConfig:
 
     # How training is spread. A shard is one sequential walk from the epoch's model; its size, not the
     # cluster, decides the result. num_shards=None derives the count from the data. A task walks one
-    # or more shards and sends one sum of parameters.
+    # or more shards and sends one sum of parameters; max_tasks=None follows the cluster's size.
     num_shards: int | None = None
     rows_per_shard: int = 10_000
-    max_tasks: int = 16_384
+    max_tasks: int | None = None
     block_width: int = 64
     dtype: str = "float32"
     max_model_bytes: int = 256 * 1024 * 1024

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wordloom.config import Limits, ModelConfig
 from wordloom.functions import draws
 from wordloom.operators.vocab import encode
+from wordloom.sources.session import task_limit
 
 
 def sliding_windows(encoded: DataFrame, width: int) -> DataFrame:
@@ -59,7 +60,7 @@ def assign_batches(samples: DataFrame, num_shards: int, batch_size: int, seed: i
 
 def shard_samples(samples: DataFrame, num_shards: int, cfg: ModelConfig) -> DataFrame:
     """Each shard whole in one partition, in corpus order: what a training pass reads."""
-    tasks = min(num_shards, cfg.max_tasks)
+    tasks = min(num_shards, task_limit(samples.sparkSession, cfg.max_tasks))
     return (
         samples.select(
             "doc_id", "line_no", "k", "context", "label", shard_of(cfg.seed, num_shards).alias("shard")

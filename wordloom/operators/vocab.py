@@ -53,25 +53,26 @@ def _probe(key: Column, limits: Limits) -> Column:
     )
 
 
-def lookup(
+def lookup_parts(
     rows: DataFrame,
     table: DataFrame,
     key: str,
     value: str,
     limits: Limits | None = None,
     value_bytes: int = 8,
-) -> DataFrame:
-    """rows left join table(key, value), safe for a table of any size and for frequent keys.
-
-    A small table is broadcast after its size is counted. Otherwise the distinct keys of rows are
-    counted (partial counts before the shuffle) and joined to the table, one row per key on both
-    sides. The hot keys among them are few by construction and are broadcast; the other keys, each
-    with less than 1/hot_keys of the rows, take a shuffle join.
+) -> list[DataFrame]:
+    """rows left join table(key, value) in one or two parts, for a table of any size and frequent keys.
+
+    A small table is broadcast after its size is counted: one part, still partitioned as rows.
+    Otherwise the distinct keys of rows are counted (partial counts before the shuffle) and joined to
+    the table, one row per key on both sides. The hot keys among them are few by construction and are
+    broadcast: the first part, still partitioned as rows. The other keys, each with less than
+    1/hot_keys of the rows, take a shuffle join: the second part.
     """
     limits = limits or Limits()
     table = table.select(key, value)
     if fits_broadcast(table, key, limits, value_bytes):
-        return rows.join(F.broadcast(table), key, "left")
+        return [rows.join(F.broadcast(table), key, "left")]
 
     counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     known = stable(counted.join(table, key, "left"))
@@ -84,7 +85,41 @@ def lookup(
     done = probed.where(F.col("_hot") | F.col(key).isNull()).drop("_probe", "_hot")
     rest = probed.where(F.col("_hot").isNull() & F.col(key).isNotNull()).drop("_probe", "_hot", value)
     cold = known.where(~is_hot).select(key, value)
-    return done.unionByName(rest.join(cold, key, "left"))
+    return [done, rest.join(cold, key, "left")]
+
+
+def lookup(
+    rows: DataFrame,
+    table: DataFrame,
+    key: str,
+    value: str,
+    limits: Limits | None = None,
+    value_bytes: int = 8,
+) -> DataFrame:
+    """rows left join table(key, value): see lookup_parts."""
+    first, *others = lookup_parts(rows, table, key, value, limits, value_bytes)
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
+def _regroup(parts: list[DataFrame], keys: list[str], entry: Column, missed: Column) -> DataFrame:
+    """keys, entries in order, missed: the words of each line, brought together again.
+
+    Only words found by a shuffle join are shuffled once more; the others are where their line is.
+    """
+    grouped = [
+        part.groupBy(*keys).agg(
+            F.collect_list(entry).alias(f"_e{n}"), F.count_if(missed).alias(f"_m{n}")
+        )
+        for n, part in enumerate(parts)
+    ]
+    if len(grouped) == 1:
+        return grouped[0].select(*keys, F.sort_array("_e0").alias("entries"), F.col("_m0").alias("missed"))
+    both = grouped[0].join(grouped[1], keys, "full_outer")
+    entries = F.coalesce(F.concat("_e0", "_e1"), F.col("_e0"), F.col("_e1"))
+    count = F.coalesce("_m0", F.lit(0)) + F.coalesce("_m1", F.lit(0))
+    return both.select(*keys, F.sort_array(entries).alias("entries"), count.alias("missed"))
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -102,16 +137,12 @@ def encode(lines: DataFrame, vocab: DataFrame, limits: Limits | None = None) ->
     tokens = spread(lines, "doc_id", "line_no").select(
         "doc_id", "line_no", F.posexplode_outer(split_words(F.col("line"))).alias("pos", "word")
     )
-    found = lookup(tokens, vocab, "word", "id", limits)
-    entry = F.when(
-        F.col("pos").isNotNull(),
-        F.struct("pos", F.coalesce("id", F.lit(0)).alias("id")),
+    found = lookup_parts(tokens, vocab, "word", "id", limits)
+    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(0)).alias("id")))
+    unknown = F.col("pos").isNotNull() & F.col("id").isNull()
+    return _regroup(found, ["doc_id", "line_no"], entry, unknown).select(
+        "doc_id", "line_no", F.col("entries.id").alias("ids"), F.col("missed").alias("oov_count")
     )
-    grouped = found.groupBy("doc_id", "line_no").agg(
-        F.sort_array(F.collect_list(entry)).alias("entries"),
-        F.count_if(F.col("pos").isNotNull() & F.col("id").isNull()).alias("oov_count"),
-    )
-    return grouped.select("doc_id", "line_no", F.col("entries.id").alias("ids"), "oov_count")
 
 
 def encode_tokens(lines: DataFrame, vocab: DataFrame, limits: Limits | None = None) -> DataFrame:
@@ -132,9 +163,11 @@ def encode_tokens(lines: DataFrame, vocab: DataFrame, limits: Limits | None = No
 def decode(encoded: DataFrame, vocab: DataFrame, keys: list[str], limits: Limits | None = None) -> DataFrame:
     """keys, text: ids back to words, joined by one space; unknown ids become empty words."""
     entries = spread(encoded, *keys).select(*keys, F.posexplode_outer("ids").alias("pos", "id"))
-    found = lookup(entries, vocab, "id", "word", limits)
+    found = lookup_parts(entries, vocab, "id", "word", limits)
     entry = F.when(
         F.col("pos").isNotNull(), F.struct("pos", F.coalesce("word", F.lit("")).alias("word"))
     )
-    grouped = found.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    return grouped.select(*keys, F.array_join(F.col("entries.word"), " ").alias("text"))
+    unknown = F.col("pos").isNotNull() & F.col("word").isNull()
+    return _regroup(found, keys, entry, unknown).select(
+        *keys, F.array_join(F.col("entries.word"), " ").alias("text")
+    )

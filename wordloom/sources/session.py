@@ -35,6 +35,14 @@ def widened(df: DataFrame, *keys: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
+def task_limit(spark: SparkSession, given: int | None = None, waves: int = 4) -> int:
+    """Tasks for work that is heavy for its bytes: a few for each core, unless given."""
+    if given is not None:
+        return given
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return waves * max(spark.sparkContext.defaultParallelism, shuffle)
+
+
 def dense_ids(df: DataFrame, order: list[str], name: str, start: int = 0) -> DataFrame:
     """Adds 0-based consecutive ids in the given order, without a one-partition window.
 
