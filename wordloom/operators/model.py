@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.config import ModelConfig
@@ -24,29 +24,35 @@ def initial_model(spark: SparkSession, cfg: ModelConfig, sizes: list[int] | None
     """Seeded weights gauss(layer, i, j) * sqrt(2 / (fan_in + fan_out)), biases 0, in blocks."""
     sizes = sizes or model_sizes(cfg)
     check_size(sizes, cfg.max_model_bytes)
-    width = cfg.block_width
-    parts = []
-    for layer, name, shape in layout(sizes):
-        count = int(np.prod(shape))
-        place = spark.range(count)
-        if name == "weight":
-            cols = F.lit(shape[1])
-            i, j = F.floor(F.col("id") / cols), F.col("id") % cols
-            value = draws.gauss(draws.digest(cfg.seed, F.lit(layer), i, j)) * float(np.sqrt(2.0 / sum(shape)))
-        else:
-            value = F.lit(0.0)
-        parts.append(
-            place.select(
-                F.lit(layer).alias("layer"),
-                F.lit(name).alias("name"),
-                F.array(*[F.lit(n) for n in shape]).alias("shape"),
-                F.floor(F.col("id") / width).cast("int").alias("block_id"),
-                F.struct(F.col("id"), value.alias("value")).alias("entry"),
-            )
-        )
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
+    tensors, ends, end = layout(sizes), [], 0
+    for _, _, shape in tensors:
+        ends.append(end := end + int(np.prod(shape)))
+
+    def by_tensor(values: list[Column]) -> Column:
+        chosen = values[-1]
+        for value, stop in reversed(list(zip(values, ends[:-1]))):
+            chosen = F.when(F.col("id") < stop, value).otherwise(chosen)
+        return chosen
+
+    place = spark.range(end).select(
+        "id",
+        by_tensor([F.lit(layer) for layer, _, _ in tensors]).alias("layer"),
+        by_tensor([F.lit(name) for _, name, _ in tensors]).alias("name"),
+        by_tensor([F.array(*[F.lit(n) for n in shape]) for _, _, shape in tensors]).alias("shape"),
+        (F.col("id") - by_tensor([F.lit(start) for start in [0, *ends[:-1]]])).alias("at"),
+    )
+    fan_in, fan_out = F.get("shape", F.lit(0)), F.get("shape", F.lit(1))
+    drawn = draws.gauss(
+        draws.digest(cfg.seed, F.col("layer"), F.floor(F.col("at") / fan_out), F.col("at") % fan_out)
+    ) * F.sqrt(F.lit(2.0) / (fan_in + fan_out))
+    value = F.when(F.col("name") == "weight", drawn).otherwise(F.lit(0.0))
+    rows = place.select(
+        "layer",
+        "name",
+        "shape",
+        F.floor(F.col("at") / cfg.block_width).cast("int").alias("block_id"),
+        F.struct("at", value.alias("value")).alias("entry"),
+    )
     return (
         rows.groupBy("layer", "name", "shape", "block_id")
         .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
