@@ -158,8 +158,8 @@ def uniform_draws(keys: list[str]) -> np.ndarray:
 class ContextFeatures:
     """The features of operators.features for whole batches, with the vectors of recent tokens kept."""
 
-    def __init__(self, cfg: ModelConfig, kept_tokens: int = 50_000):
-        self.cfg, self.kept_tokens = cfg, kept_tokens
+    def __init__(self, cfg: ModelConfig, kept_bytes: int = 16 * 1024 * 1024):
+        self.cfg, self.kept_tokens = cfg, kept_bytes // (8 * cfg.embedding_size)
         self.known: dict[int, np.ndarray] = {}
         size = cfg.embedding_size
         pos = np.arange(cfg.window_size)[:, None]
