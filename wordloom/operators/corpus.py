@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions import draws
+from wordloom.functions import draws, places
 from wordloom.functions.text import split_words
 
 
@@ -55,9 +55,7 @@ def distinct_words(lines: DataFrame) -> DataFrame:
 
     Partial minima and counts are taken before the shuffle, so a frequent word costs one row per task.
     """
-    return (
-        explode_tokens(lines)
-        .groupBy("word")
-        .agg(F.min(F.struct("doc_id", "line_no", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
-        .select("word", "first.doc_id", "first.line_no", "first.pos", "n")
-    )
+    place = places.place(F.col("doc_id"), F.col("line_no"), F.col("pos"))
+    words = explode_tokens(lines).groupBy("word").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    doc_id, line_no, pos = places.parts(F.col("first"))
+    return words.select("word", doc_id.alias("doc_id"), line_no.alias("line_no"), pos.alias("pos"), "n")

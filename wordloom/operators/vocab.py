@@ -6,17 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.config import Limits
+from wordloom.functions.places import place
 from wordloom.functions.text import split_words
 from wordloom.sources.session import dense_ids, stable
 
 
 def _first_seen(lines: DataFrame) -> DataFrame:
-    # A line's repeated words go before the shuffle and before any sort: array_distinct keeps the
-    # order of first occurrence, so the place in the distinct array orders words as positions do.
+    # A line's repeated words go before the shuffle: array_distinct keeps the order of first
+    # occurrence, so the place in the distinct array orders words as their positions do.
     words = lines.select(
         "doc_id", "line_no", F.posexplode(F.array_distinct(split_words(F.col("line")))).alias("at", "word")
     )
-    return words.groupBy("word").agg(F.min(F.struct("doc_id", "line_no", "at")).alias("first"))
+    first = F.min(place(F.col("doc_id"), F.col("line_no"), F.col("at")))
+    return words.groupBy("word").agg(first.alias("first"))
 
 
 def fit_vocab(lines: DataFrame) -> DataFrame:
