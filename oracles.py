@@ -119,11 +119,6 @@ def vectors(name: str, ids: str, positions: int) -> str:
     {name} as materialized (select id, {columns} from {name}_plain)"""
 
 
-def softmax_list(x: str) -> str:
-    e = f"list_transform({x}, lambda v: exp(v - list_max({x})))"
-    return f"list_transform({e}, lambda v: v / list_sum({e}))"
-
-
 def attention(source: str, keys: str, rows: list[str], size: int) -> str:
     """softmax(X Xt / sqrt(size)) X for list columns, flattened into `features`."""
     n = range(len(rows))

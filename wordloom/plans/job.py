@@ -14,6 +14,7 @@ from wordloom.sources import sinks
 from wordloom.sources.session import stable
 from wordloom.sources.text import read_lines
 
+# Fixed value: the seed text of a run that names none.
 DEFAULT_SEED_TEXT = "The little cat"
 
 
