@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_fallback: dict[str, str] = {}  # one folder for an application in local mode
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the session names; a temporary one only in local mode, where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or _fallback.get(spark.sparkContext.applicationId)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="wordloom-checkpoint-")
+    folder = tempfile.mkdtemp(prefix="wordloom-checkpoint-")
+    return _fallback.setdefault(spark.sparkContext.applicationId, folder)
 
 
 def stable(df: DataFrame) -> DataFrame:
@@ -26,6 +31,18 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """df written once as Parquet to the checkpoint folder and read from there.
+
+    Later reads prune columns and push filters down. Rows stay as they are, partitions may be cut otherwise.
+    The files stay until the folder is cleared, as those of a checkpoint do without the cleaner setting.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark).rstrip('/')}/saved-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def widened(df: DataFrame, *keys: str) -> DataFrame:
     """df spread over the cluster's cores by its keys, if its files give fewer partitions than that.
 
