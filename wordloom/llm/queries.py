@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import bpe, chat, ordinal, quality_rules, secrets
+from wordloom.llm import bpe, chat, near, ordinal, quality_rules, secrets
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near.join_near(_table(spark, folder, "documents")).drop("digest")
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = quality_rules.apply_rules(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
     return found.select(
@@ -63,7 +67,7 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_quality_rules, op7_bpe, op8_secret_scans, op9_quality_classifier, op10_chat_formatting)
+    f.__name__: f for f in (op3_ngram_jaccard_join, op4_quality_rules, op7_bpe, op8_secret_scans, op9_quality_classifier, op10_chat_formatting)
 }
 
 
