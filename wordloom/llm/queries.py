@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import bpe, chat, decontaminate, near, ordinal, quality_rules, secrets
+from wordloom.llm import bpe, chat, decontaminate, near, ordinal, quality_rules, secrets, substrings
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeated_spans(_table(spark, folder, "documents")).drop("mark")
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -71,7 +75,7 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontamination, op3_ngram_jaccard_join, op4_quality_rules, op7_bpe, op8_secret_scans, op9_quality_classifier, op10_chat_formatting)
+    f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_ngram_jaccard_join, op4_quality_rules, op7_bpe, op8_secret_scans, op9_quality_classifier, op10_chat_formatting)
 }
 
 
