@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import bpe, chat, decontaminate, near, ordinal, quality_rules, secrets, substrings
+from wordloom.llm import bpe, chat, decontaminate, html_text, near, ordinal, quality_rules, secrets, substrings, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +35,19 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.resolve(warc.captures(_table(spark, folder, "pages")))
+    entry = F.transform("headers", lambda h: F.concat_ws("=", h["name"], h["value"]))
+    return found.select(
+        "record_id", "url", "date", "response_id", "state", F.array_join(entry, ";").alias("headers")
+    )
+
+
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_text.main_text(_table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     found = bpe.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return found.select(
@@ -75,7 +88,7 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_ngram_jaccard_join, op4_quality_rules, op7_bpe, op8_secret_scans, op9_quality_classifier, op10_chat_formatting)
+    f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_ngram_jaccard_join, op4_quality_rules, op5_warc_revisits, op6_html_extraction, op7_bpe, op8_secret_scans, op9_quality_classifier, op10_chat_formatting)
 }
 
 
