@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import bpe, chat, decontaminate, html_text, near, ordinal, quality_rules, secrets, substrings, warc
+from wordloom.llm.oracles import ORACLES
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -93,8 +94,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    import corpus_pipeline
+
+    return dict(QUERIES) | {"pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    import corpus_pipeline
+
+    return dict(ORACLES) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

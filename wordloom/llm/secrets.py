@@ -130,3 +130,49 @@ def is_base(span: Column) -> Column:
 
 def count_of(spans: Column, name: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["name"] == name)).cast("bigint")
+
+
+def redact(docs: DataFrame, repository: Column, owner: Column, copied_owners: int = 3) -> DataFrame:
+    """docs with every span that looks live replaced by its kind in brackets; copied examples stay as they are.
+
+    Spans that overlap are replaced as one, named by the first. n_chars, where docs has it, is that of the new text.
+    Other columns and the number of rows stay. Spans come back to their text by its id and a hash of it.
+    """
+    own = F.xxhash64(F.coalesce("text", F.lit("")))
+    source = docs.select(
+        "doc_id", "text", own.alias("_mark"), repository.alias("_place"), owner.alias("_holder")
+    )
+    found = find_secrets(source, F.col("_place"), F.col("_holder"), "text", copied_owners)
+    live = F.filter("spans", lambda s: ~s["copied"])
+    spans = (
+        found.select(F.col("doc_id").alias("_doc"), "_mark", live.alias("_live"))
+        .where(F.size("_live") > 0)
+        .groupBy("_doc", "_mark")
+        .agg(F.first("_live").alias("_live"))
+    )
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    doc, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    plain = docs.toDF(*names).withColumn("_own", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    joined = plain.join(spans, F.col(doc).eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_mark")), "left")
+
+    def step(done: Column, span: Column) -> Column:
+        between = F.substring(F.col(text), (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
+        named = F.concat(F.lit("["), span["name"], F.lit("]"))
+        return F.struct(
+            F.greatest(done["at"], span["end"]).alias("at"),
+            F.when(span["start"] >= done["at"], F.concat(done["parts"], F.array(between, named)))
+            .otherwise(done["parts"])
+            .alias("parts"),
+        )
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts"))
+    cut = F.aggregate("_live", start, step)
+    rest = F.substring(F.col(text), (cut["at"] + 1).cast("int"), F.length(text))
+    out = joined.withColumn(
+        text, F.when(F.col("_live").isNull(), F.col(text)).otherwise(F.concat(F.array_join(cut["parts"], ""), rest))
+    )
+    if "n_chars" in docs.columns:
+        size = names[docs.columns.index("n_chars")]
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn(size, F.when(F.col("_live").isNull(), F.col(size)).otherwise(F.length(text)).cast(kind))
+    return out.select(*names).toDF(*docs.columns)
