@@ -1,7 +1,7 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
 A document's grade is the number of ratings in its favour: rated of quality, rated not toxic; 0, 1 or 2. Its
-terms (runs of letters and digits, runs of other marks, and a few marks of style) are hashed to 64 bits. One
+terms (runs of letters and digits, runs of other marks, starts of words, and a few marks of style) are hashed to 64 bits. One
 weight per hash is shared by all grades, and ordered thresholds t_0 < t_1 tell them apart:
 P(grade <= k) = 1 / (1 + exp(score - t_k)). The model gives the expected grade and the chance of the top grade;
 a document is kept if that chance reaches a cutoff.
@@ -9,6 +9,7 @@ a document is kept if that chance reaches a cutoff.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +22,7 @@ from wordloom.llm.textbytes import Texts, U, map_texts, mix, stretch_hashes, win
 TOP = 2
 STYLE = U(0xA5A5000000000000)
 FILTER_BITS = 22
+STEMS = (4, 5, 6)  # bytes at the start of a longer word that are terms too
 
 
 @dataclass(frozen=True)
@@ -32,10 +34,9 @@ class Rating:
 
     sample_rows: int = 12_000
     min_documents: int = 4
-    rounds: int = 120
-    rate: float = 0.15
-    penalty: float = 2e-4
-    cutoff: float = 0.5
+    rounds: int = 60
+    penalty: float = 3e-4
+    cutoff: float = 0.75
 
 
 def grade(quality: Column, toxic: Column) -> Column:
@@ -77,13 +78,17 @@ def terms(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         later = np.zeros(len(key), bool)
         later[order[1:]] = key[order][1:] == key[order][:-1]
         twice = np.bincount(owner[four[later]], minlength=n) / count
-    size = np.log2(count)
+    length = np.log2(count)
     styles = [
         STYLE + U(1 << 32) * U(i) + np.minimum(np.floor(v * 10), 15).astype(U)
-        for i, v in enumerate((again, marks, capitals * 2, twice, size / 10))
+        for i, v in enumerate((again, marks, capitals * 2, twice, length / 10))
     ]
-    owner = np.concatenate([owner, *[np.arange(n)] * len(styles)])
-    hashes = np.concatenate([hashes, *[mix(s) for s in styles]])
+    stems = []
+    for size in STEMS:
+        long = (ends - starts > size) & (kind[starts] == 1)
+        stems.append((owner[long], mix(stretch_hashes(small, starts[long], starts[long] + size) + U(size))))
+    owner = np.concatenate([owner, *[s[0] for s in stems], *[np.arange(n)] * len(styles)])
+    hashes = np.concatenate([hashes, *[s[1] for s in stems], *[mix(s) for s in styles]])
     order = np.lexsort((hashes, owner))
     owner, hashes = owner[order], hashes[order]
     first = np.ones(len(owner), bool)
@@ -117,7 +122,7 @@ class Model:
 
 
 def fit_rows(grades: np.ndarray, owner: np.ndarray, hashes: np.ndarray, rating: Rating) -> Model:
-    """The model of rows 0, 1, 2...: penalised likelihood by Adam on all rows at once, so it depends on no order."""
+    """The model of rows 0, 1, 2...: penalised likelihood by quasi-Newton steps on all rows at once, so it depends on no order."""
     found, column, documents = np.unique(hashes, return_inverse=True, return_counts=True)
     frequent = documents >= rating.min_documents
     number = np.cumsum(frequent) - 1
@@ -128,34 +133,62 @@ def fit_rows(grades: np.ndarray, owner: np.ndarray, hashes: np.ndarray, rating:
     thresholds = np.log(shares / (1 - shares))
     thresholds[1] = max(thresholds[1], thresholds[0] + 0.1)
     # The second threshold is the first plus exp(gap): they stay ordered.
-    state = np.concatenate([np.zeros(width), [thresholds[0], np.log(thresholds[1] - thresholds[0])]])
-    mean, square = np.zeros_like(state), np.zeros_like(state)
-    for step in range(1, rating.rounds + 1):
+    start = np.concatenate([np.zeros(width), [thresholds[0], np.log(thresholds[1] - thresholds[0])]])
+    rows = np.arange(n)
+
+    def value(state: np.ndarray) -> tuple[float, np.ndarray]:
         weights, low, gap = state[:-2], state[-2], np.exp(np.clip(state[-1], -8, 4))
         score = np.bincount(owner, weights[column], minlength=n)
         below = 1 / (1 + np.exp(np.clip(score[:, None] - np.array([low, low + gap]), -60, 60)))
         edges = np.concatenate([np.zeros((n, 1)), below, np.ones((n, 1))], axis=1)
-        rows = np.arange(n)
         chance = np.maximum(edges[rows, grades + 1] - edges[rows, grades], 1e-12)
         slope = edges * (1 - edges)
         by_score = (slope[rows, grades + 1] - slope[rows, grades]) / chance
         upper = np.where(grades < TOP, slope[rows, grades + 1] / chance, 0)
         lower = np.where(grades > 0, slope[rows, grades] / chance, 0)
         by_threshold = [-(upper[grades == k].sum() - lower[grades == k + 1].sum()) for k in range(TOP)]
-        gradient = np.concatenate(
-            [
-                np.bincount(column, by_score[owner], minlength=width) / n + rating.penalty * weights,
-                [sum(by_threshold) / n, by_threshold[1] * gap / n],
-            ]
-        )
-        mean = 0.9 * mean + 0.1 * gradient
-        square = 0.99 * square + 0.01 * gradient**2
-        rate = rating.rate * (1 - 0.9 * step / rating.rounds)
-        state = state - rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-6)
+        gradient = np.bincount(column, by_score[owner], minlength=width) / n + rating.penalty * weights
+        loss = -np.log(chance).sum() / n + rating.penalty / 2 * (weights @ weights)
+        return loss, np.concatenate([gradient, [sum(by_threshold) / n, by_threshold[1] * gap / n]])
+
+    state = minimum(value, start, rating.rounds)
     gap = np.exp(np.clip(state[-1], -8, 4))
     return Model(found, state[:-2], np.array([state[-2], state[-2] + gap]))
 
 
+def minimum(value: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, rounds: int, memory: int = 8) -> np.ndarray:
+    """A point near the minimum of a smooth function, by limited-memory quasi-Newton steps."""
+    f, g = value(x)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(rounds):
+        q, factors = g.copy(), []
+        for s, y, r in reversed(past):
+            factors.append(r * (s @ q))
+            q -= factors[-1] * y
+        if past:
+            s, y, r = past[-1]
+            q *= 1 / (r * (y @ y))
+        for (s, y, r), a in zip(past, reversed(factors), strict=True):
+            q += s * (a - r * (y @ q))
+        slope, size = -(g @ q), 1.0 if past else 1.0 / max(np.abs(g).sum(), 1e-12)
+        for _ in range(20):
+            to = x - size * q
+            f_to, g_to = value(to)
+            if f_to <= f + 1e-4 * size * slope:
+                break
+            size /= 2
+        else:
+            break
+        s, y = to - x, g_to - g
+        if s @ y > 1e-12:
+            past = [*past[1 - memory :], (s, y, 1 / (s @ y))]
+        done = abs(f - f_to) < 1e-7 * max(1.0, abs(f))
+        x, f, g = to, f_to, g_to
+        if done:
+            break
+    return x
+
+
 def fit(docs: DataFrame, labels: DataFrame, rating: Rating | None = None) -> Model | None:
     """The model of at most rating.sample_rows labelled documents; None if none is labelled in full."""
     rating = rating or Rating()
