@@ -9,7 +9,8 @@ a document is kept if that chance reaches a cutoff.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import pickle
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -190,7 +191,7 @@ def minimum(value: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarr
 
 
 def fit(docs: DataFrame, labels: DataFrame, rating: Rating | None = None) -> Model | None:
-    """The model of at most rating.sample_rows labelled documents; None if none is labelled in full."""
+    """The model of at most rating.sample_rows labelled documents, fitted in one task; None if none is labelled."""
     rating = rating or Rating()
     graded = labels.select("doc_id", grade(F.col("quality"), F.col("toxic")).alias("grade")).where(
         F.col("grade").isNotNull() & F.col("doc_id").isNotNull()
@@ -211,12 +212,19 @@ def fit(docs: DataFrame, labels: DataFrame, rating: Rating | None = None) -> Mod
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = map_texts(sample, "text", work, f"doc_id {kind}, grade int, terms binary").dropDuplicates(["doc_id"])
-    rows = sorted(rows.limit(rating.sample_rows).collect())
-    if not rows:
-        return None
-    parts = [np.frombuffer(r["terms"], U) for r in rows]
-    owner = np.repeat(np.arange(len(rows)), [len(p) for p in parts])
-    return fit_rows(np.array([r["grade"] for r in rows]), owner, np.concatenate(parts), rating)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [r for b in batches for r in zip(*[b.column(c).to_pylist() for c in ("doc_id", "grade", "terms")], strict=True)]
+        if held:
+            held.sort(key=lambda r: r[0])
+            parts = [np.frombuffer(r[2], U) for r in held]
+            owner = np.repeat(np.arange(len(held)), [len(p) for p in parts])
+            model = fit_rows(np.array([r[1] for r in held]), owner, np.concatenate(parts), rating)
+            state = pickle.dumps((model.hashes, model.weights, model.thresholds))
+            yield pa.RecordBatch.from_arrays([pa.array([state], pa.binary())], ["state"])
+
+    found = rows.repartition(1).mapInArrow(learn, "state binary").first()
+    return None if found is None else Model(*pickle.loads(found["state"]))
 
 
 def score(docs: DataFrame, model: Model | None, rating: Rating | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
