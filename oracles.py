@@ -12,8 +12,8 @@ BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 RUN = r"'[ \t\n\x0B\f\r]+'"
 
 
-def md5_int(key: str, at: int) -> str:
-    return f"cast('0x' || substr(md5({key}), {at}, 8) as bigint)"
+def md5_int(key: str, at: int, digits: int = 8) -> str:
+    return f"cast('0x' || substr(md5({key}), {at}, {digits}) as bigint)"
 
 
 def key(*parts: str) -> str:
@@ -51,7 +51,8 @@ def lines(name: str, table: str, doc: str, text: str = "text") -> str:
 
 
 DOCS = lines("doc_lines", "documents", "doc_id")
-TURNS = lines("turn_lines", "conversations", "conv_id * 1000 + turn")
+TURN_KEY = "conv_id * (select max(turn) + 1 from conversations) + turn"
+TURNS = lines("turn_lines", "conversations", TURN_KEY)
 
 
 def words(line: str) -> str:
@@ -97,7 +98,7 @@ TURN_TOKENS = f"{TURNS}, {tokens('turn_tokens', 'turn_lines')}"
 TURN_VOCAB = f"{TURN_TOKENS}, {vocab('turn_vocab', 'turn_tokens')}"
 TURN_IDS = f"{TURN_VOCAB}, {encoded('turn_ids', 'turn_tokens', 'turn_vocab')}"
 # Whole turns as single lines, for seeds.
-SEEDS = "seed_lines as (select conv_id * 1000 + turn as doc_id, 0 as line_no, text as line from conversations)"
+SEEDS = f"seed_lines as (select {TURN_KEY} as doc_id, 0 as line_no, text as line from conversations)"
 SEED_TOKENS = f"{SEEDS}, {tokens('seed_tokens', 'seed_lines')}"
 
 IS_TRAIN = f"{md5_int(key('doc_id', 'line_no'), 1)} % 100 < 80"
@@ -201,6 +202,18 @@ CLASSES = """classes as (select quality as c from labels union select toxic from
     scored as (select *, case when precision + recall > 0 then 2 * precision * recall / (precision + recall) else 0 end as f1
       from per_class)"""
 
+
+
+def batches(rows: str) -> str:
+    """Each sample of `rows` in its shard and batch."""
+    shard = f"""cast({md5_int(key('doc_id', 'line_no', 'k'), 17, 15)}
+      % (select (count(*) + {ROWS_PER_SHARD - 1}) // {ROWS_PER_SHARD} from chosen) as integer)"""
+    return f"""chosen as ({rows}),
+    sharded as (select doc_id, line_no, k, label, {shard} as shard from chosen),
+    batched as (select *, (row_number() over (partition by shard order by doc_id, line_no, k) - 1) // {BATCH} as batch_no
+      from sharded)"""
+
+
 WINDOW_COLUMNS = f"doc_id, line_no, k, {joined('context')} as context, label, is_partial"
 
 ORACLES: dict[str, str] = {
@@ -231,9 +244,14 @@ ORACLES: dict[str, str] = {
         select doc_id, line_no, pos, word, id, is_oov from ids""",
     "decode": f"""with {DOC_IDS}
         select l.doc_id, l.line_no,
-          coalesce(string_agg(case when id < {VOCABULARY} then word else '' end, ' ' order by pos), '') as text
+          coalesce(string_agg(word, ' ' order by pos), '') as text
         from doc_lines l left join doc_ids i on l.doc_id = i.doc_id and l.line_no = i.line_no
         group by l.doc_id, l.line_no""",
+    "decode_unknown": f"""with {DOC_IDS}, {TURNS}, {tokens('turn_tokens', 'turn_lines')}, {vocab('turn_vocab', 'turn_tokens')}
+        select l.doc_id, l.line_no,
+          coalesce(string_agg(coalesce(v.word, ''), ' ' order by pos) filter (i.id is not null), '') as text
+        from doc_lines l left join doc_ids i on l.doc_id = i.doc_id and l.line_no = i.line_no
+        left join turn_vocab v on v.id = i.id group by l.doc_id, l.line_no""",
     "normalize_ws": f"select doc_id, regexp_replace(text, {RUN}, ' ', 'g') as text from documents",
     "sliding_windows_w1": f"with {DOC_IDS}, {windows('w', 'doc_ids', 1)} select {WINDOW_COLUMNS} from w",
     "sliding_windows_w3": f"with {DOC_IDS}, {windows('w', 'doc_ids', 3)} select {WINDOW_COLUMNS} from w",
@@ -242,7 +260,7 @@ ORACLES: dict[str, str] = {
         select {WINDOW_COLUMNS} from w where {IS_TRAIN}""",
     "minibatches": f"""with {DOC_IDS}, {windows('w', 'doc_ids', 1)},
         sharded as (select doc_id, line_no, k,
-          cast({md5_int(key('doc_id', 'line_no', 'k'), 17)}
+          cast({md5_int(key('doc_id', 'line_no', 'k'), 17, 15)}
             % (select (count(*) + {ROWS_PER_SHARD - 1}) // {ROWS_PER_SHARD} from w) as integer) as shard from w)
         select doc_id, line_no, k, shard,
           (row_number() over (partition by shard order by doc_id, line_no, k) - 1) // {BATCH} as batch_no
@@ -304,6 +322,16 @@ ORACLES: dict[str, str] = {
           {micro('sum(recall * support) / sum(support)')} as recall,
           {micro('sum(f1 * support) / sum(support)')} as f1
         from scored""",
+    "partition_count": f"with {DOCS} select count(*) as rows, true as has_partitions from doc_lines",
+    "train_batches": f"""with {DOC_IDS}, {windows('w', 'doc_ids', 1)}, {batches(f'select * from w where {IS_TRAIN}')}
+        select shard, batch_no, count(*) as total from batched group by all""",
+    "epoch_counts": f"""with {TURN_IDS}, {windows('w', 'turn_ids', 1)}, {batches(f'select * from w where {IS_TRAIN}')},
+        counted as (select count(distinct (shard, batch_no)) as batches, count(*) as predictions,
+          cast((count(*) + {ROWS_PER_SHARD - 1}) // {ROWS_PER_SHARD} as integer) as shards,
+          count(*) filter (k = 0) as lines, count(*) filter (label >= {VOCABULARY}) as out_of_range from batched)
+        select cast(epoch as integer) as epoch, round(0.005::double * pow(0.9::double, epoch - 1), 6) as learning_rate,
+          batches, predictions, shards, batches as snapshots, lines, out_of_range
+        from counted, range(1, 11) e(epoch)""",
     "seed_context": f"""with {DOC_VOCAB}, {SEED_TOKENS}, {encoded('ids', 'seed_tokens', 'doc_vocab')},
         ranked as (select doc_id, pos, id, row_number() over (partition by doc_id order by pos desc) as r from ids)
         select s.doc_id as seed_row, coalesce(string_agg(cast(id as varchar), ' ' order by pos), '') as context
@@ -316,7 +344,7 @@ ORACLES: dict[str, str] = {
         from running group by vec_id""",
     "format_generated": f"""with {SEED_TOKENS}, {vocab('words', 'seed_tokens')}, {encoded('ids', 'seed_tokens', 'words')},
         texts as (select s.doc_id, any_value(s.line) as line,
-          coalesce(string_agg(case when id < {VOCABULARY} then word else '' end, ' ' order by pos), '') as text
+          coalesce(string_agg(word, ' ' order by pos), '') as text
           from seed_lines s left join ids i on s.doc_id = i.doc_id group by s.doc_id)
         select doc_id as seed_row,
           'Generated text: ' || line || ' -> ' || regexp_replace(text, {RUN}, ' ', 'g') as output from texts""",

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wordloom.config import Limits, ModelConfig
+from wordloom.config import ModelConfig
 from wordloom.functions import draws, vectors
 from wordloom.operators import features
 from wordloom.operators.network import ContextFeatures, sample_rows, uniform_draws
@@ -55,11 +55,10 @@ def test_attention(spark):
     np.testing.assert_allclose(got[1]["attended"], [x[0]], rtol=1e-12)
 
 
-@pytest.mark.parametrize("width", [1, 2, 3])
-@pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0, hot_keys=3)])
-def test_both_ways_to_features_agree(spark, width, limits):
-    """The column expressions, with and without broadcast, and the batch form used in tasks."""
-    cfg = replace(CFG, window_size=width, limits=limits)
+@pytest.mark.parametrize("width", [1, 2, 3, 16])
+def test_batches_and_expressions_agree(spark, width):
+    """Matrices and features made in batches, against the column expressions for vectors and attention."""
+    cfg = replace(CFG, window_size=width)
     rng = np.random.default_rng(0)
     rows = [rng.integers(0, 6, width).tolist() for _ in range(50)] + [[]] + [[2] * (width - 1)]
     got = features.sample_features(contexts(spark, rows), cfg).orderBy("i").collect()
@@ -67,6 +66,24 @@ def test_both_ways_to_features_agree(spark, width, limits):
     padded = np.array([r + [0] * (width - len(r)) for r in rows]).reshape(len(rows), width)
     np.testing.assert_allclose([r["features"] for r in got], ContextFeatures(cfg)(padded, full), atol=1e-12)
     assert [r["mask"] for r in got] == full.astype(int).tolist()
+    matrices = features.embedding_matrix(contexts(spark, rows), cfg).cache()
+    found = matrices.select("i", F.posexplode("matrix").alias("pos", "row"), F.get("context", F.col("pos")).alias("id"))
+    drawn = vectors.token_vector(F.col("id"), cfg.embedding_size, cfg.seed)
+    for r in found.withColumn("vector", drawn).collect():
+        want = np.array(r["vector"]) + ContextFeatures(cfg).positions[r["pos"]]
+        np.testing.assert_allclose(r["row"], want, atol=1e-12)
+    attended = features.attend(matrices.where(F.size("context") == width), cfg.embedding_size)
+    want = {r["i"]: r["features"] for r in got}
+    for r in attended.collect():
+        np.testing.assert_allclose(r["features"], want[r["i"]], atol=1e-9)
+
+
+def test_plans_do_not_grow_with_the_window(spark):
+    sizes = set()
+    for width in (1, 2, 4, 8):
+        made = features.sample_features(contexts(spark, [[1] * width]), replace(CFG, window_size=width))
+        sizes.add(made._jdf.queryExecution().optimizedPlan().toString().count("\n"))
+    assert len(sizes) == 1
 
 
 def test_softmax_and_temperature(spark):

@@ -2,12 +2,13 @@ from dataclasses import replace
 
 from wordloom.config import ModelConfig
 from wordloom.operators.model import load_model, to_array
+from wordloom.operators.vocab import load_vocab
 from wordloom.operators.network import model_sizes, parameter_count
 from wordloom.plans import job
 
-TEXT = """the quick brown fox jumps over the lazy dog
-a quick brown dog jumps over the fox
-the lazy fox sleeps while the dog jumps
+TEXT = """old boats drift past the stone pier and rest
+gulls drift past old boats and the pier
+the stone pier and gulls rest
 """
 
 
@@ -15,20 +16,38 @@ def test_text_file_to_generated_text(spark, tmp_path):
     (tmp_path / "in.txt").write_text(TEXT * 4)
     cfg = ModelConfig(epochs=2)
     out = lambda name: str(tmp_path / "{instant}" / name)
-    result = job.run(spark, str(tmp_path / "in.txt"), out("text"), out("stats"), ["the quick"], cfg, out("model"))
+    result = job.run(spark, str(tmp_path / "in.txt"), out("text"), out("stats"), ["old boats"], cfg, out("model"))
     folder = tmp_path / result.run_id
     [line] = [r["value"] for r in spark.read.text(str(folder / "text")).collect()]
-    prefix = "Generated text: the quick -> "
+    prefix = "Generated text: old boats -> "
     assert line.startswith(prefix) and "  " not in line.removeprefix(prefix)
     [part] = (folder / "stats").glob("part-*")
     assert [row.split(",")[0] for row in part.read_text().splitlines()] == ["epoch", "1", "2"]
-    assert result.vocab.count() == 11
-    assert result.validation.first()["n"] > 0
+    assert result.vocab.count() == 10
+    checks = result.validation.orderBy("epoch").collect()
+    assert [r["epoch"] for r in checks] == [1, 2] and checks[0]["n"] > 0
+    [part] = (folder / "stats-validation").glob("part-*")
+    assert part.read_text().startswith("epoch,n,accuracy") and len(part.read_text().splitlines()) == 3
+    words = load_vocab(spark, str(folder / "model-vocab"))
+    assert sorted(words.collect()) == sorted(result.vocab.select("word", "id").collect())
     assert to_array(load_model(spark, str(folder / "model")), model_sizes(cfg)).size == parameter_count(model_sizes(cfg))
 
 
 def test_wider_windows(spark, tmp_path):
     (tmp_path / "in.txt").write_text(TEXT * 2)
     cfg = replace(ModelConfig(), epochs=1, window_size=3, num_predictions=5, vocabulary_size=20)
-    result = job.run(spark, str(tmp_path / "in.txt"), str(tmp_path / "t"), str(tmp_path / "s"), ["fox", "the lazy dog"], cfg)
+    result = job.run(spark, str(tmp_path / "in.txt"), str(tmp_path / "t"), str(tmp_path / "s"), ["pier", "the stone pier"], cfg)
     assert result.generated.where("output is not null").count() == 2
+
+
+def test_a_saved_run_goes_on(spark, tmp_path):
+    (tmp_path / "in.txt").write_text(TEXT * 3)
+    out = lambda name: str(tmp_path / name)
+    small = replace(ModelConfig(), layer_size=8, embedding_size=4, vocabulary_size=6, num_predictions=5)
+    source = out("in.txt")
+    job.run(spark, source, out("t"), out("s"), ["old"], replace(small, epochs=1), out("m1"))
+    more = job.run(spark, source, out("t"), out("s"), ["old"], replace(small, epochs=1), out("m2"), out("m1"))
+    whole = job.run(spark, source, out("t"), out("s"), ["old"], replace(small, epochs=2), out("m3"))
+    sizes = model_sizes(small)
+    assert (to_array(more.trained.model, sizes) == to_array(whole.trained.model, sizes)).all()
+    assert more.trained.epoch_metrics.first()["epoch"] == 2

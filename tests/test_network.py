@@ -21,7 +21,7 @@ def trainer():
 
 def test_default_architecture():
     sizes = model_sizes(ModelConfig())
-    assert sizes == [32, 128, 128, 3000] and parameter_count(sizes) == 407_736
+    assert sizes == [32, 128, 128, 3001] and parameter_count(sizes) == 407_865
     assert len({layer for layer, _, _ in layout(sizes)}) == 3
 
 

@@ -3,23 +3,35 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.places import parts, place
 
-SCHEMA = "d bigint, l bigint, p int"
+SCHEMA = "d bigint, l bigint"
 
 
 def test_order_and_round_trip(spark):
     docs = [-(2**63), -(2**63) + 1, -5, -1, 0, 1, 7, 2**63 - 1]
-    rows = sorted((d, l, p) for d in docs for l in (0, 1, 2**31 - 1) for p in (0, 3, 2**31 - 1))
-    table = spark.createDataFrame(rows, SCHEMA).withColumn("n", place(F.col("d"), F.col("l"), F.col("p")))
-    d, l, p = parts(F.col("n"))
-    found = table.orderBy("n").select(d.alias("d"), l.alias("l"), p.alias("p"), "n").collect()
-    assert [tuple(r)[:3] for r in found] == rows
+    rows = sorted((d, l) for d in docs for l in (0, 1, 2**31, 2**62 - 1))
+    table = spark.createDataFrame(rows, SCHEMA).withColumn("n", place(F.col("d"), F.col("l")))
+    d, l = parts(F.col("n"))
+    found = table.orderBy("n").select(d.alias("d"), l.alias("l"), "n").collect()
+    assert [tuple(r)[:2] for r in found] == rows
     assert len({r["n"] for r in found}) == len(rows)
 
 
 def test_lines_beyond_the_range_are_refused(spark):
-    table = spark.createDataFrame([(0, 2**31, 0)], SCHEMA)
+    table = spark.createDataFrame([(0, 2**62)], SCHEMA)
     with pytest.raises(Exception, match="line number"):
-        table.select(place(F.col("d"), F.col("l"), F.col("p"))).collect()
+        table.select(place(F.col("d"), F.col("l"))).collect()
+
+
+def test_vocabulary_of_lines_past_two_to_the_31(spark):
+    from wordloom.operators.corpus import distinct_words
+    from wordloom.operators.vocab import fit_vocab
+
+    lines = spark.createDataFrame(
+        [(0, 2**31 + 5, "late b late"), (0, 2**31 + 4, "b early"), (1, 0, "later")], "doc_id bigint, line_no bigint, line string"
+    )
+    assert {r["word"]: r["id"] for r in fit_vocab(lines).collect()} == {"b": 0, "early": 1, "late": 2, "later": 3}
+    found = {r["word"]: (r["doc_id"], r["line_no"], r["pos"], r["n"]) for r in distinct_words(lines).collect()}
+    assert found["late"] == (0, 2**31 + 5, 0, 2) and found["b"] == (0, 2**31 + 4, 0, 2)
 
 
 def test_first_places_need_no_sort(spark):

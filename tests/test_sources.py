@@ -13,10 +13,12 @@ def test_lines_of_a_table(spark):
 
 
 def test_turn_key(spark):
-    turns = spark.createDataFrame([(2, 3)], "conv_id bigint, turn bigint")
-    assert turns.select(turn_key().alias("k")).first()["k"] == 2003
-    with pytest.raises(Exception, match="does not fit"):
-        turns.select(turn_key(width=3).alias("k")).collect()
+    turns = spark.createDataFrame([(2, 3), (2, 1000), (3, 0)], "conv_id bigint, turn bigint")
+    assert sorted(r["k"] for r in turns.select(turn_key(turns).alias("k")).collect()) == [2005, 3002, 3003]
+    for bad in (-1, None):
+        wrong = spark.createDataFrame([(2, bad)], "conv_id bigint, turn bigint")
+        with pytest.raises(Exception, match="does not fit"):
+            wrong.select(turn_key(wrong).alias("k")).collect()
 
 
 @pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0)])
@@ -67,9 +69,9 @@ def test_widened_only_if_narrow(spark):
 
 def test_metrics_and_text_sinks(spark, tmp_path):
     metrics = spark.createDataFrame(
-        [(2, 0.0045, 1.5, 33.3333, 3, 30, 12, 1, 3, 9, 0), (1, 0.005, 2.0, 25.0, 3, 30, 12, 1, 3, 9, 0)],
+        [(2, 0.0045, 1.5, 33.3333, 3, 30, 12, 1, 3, 9, 0, 4), (1, 0.005, 2.0, 25.0, 3, 30, 12, 1, 3, 9, 0, 4)],
         "epoch int, learning_rate double, avg_loss double, accuracy_pct double, batches bigint, predictions bigint, "
-        "duration_ms bigint, shards int, snapshots bigint, lines bigint, out_of_range bigint",
+        "duration_ms bigint, shards int, snapshots bigint, lines bigint, out_of_range bigint, partitions int",
     )
     folder = sinks.stamped(str(tmp_path / "{instant}" / "stats"), "now")
     assert "/now/" in folder
@@ -77,10 +79,10 @@ def test_metrics_and_text_sinks(spark, tmp_path):
     [part] = (tmp_path / "now" / "stats").glob("part-*")
     header, first, second = part.read_text().splitlines()
     assert header.startswith("epoch,learning_rate,avg_loss,accuracy_pct,batches,predictions,duration_ms,shards")
-    assert first == "1,0.005000,2.0000,25.00,3,30,12,1,3,9,0" and second.startswith("2,0.004500,1.5000,33.33,")
+    assert first == "1,0.005000,2.0000,25.00,3,30,12,1,3,9,0,4" and second.startswith("2,0.004500,1.5000,33.33,")
     made = spark.createDataFrame([("x",), (None,)], "output string")
     sinks.write_generated(made, str(tmp_path / "text"))
-    assert [r["value"] for r in spark.read.text(str(tmp_path / "text")).collect()] == ["x"]
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "text")).collect()] == ["x", ""]
     for run in ("r1", "r2"):
         sinks.append_run(made, str(tmp_path / "runs"), run)
     assert spark.read.parquet(str(tmp_path / "runs")).groupBy("run_id").count().count() == 2

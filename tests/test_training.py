@@ -43,7 +43,7 @@ def test_save_and_load(spark, tmp_path):
 def test_models_of_another_shape_are_refused(spark):
     model = initial_model(spark, SMALL)
     with pytest.raises(ValueError):
-        to_array(model, [8, 16, 16, 13])
+        to_array(model, [8, 16, 16, 14])
     with pytest.raises(ValueError):
         to_array(model.where("block_id != 1"), SIZES)
     with pytest.raises(ValueError):
@@ -123,12 +123,17 @@ def test_gradient_stats_every_tenth_batch(rows):
     assert stats["grad_min"] < stats["grad_mean"] < stats["grad_max"] and stats["recorded"] == len(kept)
 
 
-def test_labels_beyond_the_output_are_counted(rows):
+def test_labels_beyond_the_vocabulary_train_the_last_output(spark, rows):
     few = replace(SMALL, vocabulary_size=4)
-    found = training.train(rows, few, epochs=1).epoch_metrics.first()
+    trained = training.train(rows, few, epochs=6)
+    found = trained.epoch_metrics.orderBy("epoch").collect()
     beyond = rows.where("label >= 4").count()
-    assert beyond > 0 and found["out_of_range"] == beyond
-    assert found["predictions"] == rows.count() - beyond
+    assert beyond > 0 and found[0]["out_of_range"] == beyond
+    assert found[0]["predictions"] == rows.count()
+    folded = scoring.folded(scoring.predict(rows, trained.model, few), few)
+    assert folded.agg(F.max("label")).first()[0] == 4
+    assert folded.where("label = 4 and prediction = 4").count() > 0.8 * beyond
+    assert folded.where("nll is null").count() == 0
 
 
 def test_empty_epoch_keeps_the_model(spark, rows):
@@ -141,6 +146,27 @@ def test_training_goes_on_from_a_model(spark, rows):
     halves = training.train(rows, SMALL, epochs=1)
     more = training.train(rows, SMALL, epochs=1, model=halves.model)
     assert more.epoch_metrics.first()["avg_loss"] < halves.epoch_metrics.first()["avg_loss"]
+    assert more.epoch_metrics.first()["epoch"] == 2 and more.model.first()["epoch"] == 2
+    whole = training.train(rows, SMALL, epochs=2)
+    np.testing.assert_array_equal(to_array(more.model, SIZES), to_array(whole.model, SIZES))
+    second = whole.epoch_metrics.where("epoch = 2").drop("duration_ms").first()
+    assert more.epoch_metrics.drop("duration_ms").first() == second
+
+
+def test_validation_after_every_epoch(spark, rows):
+    kept, held = rows.where("line_no < 80"), rows.where("line_no >= 80")
+    trained = training.train(kept, SMALL, epochs=3, held_out=held)
+    found = trained.validation.orderBy("epoch").collect()
+    assert [r["epoch"] for r in found] == [1, 2, 3] and {r["n"] for r in found} == {held.count()}
+    last = metrics.evaluate(scoring.folded(scoring.predict(held, trained.model, SMALL), SMALL)).first()
+    assert found[-1]["accuracy"] == last["accuracy"]
+
+
+def test_large_parameters_are_refused(spark, rows):
+    sharded, counts = training.prepare(rows, SMALL)
+    flat = np.full(parameter_count(SIZES), 9.0)
+    with pytest.raises(Exception, match="over 8 in size"):
+        training.run_pass(sharded, flat, SMALL, 1, SIZES, counts["grid"])
 
 
 def test_average_vectors_by_hand(spark):
@@ -165,7 +191,7 @@ def test_predict_and_evaluate(spark, rows):
     assert found["n"] == rows.count() and found["accuracy"] == pytest.approx(right / rows.count())
     assert right / rows.count() > 0.3
     beyond = scoring.predict(rows.withColumn("label", F.lit(99).cast("bigint")), trained.model, cfg)
-    assert beyond.where("nll is not null").count() == 0
+    assert beyond.where("nll is null").count() == 0
 
 
 def test_features_and_contexts_score_alike(spark, rows):
@@ -193,4 +219,4 @@ def test_accuracy_without_predictions(spark):
 
 
 def test_parameter_count_of_small_model():
-    assert parameter_count(SIZES) == 8 * 16 + 16 + 16 * 16 + 16 + 16 * 12 + 12
+    assert parameter_count(SIZES) == 8 * 16 + 16 + 16 * 16 + 16 + 16 * 13 + 13

@@ -20,6 +20,11 @@ def hash32(digest_col: Column, at: int) -> Column:
     return F.conv(F.substring(digest_col, at, 8), 16, 10).cast("bigint")
 
 
+def hash60(digest_col: Column, at: int) -> Column:
+    """60-bit integer from fifteen hex digits of a digest: even when taken modulo large numbers."""
+    return F.conv(F.substring(digest_col, at, 15), 16, 10).cast("bigint")
+
+
 def uniform(digest_col: Column, at: int) -> Column:
     """Uniform draw in (0, 1)."""
     return (hash32(digest_col, at) + F.lit(1)) / F.lit(TWO_32)

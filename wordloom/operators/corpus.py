@@ -32,12 +32,6 @@ def split_train(lines: DataFrame, percent: int = 80, seed: int = 42) -> DataFram
     return lines.withColumn("is_train", bucket < percent)
 
 
-def random_split(lines: DataFrame, train: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Spark's own split; unlike split_train it depends on the partitioning."""
-    first, second = lines.randomSplit([train, 1.0 - train], seed)
-    return first, second
-
-
 def tokenize(lines: DataFrame) -> DataFrame:
     """Lines with their words as an array."""
     return lines.withColumn("words", split_words(F.col("line")))
@@ -55,7 +49,19 @@ def distinct_words(lines: DataFrame) -> DataFrame:
 
     Partial minima and counts are taken before the shuffle, so a frequent word costs one row per task.
     """
-    place = places.place(F.col("doc_id"), F.col("line_no"), F.col("pos"))
-    words = explode_tokens(lines).groupBy("word").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    doc_id, line_no, pos = places.parts(F.col("first"))
-    return words.select("word", doc_id.alias("doc_id"), line_no.alias("line_no"), pos.alias("pos"), "n")
+    # In a line, its words in order: a word's first position, and how many follow up to the next word.
+    pairs = F.transform(split_words(F.col("line")), lambda w, i: F.struct(w.alias("word"), i.alias("pos")))
+    sorted_words = lines.select("doc_id", "line_no", F.array_sort(pairs).alias("_s")).where(F.size("_s") > 0)
+    is_first = lambda j: (j == 0) | (F.get("_s", j - 1)["word"] != F.get("_s", j)["word"])
+    heads = sorted_words.withColumn("_at", F.filter(F.sequence(F.lit(0), F.size("_s") - 1), is_first))
+    each = heads.select("doc_id", "line_no", "_s", "_at", F.posexplode("_at").alias("_t", "_j")).select(
+        places.place(F.col("doc_id"), F.col("line_no")).alias("_line"),
+        F.get("_s", F.col("_j"))["word"].alias("word"),
+        F.get("_s", F.col("_j"))["pos"].alias("pos"),
+        (F.coalesce(F.get("_at", F.col("_t") + 1), F.size("_s")) - F.col("_j")).alias("times"),
+    )
+    found = each.groupBy("word").agg(
+        F.min("_line").alias("first"), F.min_by("pos", "_line").alias("pos"), F.sum("times").alias("n")
+    )
+    doc_id, line_no = places.parts(F.col("first"))
+    return found.select("word", doc_id.alias("doc_id"), line_no.alias("line_no"), "pos", "n")

@@ -53,6 +53,7 @@ def epoch_metrics(log: DataFrame, durations: list[tuple[int, float, int]], count
             F.col("batches").alias("snapshots"),
             F.lit(counts["lines"]).alias("lines"),
             F.lit(counts["out_of_range"]).alias("out_of_range"),
+            F.lit(counts["partitions"]).alias("partitions"),
         )
     )
 

@@ -23,7 +23,13 @@ def layout(sizes: list[int]) -> list[tuple[int, str, tuple[int, ...]]]:
 
 
 def model_sizes(cfg: ModelConfig) -> list[int]:
-    return [cfg.input_size, cfg.layer_size, cfg.layer_size, cfg.vocabulary_size]
+    """The last output stands for every word beyond the first vocabulary_size: no sample is left out."""
+    return [cfg.input_size, cfg.layer_size, cfg.layer_size, cfg.vocabulary_size + 1]
+
+
+def as_outputs(labels: np.ndarray, outputs: int) -> np.ndarray:
+    """The output of each label: its own, or the last one for all ids from there on."""
+    return np.minimum(labels, outputs - 1)
 
 
 def parameter_count(sizes: list[int]) -> int:
@@ -179,6 +185,13 @@ class ContextFeatures:
             self.known.update(zip(fresh, values.reshape(-1, size)))
         return np.stack([self.known[t] for t in tokens.tolist()])
 
+    def vectors_at(self, tokens: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Token vectors with the values of their positions, one row each."""
+        if not len(tokens):
+            return np.zeros((0, self.cfg.embedding_size))
+        ids, at = np.unique(tokens, return_inverse=True)
+        return self._vectors(ids)[at] + self.positions[places]
+
     def __call__(self, contexts: np.ndarray, full: np.ndarray) -> np.ndarray:
         """contexts [n, positions]; rows that are not full give zeros."""
         n, width = contexts.shape

@@ -14,24 +14,22 @@ from wordloom.sources.session import task_limit
 def sliding_windows(encoded: DataFrame, width: int) -> DataFrame:
     """doc_id, line_no, k, context, label, is_partial: every run of `width` ids and the id after it.
 
-    A line of 1 to `width` ids gives one partial window, an empty line none. Narrow: windows are
-    built inside the line's array, and samples are named by (doc_id, line_no, k).
+    A line of 1 to `width` ids gives one partial window, an empty line none. Narrow: places are exploded
+    and a window is cut at each, so a row never holds all windows of a line.
     """
-    ids, size = F.col("ids"), F.size("ids")
-    window = "struct<context:array<bigint>,label:bigint>"
-    full = F.transform(
-        F.sequence(F.lit(0), size - width - 1),
-        lambda k: F.struct(F.slice(ids, k + 1, width).alias("context"), F.get(ids, k + width).alias("label")),
+    size, k = F.size("ids"), F.col("k")
+    last = F.when(size > width, size - width - 1).when(size > 0, F.lit(0))
+    places = F.when(last.isNotNull(), F.sequence(F.lit(0), last))
+    placed = encoded.select("doc_id", "line_no", (size <= width).alias("is_partial"), F.explode(places).alias("k"), "ids")
+    cut = F.when(F.col("is_partial"), F.size("ids") - 1).otherwise(F.lit(width))
+    return placed.select(
+        "doc_id",
+        "line_no",
+        "k",
+        F.slice("ids", k + 1, cut).alias("context"),
+        F.get("ids", k + cut).alias("label"),
+        "is_partial",
     )
-    partial = F.array(
-        F.struct(F.slice(ids, F.lit(1), size - 1).alias("context"), F.get(ids, size - 1).alias("label"))
-    )
-    windows = (
-        F.when(size > width, full).when(size > 0, partial).otherwise(F.array().cast(f"array<{window}>"))
-    )
-    return encoded.select(
-        "doc_id", "line_no", (size <= width).alias("is_partial"), F.posexplode(windows).alias("k", "window")
-    ).select("doc_id", "line_no", "k", "window.context", "window.label", "is_partial")
 
 
 def training_samples(
@@ -44,7 +42,7 @@ def training_samples(
 def shard_of(seed: int, num_shards: int) -> Column:
     """Shard a sample belongs to: an even spread, whatever the documents' sizes."""
     sample = draws.digest(seed, F.col("doc_id"), F.col("line_no"), F.col("k"))
-    return (draws.hash32(sample, 17) % num_shards).cast("int")
+    return (draws.hash60(sample, 17) % num_shards).cast("int")
 
 
 def assign_batches(samples: DataFrame, num_shards: int, batch_size: int, seed: int = 42) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from wordloom.config import ModelConfig
 from wordloom.operators.arrow import list_rows, numbers
 from wordloom.operators.model import check_size, to_array
-from wordloom.operators.network import ContextFeatures, Network, log_softmax, model_sizes
+from wordloom.operators.network import ContextFeatures, Network, as_outputs, log_softmax, model_sizes
 
 # Rows scored at once: bounds the [rows, outputs] matrix of a task.
 CHUNK = 2048
@@ -23,8 +23,8 @@ def predict(
     """Adds prediction, prob (of the prediction) and nll (of the label, if rows have one).
 
     Rows carry either `features` or a `context` from which features are computed in the task. A
-    context that is not full is scored on zero features and has nll 0; so has, with a null, a label
-    beyond the output layer. Narrow: rows stay in their partitions.
+    context that is not full is scored on zero features and has nll 0. Labels from the last output on are
+    scored as that output. Narrow: rows stay in their partitions.
     """
     sizes = sizes or model_sizes(cfg)
     check_size(sizes, cfg.max_model_bytes)
@@ -50,9 +50,8 @@ def predict(
                 nll = pa.nulls(len(x), pa.float64())
                 if has_label:
                     labels = numbers(part.column("label")).astype(np.int64)
-                    known = (labels >= 0) & (labels < sizes[-1])
-                    picked = -logp[at, np.where(known, labels, 0)].astype(np.float64) * full
-                    nll = pa.array(picked, pa.float64(), mask=~known)
+                    picked = -logp[at, as_outputs(labels, sizes[-1])].astype(np.float64) * full
+                    nll = pa.array(picked, pa.float64())
                 new = [
                     pa.array(best.astype(np.int64)),
                     pa.array(np.exp(logp[at, best]).astype(np.float64)),
@@ -65,9 +64,13 @@ def predict(
     return rows.mapInArrow(score, out_schema)
 
 
+def folded(scored: DataFrame, cfg: ModelConfig) -> DataFrame:
+    """Labels as outputs: those beyond the first vocabulary_size are the last one."""
+    return scored.withColumn("label", F.least("label", F.lit(cfg.vocabulary_size).cast("bigint")))
+
+
 def loss(scored: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Negative log-likelihood summed over the rows and divided by their number, per key or overall."""
-    in_range = scored.where(F.col("nll").isNotNull())
-    return in_range.groupBy(*(keys or [])).agg(
+    return scored.groupBy(*(keys or [])).agg(
         F.count(F.lit(1)).alias("rows"), (F.sum("nll") / F.count(F.lit(1))).alias("loss")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.config import ModelConfig
-from wordloom.operators import metrics
+from wordloom.operators import metrics, scoring
 from wordloom.operators.arrow import list_rows, numbers
 from wordloom.operators.model import check_size, initial_model, split_blocks, to_array, to_table
-from wordloom.operators.network import ContextFeatures, Trainer, dropout, model_sizes
+from wordloom.operators.network import ContextFeatures, Trainer, as_outputs, dropout, model_sizes
 from wordloom.operators.samples import shard_samples
-from wordloom.sources.session import stable
+from wordloom.sources.session import saved, stable
 
 # One job writes both kinds of row of a pass, so that training runs once.
 PASS_SCHEMA = (
@@ -44,6 +45,7 @@ PASS_TYPES = pa.schema(
     ]
 )
 GRADIENT_EVERY = 10
+LARGEST = 8  # the size of parameters for which sums on the grid are exact
 
 
 def sum_grid(batches: int) -> float:
@@ -66,7 +68,7 @@ class ShardPass:
 
     def step(self, x: np.ndarray, labels: np.ndarray, mask: np.ndarray) -> None:
         """Score, update, predict on one batch."""
-        x = x.astype(self.cfg.dtype)
+        x, labels = x.astype(self.cfg.dtype), as_outputs(labels, self.net.sizes[-1])
         loss = self.net.loss(x, labels, mask)
         key = [self.cfg.seed, self.epoch, self.shard, self.batch_no]
         keeps = dropout(len(x), self.net.sizes, self.cfg.drop_prob, key, self.cfg.dtype)
@@ -133,6 +135,8 @@ def run_pass(
             nonlocal total, snapshots
             if held:
                 take(True)
+            if np.abs(current.sum).max() > LARGEST * current.batch_no:
+                raise OverflowError(f"parameters over {LARGEST} in size: their sums would not be exact")
             total += np.rint(current.sum * grid) / grid
             snapshots += current.batch_no
             return current.log_batch()
@@ -202,37 +206,49 @@ class TrainResult:
     model: DataFrame
     batch_log: DataFrame
     epoch_metrics: DataFrame
+    validation: DataFrame | None = None
 
 
 def prepare(samples: DataFrame, cfg: ModelConfig) -> tuple[DataFrame, dict]:
     """Samples sharded and written once for all epochs, with their counts.
 
-    Labels beyond the output layer cannot be learnt: they are left out and counted.
+    The samples are written before they are counted, so what makes them runs once. Labels beyond the first
+    vocabulary_size train the last output; out_of_range counts them.
     """
-    in_range = F.col("label") < cfg.vocabulary_size
+    samples = saved(samples.select("doc_id", "line_no", "k", "context", "label"))
     counts = samples.agg(
-        F.count_if(in_range).alias("rows"),
-        F.count_if(~in_range).alias("out_of_range"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("label") >= cfg.vocabulary_size).alias("out_of_range"),
         F.count_if(F.col("k") == 0).alias("lines"),
     ).first()
     num_shards = cfg.shards_for(counts["rows"])
-    sharded = stable(shard_samples(samples.where(in_range), num_shards, cfg))
+    # A checkpoint keeps partitions as they are: each shard is whole in one of them.
+    sharded = stable(shard_samples(samples, num_shards, cfg))
     batches = counts["rows"] // cfg.batch_size + num_shards
-    return sharded, {**counts.asDict(), "shards": num_shards, "grid": sum_grid(batches)}
+    partitions = sharded.rdd.getNumPartitions()
+    return sharded, {**counts.asDict(), "shards": num_shards, "partitions": partitions, "grid": sum_grid(batches)}
 
 
-def train(samples: DataFrame, cfg: ModelConfig, epochs: int | None = None, model: DataFrame | None = None) -> TrainResult:
+def train(
+    samples: DataFrame,
+    cfg: ModelConfig,
+    epochs: int | None = None,
+    model: DataFrame | None = None,
+    held_out: DataFrame | None = None,
+) -> TrainResult:
     """Trains from `model` (a fresh one by default) and returns the model table, batch log and metrics.
 
-    Adam starts anew in every shard and epoch. An epoch without samples keeps the model and has no
+    A given model goes on after its own epoch, with the rates and draws of the epochs that follow. held_out
+    samples are scored after every epoch: validation has their metrics, by epoch. Adam starts anew in every shard and epoch. An epoch without samples keeps the model and has no
     metrics row. Only parameters, whose size the configuration fixes, pass through the driver.
     """
     spark, sizes = samples.sparkSession, model_sizes(cfg)
     model = model if model is not None else initial_model(spark, cfg)
     flat = to_array(model, sizes)
     sharded, counts = prepare(samples, cfg)
-    logs, durations = [], []
-    for epoch in range(1, (epochs or cfg.epochs) + 1):
+    logs, durations, checks = [], [], []
+    done = model.agg(F.max("epoch")).first()[0] or 0
+    for epoch in range(done + 1, done + (cfg.epochs if epochs is None else epochs) + 1):
         if not counts["rows"]:
             break
         started = time.monotonic()
@@ -240,13 +256,17 @@ def train(samples: DataFrame, cfg: ModelConfig, epochs: int | None = None, model
         flat = to_array(average_params(passed, epoch, cfg.block_width), sizes)
         logs.append(batch_rows(passed, epoch))
         durations.append((epoch, cfg.learning_rate(epoch), int((time.monotonic() - started) * 1000)))
+        if held_out is not None:
+            scored = scoring.predict(held_out, to_table(spark, flat, sizes, epoch, cfg.block_width), cfg)
+            checks.append(metrics.evaluate(scoring.folded(scored, cfg)).withColumn("epoch", F.lit(epoch)))
     log = logs[0] if logs else metrics.empty_log(spark)
     for more in logs[1:]:
         log = log.unionByName(more)
     return TrainResult(
-        to_table(spark, flat, sizes, len(durations), cfg.block_width),
+        to_table(spark, flat, sizes, done + len(durations), cfg.block_width),
         log,
         metrics.epoch_metrics(log, durations, counts),
+        reduce(DataFrame.unionByName, checks) if checks else None,
     )
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.config import Limits
 from wordloom.functions.places import place
 from wordloom.functions.text import split_words
-from wordloom.sources.session import dense_ids, stable
+from wordloom.sources.session import dense_ids, saved
 
 
 def _first_seen(lines: DataFrame) -> DataFrame:
@@ -17,20 +17,20 @@ def _first_seen(lines: DataFrame) -> DataFrame:
     words = lines.select(
         "doc_id", "line_no", F.posexplode(F.array_distinct(split_words(F.col("line")))).alias("at", "word")
     )
-    first = F.min(place(F.col("doc_id"), F.col("line_no"), F.col("at")))
-    return words.groupBy("word").agg(first.alias("first"))
+    line = place(F.col("doc_id"), F.col("line_no"))
+    return words.groupBy("word").agg(F.min(line).alias("first"), F.min_by("at", line).alias("at"))
 
 
 def fit_vocab(lines: DataFrame) -> DataFrame:
     """word, id: ids 0, 1, 2... in order of first occurrence."""
-    return dense_ids(_first_seen(lines), ["first"], "id").select("word", "id")
+    return dense_ids(_first_seen(lines), ["first", "at"], "id").select("word", "id")
 
 
 def extend_vocab(vocab: DataFrame, lines: DataFrame) -> DataFrame:
     """Keeps all ids of vocab and appends the new words of lines, in order of first occurrence."""
     fresh = _first_seen(lines).join(vocab, "word", "left_anti")
     top = vocab.agg(F.max("id")).first()[0]
-    added = dense_ids(fresh, ["first"], "id", start=0 if top is None else top + 1)
+    added = dense_ids(fresh, ["first", "at"], "id", start=0 if top is None else top + 1)
     return vocab.select("word", "id").unionByName(added.select("word", "id"))
 
 
@@ -73,13 +73,16 @@ def lookup_parts(
     """
     limits = limits or Limits()
     table = table.select(key, value)
+    value_limit = limits.hot_key_bytes
     if fits_broadcast(table, key, limits, value_bytes):
         return [rows.join(F.broadcast(table), key, "left")]
 
     counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    known = stable(counted.join(table, key, "left"))
+    known = saved(counted.join(table, key, "left"))
     total = known.agg(F.sum("_n")).first()[0] or 0
-    is_hot = F.col("_n") * F.lit(limits.hot_keys) >= F.lit(total)
+    # A hot key is broadcast with its value, so both are bounded in bytes.
+    short = F.coalesce(F.octet_length(F.col(value).cast("string")), F.lit(0)) <= value_limit
+    is_hot = (F.col("_n") * F.lit(limits.hot_keys) >= F.lit(total)) & short
     hot = known.where(is_hot).select(
         _probe(F.col(key), limits).alias("_probe"), F.col(value), F.lit(True).alias("_hot")
     )
@@ -108,20 +111,28 @@ def lookup(
 def _regroup(parts: list[DataFrame], keys: list[str], entry: Column, missed: Column) -> DataFrame:
     """keys, entries in order, missed: the words of each line, brought together again.
 
-    Only words found by a shuffle join are shuffled once more; the others are where their line is.
+    Only words found by a shuffle join are shuffled once more; the others are where their line is. Every line has
+    one first word, or one row without any; more of them tell that lines share a key, which fails.
     """
+    begins = F.coalesce(F.col("pos"), F.lit(0)) == 0
     grouped = [
         part.groupBy(*keys).agg(
-            F.collect_list(entry).alias(f"_e{n}"), F.count_if(missed).alias(f"_m{n}")
+            F.collect_list(entry).alias(f"_e{n}"),
+            F.count_if(missed).alias(f"_m{n}"),
+            F.count_if(begins).alias(f"_b{n}"),
         )
         for n, part in enumerate(parts)
     ]
     if len(grouped) == 1:
-        return grouped[0].select(*keys, F.sort_array("_e0").alias("entries"), F.col("_m0").alias("missed"))
-    both = grouped[0].join(grouped[1], keys, "full_outer")
-    entries = F.coalesce(F.concat("_e0", "_e1"), F.col("_e0"), F.col("_e1"))
-    count = F.coalesce("_m0", F.lit(0)) + F.coalesce("_m1", F.lit(0))
-    return both.select(*keys, F.sort_array(entries).alias("entries"), count.alias("missed"))
+        both, entries, count, first = grouped[0], F.col("_e0"), F.col("_m0"), F.col("_b0")
+    else:
+        both = grouped[0].join(grouped[1], keys, "full_outer")
+        entries = F.coalesce(F.concat("_e0", "_e1"), F.col("_e0"), F.col("_e1"))
+        count, first = (F.coalesce(f"_{c}0", F.lit(0)) + F.coalesce(f"_{c}1", F.lit(0)) for c in "mb")
+    shared = F.raise_error(F.lit("lines share a key")).cast("bigint")
+    return both.select(
+        *keys, F.sort_array(entries).alias("entries"), F.when(first <= 1, count).otherwise(shared).alias("missed")
+    )
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -171,5 +182,13 @@ def decode(encoded: DataFrame, vocab: DataFrame, keys: list[str], limits: Limits
     )
     unknown = F.col("pos").isNotNull() & F.col("word").isNull()
     return _regroup(found, keys, entry, unknown).select(
-        *keys, F.array_join(F.col("entries.word"), " ").alias("text")
+        *keys, F.when(F.col("missed") >= 0, F.array_join(F.col("entries.word"), " ")).alias("text")
     )
+
+
+def save_vocab(vocab: DataFrame, path: str) -> None:
+    vocab.select("word", "id").write.mode("overwrite").parquet(path)
+
+
+def load_vocab(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("word string, id bigint").parquet(path)

@@ -6,18 +6,37 @@ import argparse
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wordloom.config import ModelConfig
 from wordloom.operators import corpus, generation, metrics, samples, scoring, training, vocab
-from wordloom.operators.model import save_model
+from wordloom.operators.model import load_model, save_model
+from wordloom.operators.vocab import load_vocab, save_vocab
 from wordloom.sources import sinks
-from wordloom.sources.session import stable
+from wordloom.sources.session import saved
 from wordloom.sources.text import read_lines
 
 # Fixed value: the seed text of a run that names none.
 DEFAULT_SEED_TEXT = "The little cat"
 
 
+# Command-line names of the configuration's sizes and rates.
+SETTINGS = {
+    "epochs": "epochs",
+    "window": "window_size",
+    "length": "num_predictions",
+    "vocabulary": "vocabulary_size",
+    "embedding": "embedding_size",
+    "hidden": "layer_size",
+    "batch": "batch_size",
+    "rate": "initial_rate",
+    "decay": "gamma",
+    "dropout": "drop_prob",
+    "temperature": "temperature",
+    "seed": "seed",
+}
+
+
 @dataclass
 class JobResult:
     vocab: DataFrame
@@ -27,15 +46,24 @@ class JobResult:
     run_id: str
 
 
-def fit(lines: DataFrame, cfg: ModelConfig) -> tuple[DataFrame, training.TrainResult, DataFrame]:
-    """Vocabulary of all lines, a model trained on the training lines, metrics on the others."""
-    words = vocab.fit_vocab(lines)
-    split = stable(samples.training_samples(lines, words, cfg.window_size, cfg.limits))
+def fit(
+    lines: DataFrame, cfg: ModelConfig, known: DataFrame | None = None, model: DataFrame | None = None
+) -> tuple[DataFrame, training.TrainResult, DataFrame]:
+    """Vocabulary of all lines, a model trained on the training lines, metrics on the others after every epoch.
+
+    A known vocabulary keeps its ids and is extended; a given model is trained further.
+    """
+    words = vocab.fit_vocab(lines) if known is None else vocab.extend_vocab(known, lines)
+    words = saved(words)
+    split = saved(samples.training_samples(lines, words, cfg.window_size, cfg.limits))
     bucketed = corpus.split_train(split, seed=cfg.seed)
-    trained = training.train(bucketed.where("is_train").drop("is_train"), cfg)
-    held_out = bucketed.where(~bucketed["is_train"]).where(bucketed["label"] < cfg.vocabulary_size)
-    validation = metrics.evaluate(scoring.predict(held_out.drop("is_train"), trained.model, cfg))
-    return words, trained, validation
+    held_out = bucketed.where(~bucketed["is_train"]).drop("is_train")
+    trained = training.train(bucketed.where("is_train").drop("is_train"), cfg, model=model, held_out=held_out)
+    validation = trained.validation
+    if validation is None:
+        scored = scoring.folded(scoring.predict(held_out, trained.model, cfg), cfg)
+        validation = metrics.evaluate(scored).withColumn("epoch", F.lit(0))
+    return words, trained, saved(validation)
 
 
 def run(
@@ -46,20 +74,28 @@ def run(
     seed_texts: list[str] | DataFrame = (DEFAULT_SEED_TEXT,),
     cfg: ModelConfig | None = None,
     model_path: str | None = None,
+    resume_from: str | None = None,
 ) -> JobResult:
-    """Runs the job; "{instant}" in an output path becomes the run's start time."""
+    """Runs the job; "{instant}" in an output path becomes the run's start time.
+
+    The folder of statistics gets the epoch metrics, and beside them, as "-validation", the metrics on held-out
+    lines. model_path gets the model and, as "-vocab", the vocabulary; resume_from names such a pair to go on from.
+    """
     cfg, run_id = cfg or ModelConfig(), sinks.run_stamp()
     lines = read_lines(spark, input_path, cfg.limits)
-    words, trained, validation = fit(lines, cfg)
+    known, model = (load_vocab(spark, f"{resume_from}-vocab"), load_model(spark, resume_from)) if resume_from else (None, None)
+    words, trained, validation = fit(lines, cfg, known, model)
     if isinstance(seed_texts, DataFrame):
         seeds = seed_texts
     else:
         seeds = spark.createDataFrame(list(enumerate(seed_texts)), "seed_row bigint, seed string")
-    generated = stable(generation.generate(seeds, trained.model, words, cfg))
+    generated = saved(generation.generate(seeds, trained.model, words, cfg))
     sinks.write_metrics(trained.epoch_metrics, sinks.stamped(stats_path, run_id))
     sinks.write_generated(generated, sinks.stamped(result_path, run_id))
+    sinks.write_validation(validation, sinks.stamped(stats_path, run_id) + "-validation")
     if model_path:
         save_model(trained.model, sinks.stamped(model_path, run_id))
+        save_vocab(words, sinks.stamped(model_path, run_id) + "-vocab")
     return JobResult(words, trained, validation, generated, run_id)
 
 
@@ -69,14 +105,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("input", help="text file or folder, any Hadoop path")
     parser.add_argument("result", help="output folder for generated text")
     parser.add_argument("stats", help="output folder for epoch metrics")
-    parser.add_argument("--epochs", type=int, default=ModelConfig.epochs)
-    parser.add_argument("--window", type=int, default=ModelConfig.window_size)
-    parser.add_argument("--length", type=int, default=ModelConfig.num_predictions)
-    parser.add_argument("--model", help="output folder for the model table")
+    for name, setting in SETTINGS.items():
+        parser.add_argument(f"--{name}", type=type(getattr(ModelConfig, setting)), default=getattr(ModelConfig, setting))
+    parser.add_argument("--model", help="output folder for the model table; its vocabulary goes beside it")
+    parser.add_argument("--resume", help="folder of a saved model, with its vocabulary, to go on from")
     args = parser.parse_args(argv)
-    cfg = ModelConfig(epochs=args.epochs, window_size=args.window, num_predictions=args.length)
+    cfg = ModelConfig(**{setting: getattr(args, name) for name, setting in SETTINGS.items()})
     spark = SparkSession.builder.appName("wordloom").getOrCreate()
-    run(spark, args.input, args.result, args.stats, [args.seed_text], cfg, args.model)
+    run(spark, args.input, args.result, args.stats, [args.seed_text], cfg, args.model, args.resume)
 
 
 if __name__ == "__main__":

@@ -17,7 +17,7 @@ from wordloom.functions import draws, vectors
 from wordloom.functions.text import collapse_blanks
 from wordloom.operators import corpus, features, generation, metrics, samples, scoring, training, vocab
 from wordloom.operators.model import initial_model
-from wordloom.sources.session import stable, widened
+from wordloom.sources.session import saved, widened
 from wordloom.sources.text import lines_from, turn_key
 
 CFG = ModelConfig()
@@ -36,12 +36,13 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def conversations(spark: SparkSession, folder: str) -> DataFrame:
     turns = widened(_table(spark, folder, "conversations"), "conv_id", "turn")
-    return lines_from(turns, turn_key(), "text")
+    return lines_from(turns, turn_key(turns), "text")
 
 
 def seeds(spark: SparkSession, folder: str) -> DataFrame:
     """Every turn of every conversation as a seed."""
-    return _table(spark, folder, "conversations").select(turn_key().alias("seed_row"), F.col("text").alias("seed"))
+    turns = _table(spark, folder, "conversations")
+    return turns.select(turn_key(turns).alias("seed_row"), F.col("text").alias("seed"))
 
 
 def joined(column: str | Column) -> Column:
@@ -111,8 +112,14 @@ def encode_oov(spark, folder):
 def decode(spark, folder):
     lines = documents(spark, folder)
     words = vocab.fit_vocab(lines)
-    known = words.where(F.col("id") < CFG.vocabulary_size)
-    return vocab.decode(vocab.encode(lines, words), known, ["doc_id", "line_no"])
+    return vocab.decode(vocab.encode(lines, words), words, ["doc_id", "line_no"])
+
+
+def decode_unknown(spark, folder):
+    """Ids of the documents' vocabulary decoded with that of the conversations, which has fewer."""
+    lines = documents(spark, folder)
+    other = vocab.fit_vocab(conversations(spark, folder))
+    return vocab.decode(vocab.encode(lines, vocab.fit_vocab(lines)), other, ["doc_id", "line_no"])
 
 
 def normalize_ws(spark, folder):
@@ -146,7 +153,7 @@ def training_samples(spark, folder):
 
 
 def minibatches(spark, folder):
-    rows = stable(_windows(spark, folder, 1).select("doc_id", "line_no", "k"))
+    rows = saved(_windows(spark, folder, 1).select("doc_id", "line_no", "k"))
     return samples.assign_batches(rows, CFG.shards_for(rows.count()), CFG.batch_size)
 
 
@@ -178,7 +185,7 @@ def _conversation_windows(spark, folder, width):
 
 
 def embedding_matrix(spark, folder):
-    windows = stable(_conversation_windows(spark, folder, 2))
+    windows = saved(_conversation_windows(spark, folder, 2))
     matrices = features.embedding_matrix(windows, replace(CFG, window_size=2))
     return matrices.select("doc_id", "line_no", "k", joined_reals(F.flatten("matrix")).alias("matrix"))
 
@@ -203,14 +210,14 @@ def self_attention_w4(spark, folder):
 
 
 def sample_features(spark, folder):
-    return features.sample_features(stable(_windows(spark, folder, 1)), CFG).select(
+    return features.sample_features(saved(_windows(spark, folder, 1)), CFG).select(
         "doc_id", "line_no", "k", joined_reals("features").alias("features"), "mask"
     )
 
 
 def sample_features_w3(spark, folder):
     cfg = replace(CFG, window_size=3)
-    return features.sample_features(stable(_conversation_windows(spark, folder, 3)), cfg).select(
+    return features.sample_features(saved(_conversation_windows(spark, folder, 3)), cfg).select(
         "doc_id", "line_no", "k", joined_reals("features").alias("features"), "mask"
     )
 
@@ -319,24 +326,41 @@ def format_generated(spark, folder):
         F.col("seed_row").alias("doc_id"), F.lit(0).cast("bigint").alias("line_no"), F.col("seed").alias("line")
     )
     words = vocab.fit_vocab(lines)
-    known = words.where(F.col("id") < CFG.vocabulary_size)
-    texts = vocab.decode(vocab.encode(lines, words), known, ["doc_id"])
+    texts = vocab.decode(vocab.encode(lines, words), words, ["doc_id"])
     return texts.join(lines, "doc_id").select(
         F.col("doc_id").alias("seed_row"),
         generation.format_generated(F.col("line"), F.col("text")).alias("output"),
     )
 
 
+def partition_count(spark, folder):
+    """Rows of the documents' lines, whatever partitions they lie in."""
+    counted = corpus.partition_count(documents(spark, folder))
+    return counted.select("rows", (F.col("partitions") >= 1).alias("has_partitions"))
+
+
+def train_batches(spark, folder):
+    """The batches of one epoch over all training samples: which shard, which number, how many rows."""
+    return training.train_epoch(_train_samples(spark, folder), CFG).select("shard", "batch_no", "total")
+
+
+def epoch_counts(spark, folder):
+    """What the metrics of the default run count, epoch by epoch."""
+    return _trained_conversations(spark, folder)[1].epoch_metrics.select(
+        "epoch", "learning_rate", "batches", "predictions", "shards", "snapshots", "lines", "out_of_range"
+    )
+
+
 def train_epoch(spark, folder):
     return training.train_epoch(_train_samples(spark, folder), CFG)
 
 
 def _trained_conversations(spark, folder):
-    """Two epochs on the training lines of all conversations, with the held-out samples."""
+    """The default run on the training lines of all conversations, with the held-out samples."""
     lines = conversations(spark, folder)
     words = vocab.fit_vocab(lines)
-    rows = corpus.split_train(stable(samples.training_samples(lines, words, 1)))
-    trained = training.train(rows.where("is_train").drop("is_train"), CFG, epochs=2)
+    rows = corpus.split_train(saved(samples.training_samples(lines, words, 1)))
+    trained = training.train(rows.where("is_train").drop("is_train"), CFG)
     held_out = rows.where(~F.col("is_train")).drop("is_train")
     return words, trained, held_out
 
@@ -347,7 +371,7 @@ def train(spark, folder):
 
 
 def epoch_metrics(spark, folder):
-    return _trained_conversations(spark, folder)[1].epoch_metrics.drop("duration_ms")
+    return _trained_conversations(spark, folder)[1].epoch_metrics.drop("duration_ms", "partitions")
 
 
 def gradient_stats(spark, folder):
@@ -356,8 +380,7 @@ def gradient_stats(spark, folder):
 
 def validation_metrics(spark, folder):
     _, trained, held_out = _trained_conversations(spark, folder)
-    known = held_out.where(F.col("label") < CFG.vocabulary_size)
-    return metrics.evaluate(scoring.predict(known, trained.model, CFG))
+    return metrics.evaluate(scoring.folded(scoring.predict(held_out, trained.model, CFG), CFG))
 
 
 def next_token(spark, folder):
@@ -368,7 +391,7 @@ def next_token(spark, folder):
 
 def generate(spark, folder):
     words, trained, _ = _trained_conversations(spark, folder)
-    made = generation.generate(seeds(spark, folder), trained.model, words, CFG, length=50)
+    made = generation.generate(seeds(spark, folder), trained.model, words, CFG)
     return made.select("seed_row", "output")
 
 
@@ -385,6 +408,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     encode,
     encode_oov,
     decode,
+    decode_unknown,
     normalize_ws,
     sliding_windows_w1,
     sliding_windows_w3,
@@ -412,6 +436,9 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     temperature_probs,
     sample_token,
     format_generated,
+    partition_count,
+    train_batches,
+    epoch_counts,
     train_epoch,
     train,
     epoch_metrics,

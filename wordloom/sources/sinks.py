@@ -20,8 +20,8 @@ def stamped(path: str, run_id: str) -> str:
 
 
 def write_generated(generated: DataFrame, path: str) -> None:
-    """One output line per seed; a seed that has no text yields no line."""
-    generated.where(F.col("output").isNotNull()).select("output").write.mode("overwrite").text(path)
+    """One output line per seed, an empty one for a seed without output."""
+    generated.select(F.coalesce("output", F.lit("")).alias("output")).write.mode("overwrite").text(path)
 
 
 def write_metrics(epoch_metrics: DataFrame, path: str) -> None:
@@ -38,10 +38,18 @@ def write_metrics(epoch_metrics: DataFrame, path: str) -> None:
         "snapshots",
         "lines",
         "out_of_range",
+        "partitions",
     )
     row.write.mode("overwrite").csv(path, header=True)
 
 
+def write_validation(validation: DataFrame, path: str) -> None:
+    """Header and one row per epoch of the metrics on held-out samples, in one file."""
+    validation.coalesce(1).sortWithinPartitions("epoch").select(
+        "epoch", "n", "accuracy", "precision", "recall", "f1"
+    ).write.mode("overwrite").csv(path, header=True)
+
+
 def append_run(df: DataFrame, path: str, run_id: str) -> None:
     """Keeps a result of many runs in one parquet table, partitioned by run."""
     df.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.config import Limits
 from wordloom.functions.text import LINE_END, split_lines
-from wordloom.sources.session import dense_ids, stable
+from wordloom.sources.session import dense_ids, saved
 
 
 def lines_from(df: DataFrame, key: Column | str, text: Column | str) -> DataFrame:
@@ -19,10 +19,14 @@ def lines_from(df: DataFrame, key: Column | str, text: Column | str) -> DataFram
     ).withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
-def turn_key(conv: str = "conv_id", turn: str = "turn", width: int = 1000) -> Column:
-    """One key for a (conversation, turn) pair; fails rather than let two turns share a key."""
-    fits = (F.col(turn) >= 0) & (F.col(turn) < width)
-    return F.when(fits, F.col(conv) * width + F.col(turn)).otherwise(
+def turn_key(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> Column:
+    """One key for a (conversation, turn) pair: conv * width + turn, the width one more than the largest turn.
+
+    However many turns a conversation has, no two share a key; a negative or null turn fails, as does a key
+    beyond 64 bits.
+    """
+    width = (turns.agg(F.max(turn)).first()[0] or 0) + 1
+    return F.when(F.col(turn) >= 0, F.col(conv) * width + F.col(turn)).otherwise(
         F.raise_error(F.lit("turn number does not fit the key"))
     )
 
@@ -41,7 +45,7 @@ def read_lines(spark: SparkSession, path: str, limits: Limits | None = None) ->
     counts are a small table.
     """
     limits = limits or Limits()
-    raw = stable(
+    raw = saved(
         spark.read.text(path, lineSep=LINE_END).select(
             F.col("value").alias("line"),
             F.col("_metadata.file_path").alias("file"),
@@ -56,7 +60,7 @@ def read_lines(spark: SparkSession, path: str, limits: Limits | None = None) ->
     )
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     files = dense_ids(splits.select("file").distinct(), ["file"], "doc_id")
-    placed = stable(
+    placed = saved(
         splits.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).join(files, "file")
     )
     size = placed.agg(
