@@ -349,3 +349,165 @@ ORACLES: dict[str, str] = {
         select doc_id as seed_row,
           'Generated text: ' || line || ' -> ' || regexp_replace(text, {RUN}, ' ', 'g') as output from texts""",
 }
+
+# One full-batch step of a small network on the training lines of all conversations, as tables. Features depend on the
+# context's token alone, so passes run over distinct contexts; context -1 stands for partial windows.
+STEP_SIZES = [4, 8, 8, 10]
+STEP_RATE = 0.005
+
+
+def step_forward(name: str, contexts: str, weights: list[str], keys: str = "") -> str:
+    """Activations {name}0..{name}3 of contexts (by keys), with weight tables of (keys,) i, j, w; i = -1 is the bias."""
+    by = f"{keys}, " if keys else ""
+    match = " and ".join([f"a.{k.strip()} = w.{k.strip()}" for k in keys.split(",")] + [""]) if keys else ""
+    prefix = "".join(f"a.{k.strip()}, " for k in keys.split(",")) if keys else ""
+    out = [
+        f"""{name}0 as materialized (select {by}ctx, i, x from {contexts} c join features f using (ctx)
+            union all select {by}ctx, -1, 1.0::double from {contexts})"""
+    ]
+    for layer, table in enumerate(weights):
+        last = layer == len(weights) - 1
+        total = "sum(a.x * w.w)"
+        body = f"""select {prefix}a.ctx, w.j as i, {total if last else f'greatest({total}, 0)'} as x
+            from {name}{layer} a join {table} w on {match}a.i = w.i group by all"""
+        if not last:
+            body += f" union all select distinct {by}ctx, -1, 1.0::double from {name}{layer}"
+        out.append(f"{name}{layer + 1} as materialized ({body})")
+    top = f"{name}{len(weights)}"
+    out.append(f"""{name}_p as materialized (
+        select {by}ctx, i, x, exp(x - top) / sum(exp(x - top)) over (partition by {by}ctx) as p,
+          top + ln(sum(exp(x - top)) over (partition by {by}ctx)) - x as nll
+        from (select *, max(x) over (partition by {by}ctx) as top from {top}))""")
+    out.append(f"""{name}_best as materialized (select {by}ctx, min(i) as prediction from (
+        select *, max(x) over (partition by {by}ctx) as top from {top}) where x = top group by all)""")
+    return ",\n".join(out)
+
+
+def step_tables() -> str:
+    inputs, hidden, _, outputs = STEP_SIZES
+    shard = f"""cast({md5_int(key('doc_id', 'line_no', 'k'), 17, 15)}
+      % (select (count(*) + {ROWS_PER_SHARD - 1}) // {ROWS_PER_SHARD} from chosen) as integer)"""
+    parts = [
+        TURN_IDS,
+        windows("w", "turn_ids", 1),
+        f"""marked as materialized (select doc_id, line_no, k, coalesce(context[1], -1) as ctx, label,
+          least(label, {outputs - 1}) as y, {IS_TRAIN} as is_train from w)""",
+        "chosen as (select * from marked where is_train)",
+        f"""counts as materialized (select shard, ctx, y, count(*) as n from (select {shard} as shard, ctx, y from chosen)
+          group by all)""",
+        "sizes as (select shard, sum(n) as n from counts group by all)",
+        f"""tokens_used as (select distinct id as ctx from turn_ids union select unnest(range({outputs})))""",
+        f"""features as materialized (select ctx, i, {gauss(key('ctx', 'i'))} * 0.1::double
+            + {position('0', 'i', inputs)} as x from tokens_used, range({inputs}) r(i)
+          union all select -1, i, 0.0::double from range({inputs}) r(i))""",
+    ]
+    for layer, (fan_in, fan_out) in enumerate(zip(STEP_SIZES, STEP_SIZES[1:])):
+        weight = f"{gauss(key(str(layer), 'i', 'j'))} * sqrt(2.0::double / {fan_in + fan_out})"
+        parts.append(f"""w{layer} as materialized (select i, j, {weight} as w from range({fan_in}) a(i), range({fan_out}) b(j)
+          union all select -1, j, 0.0::double from range({fan_out}) b(j))""")
+    parts += [
+        "used as (select distinct ctx from counts)",
+        step_forward("a", "used", ["w0", "w1", "w2"]),
+        # Partial windows are counted in n, and neither learn nor cost.
+        """full_counts as (select shard, ctx, y, c.n, s.n as size from counts c join sizes s using (shard) where ctx >= 0)""",
+        """losses as (select shard, sum(c.n * p.nll) / any_value(size) as loss
+          from full_counts c join a_p p on p.ctx = c.ctx and p.i = c.y group by shard)""",
+        """d3 as materialized (select g.shard, g.ctx, p.i as j, (g.n * p.p - coalesce(c.n, 0)) / g.size as d
+          from (select shard, ctx, sum(n) as n, any_value(size) as size from full_counts group by all) g
+          join a_p p on p.ctx = g.ctx left join full_counts c on c.shard = g.shard and c.ctx = g.ctx and c.y = p.i)""",
+    ]
+    for layer in (2, 1, 0):
+        parts.append(f"""g{layer} as materialized (select shard, a.i, d.j, sum(a.x * d.d) as g
+          from d{layer + 1} d join a{layer} a using (ctx) group by all)""")
+        if layer:
+            parts.append(f"""d{layer} as materialized (select d.shard, d.ctx, w.i as j, sum(d.d * w.w) as d
+              from d{layer + 1} d join w{layer} w on w.j = d.j join a{layer} a on a.ctx = d.ctx and a.i = w.i
+              where w.i >= 0 and a.x > 0 group by all)""")
+    for layer in range(3):
+        # Adam's first step moves each parameter by the rate, but for gradients near zero.
+        parts.append(f"""all{layer} as (select shard, i, j, w, coalesce(g, 0) as g
+          from (select distinct shard from sizes) cross join w{layer} left join g{layer} using (shard, i, j))""")
+        parts.append(f"""u{layer} as materialized (select shard, i, j, w - {STEP_RATE}::double * g / (abs(g) + 1e-8::double) as w
+          from all{layer})""")
+        parts.append(f"m{layer} as materialized (select i, j, avg(w) as w from u{layer} group by all)")
+    return ",\n".join(parts)
+
+
+STEP = step_tables()
+STEP_PARAMS = """params as (select shard, g from all0 union all select shard, g from all1 union all select shard, g from all2)"""
+
+
+def step_blocks() -> str:
+    rows = []
+    for layer, (fan_in, fan_out) in enumerate(zip(STEP_SIZES, STEP_SIZES[1:])):
+        rows.append(f"select {layer} as layer, 'weight' as name, i * {fan_out} + j as place, w from m{layer} where i >= 0")
+        rows.append(f"select {layer}, 'bias', j as place, w from m{layer} where i = -1")
+    return " union all ".join(rows)
+
+
+# Scores of a context after the step: running sums of softmax(p / 0.7) over the outputs.
+STEP_NEXT = f"""{step_forward('v', 'tokens_used', ['m0', 'm1', 'm2'])},
+    heated as (select ctx, i, exp(p / 0.7::double) as e from v_p),
+    reached as materialized (select ctx, list(r order by i) as reached from (
+      select ctx, i, sum(e) over (partition by ctx order by i) / sum(e) over (partition by ctx) as r from heated) group by ctx),
+    {SEED_TOKENS}, {encoded('seed_ids', 'seed_tokens', 'turn_vocab')},
+    starts as (select s.doc_id as seed_row, any_value(s.line) as seed, max_by(id, pos) as ctx
+      from seed_lines s left join seed_ids i on s.doc_id = i.doc_id group by s.doc_id)"""
+
+
+def step_draw(ctx: str, step: str) -> str:
+    return f"""coalesce(list_position(list_transform(reached, lambda r: r >= {uniform(key('seed_row', step), 1)}), true), 1) - 1"""
+
+
+def class_scores(pairs: str) -> str:
+    """Weighted class metrics of a table of label, prediction."""
+    return f"""pairs as materialized ({pairs}),
+    classes as (select label as c from pairs union select prediction from pairs),
+    per_class as (select c,
+        (select count(*) from pairs where label = c) as support,
+        coalesce((select count(*) from pairs where label = c and prediction = c)
+          / nullif((select count(*) from pairs where prediction = c), 0)::double, 0) as precision,
+        coalesce((select count(*) from pairs where label = c and prediction = c)
+          / nullif((select count(*) from pairs where label = c), 0)::double, 0) as recall from classes),
+    rated as (select *, case when precision + recall > 0 then 2 * precision * recall / (precision + recall) else 0 end as f1
+      from per_class)
+    select cast(sum(support) as bigint) as n, {micro('sum(precision * support) / sum(support)')} as precision,
+      {micro('sum(recall * support) / sum(support)')} as recall, {micro('sum(f1 * support) / sum(support)')} as f1,
+      {micro('sum(recall * support) / sum(support)')} as accuracy from rated"""
+
+
+STEP_ORACLES = {
+    "step_model": f"""with {STEP}, blocks as ({step_blocks()})
+        select 1 as epoch, layer, name, cast(place // 64 as integer) as block_id, cast(count(*) as integer) as n,
+          string_agg(cast({micro('w')} as varchar), ' ' order by place) as "values" from blocks group by all""",
+    "step_metrics": f"""with {STEP}, {step_forward('b', '(select distinct shard, ctx from counts)', ['u0', 'u1', 'u2'], 'shard')},
+        hits as (select sum(n) as correct from counts c join b_best b using (shard, ctx) where b.prediction = c.y)
+        select 1 as epoch, 0.005::double as learning_rate, (select round(avg(loss), 4) from losses) as avg_loss,
+          round((select correct from hits) / (select sum(n) from sizes)::double * 100, 2) as accuracy_pct,
+          (select count(*) from sizes) as batches, (select cast(sum(n) as bigint) from sizes) as predictions,
+          (select cast(count(*) as integer) from sizes) as shards, (select count(*) from sizes) as snapshots,
+          (select count(*) from chosen where k = 0) as lines,
+          (select count(*) from chosen where label >= {STEP_SIZES[-1] - 1}) as out_of_range""",
+    "step_gradients": f"""with {STEP}, {STEP_PARAMS},
+        by_shard as (select shard, avg(g) as mean, max(g) as top, min(g) as low from params group by shard)
+        select 1 as epoch, {micro('avg(mean)')} as grad_mean, {micro('max(top)')} as grad_max, {micro('min(low)')} as grad_min,
+          count(*) as recorded from by_shard""",
+    "step_validation": f"""with {STEP}, held as (select distinct ctx from marked where not is_train),
+        {step_forward('h', 'held', ['m0', 'm1', 'm2'])},
+        {class_scores('select y as label, prediction from marked join h_best using (ctx) where not is_train')}""",
+    "step_next_token": f"""with {STEP}, {STEP_NEXT}
+        select seed_row, cast({step_draw('ctx', "'0'")} as bigint) as token from starts join reached using (ctx)""",
+    "step_generate": f"""with recursive {STEP}, {STEP_NEXT},
+        chain as (
+          select seed_row, ctx as said, ctx, 0 as step from starts where ctx is not null
+          union all
+          select seed_row, t, case when t < {STEP_SIZES[-1] - 1} then t else 0 end, step + 1 from (
+            select seed_row, step, {step_draw('c.ctx', 'cast(step as varchar)')} as t
+            from chain c join reached r on r.ctx = c.ctx where step < 20)),
+        texts as (select seed_row, string_agg(case when said < {STEP_SIZES[-1] - 1} then coalesce(word, '') else '' end, ' ' order by step) as text
+          from chain left join turn_vocab on id = said where step > 0 group by seed_row)
+        select s.seed_row, 'Generated text: ' || s.seed || ' -> ' || regexp_replace(coalesce(text, ''), {RUN}, ' ', 'g') as output
+        from starts s left join texts using (seed_row)""",
+}
+
+ORACLES |= STEP_ORACLES

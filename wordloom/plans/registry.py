@@ -24,6 +24,12 @@ CFG = ModelConfig()
 # Ten classes, 64 inputs: the shape of the embeddings table.
 SMALL = ModelConfig(layer_size=8, vocabulary_size=10, embedding_size=64, dtype="float64")
 SMALL_SIZES = [64, 8, 8, 10]
+# One step over each whole shard, in full precision and without dropout: SQL can follow it. Shards hold 10,000 samples
+# on average, dealt by a hash, so none reaches the batch size.
+STEP = ModelConfig(
+    vocabulary_size=9, embedding_size=4, layer_size=8, batch_size=20_000, epochs=1, drop_prob=0.0, dtype="float64",
+    num_predictions=20,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -365,6 +371,50 @@ def _trained_conversations(spark, folder):
     return words, trained, held_out
 
 
+def _stepped(spark, folder):
+    """One step of a small network for each shard, on the training lines of all conversations."""
+    lines = conversations(spark, folder)
+    words = vocab.fit_vocab(lines)
+    rows = corpus.split_train(saved(samples.training_samples(lines, words, 1)))
+    trained = training.train(rows.where("is_train").drop("is_train"), STEP)
+    return words, trained, rows.where(~F.col("is_train")).drop("is_train")
+
+
+def _model_rows(model):
+    return model.select("epoch", "layer", "name", "block_id", F.size("values").alias("n"), joined_reals("values").alias("values"))
+
+
+def step_model(spark, folder):
+    return _model_rows(_stepped(spark, folder)[1].model)
+
+
+def step_metrics(spark, folder):
+    return _stepped(spark, folder)[1].epoch_metrics.drop("duration_ms", "partitions")
+
+
+def step_gradients(spark, folder):
+    names = ("grad_mean", "grad_max", "grad_min")
+    stats = metrics.gradient_stats(_stepped(spark, folder)[1].batch_log)
+    return stats.select("epoch", *[millionths(F.col(c)).alias(c) for c in names], "recorded")
+
+
+def step_validation(spark, folder):
+    _, trained, held_out = _stepped(spark, folder)
+    found = metrics.evaluate(scoring.folded(scoring.predict(held_out, trained.model, STEP), STEP))
+    return found.select("n", *[millionths(F.col(c)).alias(c) for c in ("precision", "recall", "f1", "accuracy")])
+
+
+def step_next_token(spark, folder):
+    words, trained, _ = _stepped(spark, folder)
+    contexts = generation.seed_contexts(seeds(spark, folder), words, STEP)
+    return generation.next_token(contexts, trained.model, STEP).where("token is not null")
+
+
+def step_generate(spark, folder):
+    words, trained, _ = _stepped(spark, folder)
+    return generation.generate(seeds(spark, folder), trained.model, words, STEP).select("seed_row", "output")
+
+
 def train(spark, folder):
     _, trained, _ = _trained_conversations(spark, folder)
     return trained.model.select("epoch", "layer", "name", "block_id", F.size("values").alias("n"), joined_reals("values").alias("values"))
@@ -439,6 +489,12 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     partition_count,
     train_batches,
     epoch_counts,
+    step_model,
+    step_metrics,
+    step_gradients,
+    step_validation,
+    step_next_token,
+    step_generate,
     train_epoch,
     train,
     epoch_metrics,
