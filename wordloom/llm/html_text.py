@@ -167,10 +167,10 @@ def _slots(found: list[list[str]], slots: int, memory: dict[str, int]) -> tuple[
             if slot is None:
                 if len(memory) > 200_000:
                     memory.clear()
-                slot = memory[t] = zlib.crc32(t.encode("utf-8", "replace")) % slots
+                slot = memory[t] = zlib.crc32(t.encode("utf-8", "replace"))
             out.append(slot)
         owner += [i] * len(tokens)
-    return np.array(out, np.int64), np.array(owner, np.int64)
+    return np.array(out, np.int64) % slots, np.array(owner, np.int64)
 
 
 _path_memory: dict[str, int] = {}

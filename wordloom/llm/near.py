@@ -40,7 +40,7 @@ class Nearness:
     rows: int = 4
     step: int = 16
     tolerance: float = 1e-6
-    block: int = 256
+    block: int = 128
     seed: int = 7
 
     @property

@@ -37,13 +37,13 @@ with p as (
                  else 'changed' end as state
   from looked where not is_full
 )
-select record_id, url, date, case when state = 'resolved' then r.id end as response_id, state,
+select record_id, url, date, case when state = 'resolved' then r.id else -1 end as response_id, state,
   case when state = 'resolved' and record_id % 3 = 1 then
     'cache-control=max-age=' || (page_id % 100) || ';content-length=' || r.size || ';content-type=text/html;etag=W/' ||
     sent || ';last-modified=' || r.page || ';x-cache=hit'
   when state = 'resolved' then
     'cache-control=max-age=60;content-length=' || r.size || ';content-type=text/html;etag=' || r.tag ||
-    ';last-modified=' || page_id end as headers
+    ';last-modified=' || page_id else '' end as headers
 from judged
 """
 
@@ -111,7 +111,7 @@ select conv_id, count(*) as n_turns,
   sha256(coalesce(string_agg(text, '' order by place) filter (role = 'assistant'), '')) as loss_sha256,
   sum(chars)::bigint as formatted_chars,
   bool_and(coalesce(good, false)) as valid,
-  min(place) filter (not coalesce(good, false)) as first_bad
+  coalesce(min(place) filter (not coalesce(good, false)), -1) as first_bad
 from checked group by conv_id
 """
 

@@ -40,7 +40,12 @@ def op5_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     found = warc.resolve(warc.captures(_table(spark, folder, "pages")))
     entry = F.transform("headers", lambda h: F.concat_ws("=", h["name"], h["value"]))
     return found.select(
-        "record_id", "url", "date", "response_id", "state", F.array_join(entry, ";").alias("headers")
+        "record_id",
+        "url",
+        "date",
+        F.coalesce("response_id", F.lit(-1).cast("bigint")).alias("response_id"),
+        "state",
+        F.coalesce(F.array_join(entry, ";"), F.lit("")).alias("headers"),
     )
 
 
@@ -85,7 +90,8 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string"
     )
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    return chat.read_back(chat.segments(rows))
+    found = chat.read_back(chat.segments(rows))
+    return found.withColumn("first_bad", F.coalesce("first_bad", F.lit(-1).cast("bigint")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -28,6 +28,7 @@ VENDOR = (
     10,
 )
 KINDS = (*BASE_KINDS, VENDOR)
+OWN = ("_row", "_repository", "_owner", "_matches", "spans")  # columns of the scan; those of docs are left out
 
 
 def _found(text: Column, pattern: str, group: int) -> Column:
@@ -50,7 +51,7 @@ def scan(docs: DataFrame, repository: Column, owner: Column, text: str = "text")
             for _, pattern, group, _ in KINDS
         ]
     )
-    rest = [F.col(c) for c in docs.columns if c != text]
+    rest = [F.col(c) for c in docs.columns if c != text and c not in OWN]
     return saved(
         docs.select(
             F.monotonically_increasing_id().alias("_row"), repository.alias("_repository"), owner.alias("_owner"),
@@ -101,7 +102,8 @@ def find_secrets(
     """The columns of docs but the text, and spans: array of (start, kind, end, name, copied, n_owners) by start.
 
     Offsets are code points, the end exclusive. A null text is empty. A document without spans has an empty array.
-    Repeated rows are scanned each by itself. Columns whose names begin with an underscore are the scan's own.
+    Repeated rows are scanned each by itself. A null owner or repository counts as one. Columns of docs that are
+    named as the scan's own (OWN) are left out.
     """
     scanned = scan(docs, repository, owner, text)
     found = saved(candidates(scanned))
