@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wordloom.llm.quality_rules import SCORES, Risk
 from wordloom.llm.secrets import KINDS
 
 _CANONICAL = r"""
@@ -115,4 +116,85 @@ select conv_id, count(*) as n_turns,
 from checked group by conv_id
 """
 
-ORACLES = {"op5_warc_revisits": OP5, "op8_secret_scans": OP8, "op10_chat_formatting": OP10}
+_WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
+
+OP3 = f"""
+with recursive texts as (
+  select coalesce(text, '') as t, min(doc_id) as doc, count(*) as copies, row_number() over () as node
+  from documents group by 1
+), words as (select node, {_WORDS} as w from texts
+), shingles as (
+  select distinct node, array_to_string(w[i:i + 4], ' ') as s
+  from (select node, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)
+), sizes as (select node, count(*) as n from shingles group by 1
+), common as (
+  select a.node as a, b.node as b, count(*) as c from shingles a join shingles b on a.s = b.s and a.node < b.node group by all
+), links as (
+  select a, b from common join sizes x on x.node = a join sizes y on y.node = b where 5 * c >= 4 * (x.n + y.n - c)
+), both_ways as (select a, b from links union all select b, a from links
+), reached as (
+  select node, node as root from texts
+  union select l.b, r.root from reached r join both_ways l on l.a = r.node
+), classes as (select node, min(root) as root from reached group by 1
+), least as (select root, min(doc) as class_id from classes join texts using (node) group by 1
+)
+select d.doc_id, least.class_id, (select count(*) from both_ways l where l.a = t.node) as n_links, t.copies as n_copies
+from documents d join texts t on t.t = coalesce(d.text, '') join classes using (node) join least using (root)
+"""
+
+_RISK = Risk()
+_CUTS = "[" + ", ".join(str(c) for c in _RISK.grid) + "]"
+_MAXIMA = ", ".join(f"max(cutoff) filter (score = '{s}') as max_{s}" for s in SCORES)
+OP4 = f"""
+with d as (select row_number() over () as r, doc_id, lang, coalesce(text, '') as t from documents
+), words as (select r, {_WORDS} as w from d
+), cells as (select r, unnest(range(1, len(w) + 1)) as i, unnest(w) as word from words
+), windows as (
+  select r, i, count(*) over (partition by r, g) as times
+  from (select r, unnest(range(1, len(w) - 6)) as i, list_slice(w, unnest(range(1, len(w) - 6)), unnest(range(8, len(w) + 1))) as g
+        from words where len(w) >= 8)
+), covered as (select r, count(distinct i + k) as n from windows, range(8) o(k) where times > 1 group by 1
+), lines as (
+  select r, count(*) - count(distinct line) as n from (select r, unnest(string_split(t, chr(10))) as line from d)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by 1
+), counted as (
+  select d.r, doc_id, lang, len(w) as n_words, coalesce((select sum(length(word)) from cells c where c.r = d.r), 0)::bigint as word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols, coalesce(l.n, 0) as n_dup_lines,
+    coalesce(v.n, 0) as n_repeat_words, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) as capitals,
+    length(t) - length(regexp_replace(t, '[a-z]', '', 'g')) as small
+  from d join words using (r) left join lines l using (r) left join covered v using (r)
+), scored as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+    least(n_symbols / greatest(n_words, 1)::double, 1) as symbol_share,
+    n_repeat_words / greatest(n_words, 1)::double as repeat_share,
+    least(n_dup_lines * 10 / greatest(n_words, 1)::double, 1) as dup_line_share,
+    capitals / greatest(capitals + small, 1)::double as capital_share,
+    least(abs(word_chars / greatest(n_words, 1)::double - 6) / 12::double, 1) as odd_length
+  from counted
+), holdout as (select s.* from scored s join labels l using (doc_id) where not base_failed and quality = 1
+), strata as (select lang, count(*) as n from holdout group by 1
+), chances as (
+  select lang, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({_RISK.alpha / len(SCORES)}::double)
+    + (n - k) * ln(1 - {_RISK.alpha / len(SCORES)}::double))) over (partition by lang order by k) as tail
+  from strata, lateral (select unnest(range(0, n)) as k)
+), limits as (
+  select lang, max(k) as most from chances
+  where tail <= {_RISK.delta}::double / ((select count(*) from strata) * {len(SCORES)}) group by 1
+), long as (unpivot (select lang, {", ".join(SCORES)} from holdout) on {", ".join(SCORES)} into name score value x
+), rejected as (
+  select lang, score, c, count(*) filter (x > c) as k from long, (select unnest({_CUTS}::double[]) as c) group by all
+), cutoffs as (
+  select r.lang, score, min(c) as cutoff from rejected r join limits l on l.lang is not distinct from r.lang where k <= most group by all
+), wide as (select lang, {_MAXIMA} from cutoffs group by 1)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and not ({" or ".join(f"coalesce({s} > max_{s}, false)" for s in SCORES)}) as kept, s.lang, {", ".join(SCORES)}
+from scored s left join wide w on w.lang is not distinct from s.lang
+"""
+
+ORACLES = {
+    "op3_ngram_jaccard_join": OP3,
+    "op4_quality_rules": OP4,
+    "op5_warc_revisits": OP5,
+    "op8_secret_scans": OP8,
+    "op10_chat_formatting": OP10,
+}
