@@ -123,13 +123,13 @@ def vectors(name: str, ids: str, positions: int) -> str:
 def attention(source: str, keys: str, rows: list[str], size: int) -> str:
     """softmax(X Xt / sqrt(size)) X for list columns, flattened into `features`."""
     n = range(len(rows))
-    scores = ", ".join(f"list_dot_product({rows[i]}, {rows[j]}) / sqrt({size}.0::double) as s{i}{j}" for i in n for j in n)
-    tops = ", ".join("greatest(" + ", ".join(f"s{i}{j}" for j in n) + f") as m{i}" for i in n)
-    weights = ", ".join(f"exp(s{i}{j} - m{i}) as e{i}{j}" for i in n for j in n)
+    scores = ", ".join(f"list_dot_product({rows[i]}, {rows[j]}) / sqrt({size}.0::double) as s{i}_{j}" for i in n for j in n)
+    tops = ", ".join("greatest(" + ", ".join(f"s{i}_{j}" for j in n) + f") as m{i}" for i in n)
+    weights = ", ".join(f"exp(s{i}_{j} - m{i}) as e{i}_{j}" for i in n for j in n)
     outs = [
         f"list_transform(range(1, {size + 1}), lambda d: ("
-        + " + ".join(f"e{i}{j} * {rows[j]}[d]" for j in n)
-        + ") / (" + " + ".join(f"e{i}{j}" for j in n) + "))"
+        + " + ".join(f"e{i}_{j} * {rows[j]}[d]" for j in n)
+        + ") / (" + " + ".join(f"e{i}_{j}" for j in n) + "))"
         for i in n
     ]
     names = ", ".join(rows)
@@ -149,6 +149,23 @@ def reshaped_attention(count: int) -> str:
     select vec_id, {joined_reals('features')} as features from attended"""
 
 
+def projected_attention(rows: int, size: int) -> str:
+    """Attention over rows of the embeddings with seeded query, key and value matrices, cell by cell."""
+    return f"""with mats as materialized (
+      select name, i, j, {gauss(key('name', 'i', 'j'))} / sqrt({size}.0::double) as w
+      from (values ('q'), ('k'), ('v')) n(name), range({size}) a(i), range({size}) b(j)),
+    cells as (select vec_id, (place - 1) // {size} as r, (place - 1) % {size} as i, x from (
+      select vec_id, generate_subscripts(embedding, 1) as place, unnest(cast(embedding as double[])) as x from embeddings)),
+    made as materialized (select name, vec_id, r, j, sum(x * w) as x from cells join mats using (i) group by all),
+    scores as (select q.vec_id, q.r, k.r as other, sum(q.x * k.x) / sqrt({size}.0::double) as s
+      from made q join made k on q.vec_id = k.vec_id and q.j = k.j where q.name = 'q' and k.name = 'k' group by all),
+    raised as (select *, exp(s - max(s) over (partition by vec_id, r)) as e from scores),
+    weights as (select *, e / sum(e) over (partition by vec_id, r) as p from raised),
+    outs as (select w.vec_id, w.r * {size} + v.j as place, sum(w.p * v.x) as x
+      from weights w join made v on v.vec_id = w.vec_id and v.r = w.other where v.name = 'v' group by all)
+    select vec_id, string_agg(cast({micro('x')} as varchar), ' ' order by place) as features from outs group by vec_id"""
+
+
 EMB = "emb as (select vec_id, label, cast(embedding as double[]) as v from embeddings)"
 PROBS = f"""{EMB},
     cells as (select vec_id, generate_subscripts(v, 1) as i, unnest(v) as x from emb),
@@ -281,6 +298,8 @@ ORACLES: dict[str, str] = {
         from w left join vec a on w.context[1] = a.id left join vec b on w.context[2] = b.id""",
     "self_attention_w2": reshaped_attention(2),
     "self_attention_w4": reshaped_attention(4),
+    "self_attention_w16": reshaped_attention(16),
+    "self_attention_projected": projected_attention(2, 32),
     "softmax": f"""with {PROBS}
         select vec_id, string_agg(cast({micro('p')} as varchar), ' ' order by i) as probs from probs group by vec_id""",
     "sample_features": f"""with {DOC_IDS}, {windows('w', 'doc_ids', 1)}, {vectors('vec', 'doc_ids', 1)},

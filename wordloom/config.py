@@ -31,6 +31,8 @@ class ModelConfig:
     layer_size: int = 128
     drop_prob: float = 0.2
     temperature: float = 0.7
+    # Attention with seeded query, key and value projections instead of the context itself.
+    projected: bool = False
 
     # How training is spread. A shard is one sequential walk from the epoch's model; its size, not the
     # cluster, decides the result. num_shards=None derives the count from the data. A task walks one

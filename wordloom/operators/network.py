@@ -161,6 +161,24 @@ def uniform_draws(keys: list[str]) -> np.ndarray:
     return (md5_words(keys)[:, 0] + 1) / TWO_32
 
 
+def projections(size: int, seed: int) -> list[np.ndarray]:
+    """Seeded query, key and value matrices: gauss(seed, name, i, j) / sqrt(size)."""
+    words = md5_words([f"{seed}:{name}:{i}:{j}" for name in "qkv" for i in range(size) for j in range(size)])
+    radius = np.sqrt(-2.0 * np.log((words[:, 0] + 1) / TWO_32))
+    drawn = radius * np.cos(2.0 * np.pi * (words[:, 1] + 1) / TWO_32) / np.sqrt(size)
+    return list(drawn.reshape(3, size, size))
+
+
+def attention(x: np.ndarray, projected: list[np.ndarray] | None = None) -> np.ndarray:
+    """softmax(Q Kt / sqrt(size)) V for matrices [n, positions, size]; Q, K and V are x unless projected."""
+    q, k, v = (x @ w for w in projected) if projected else (x, x, x)
+    scores = np.einsum("nqe,nke->nqk", q, k) / np.sqrt(x.shape[2])
+    scores -= scores.max(axis=2, keepdims=True)
+    weights = np.exp(scores)
+    weights /= weights.sum(axis=2, keepdims=True)
+    return np.einsum("nqk,nke->nqe", weights, v)
+
+
 class ContextFeatures:
     """The features of operators.features for whole batches, with the vectors of recent tokens kept."""
 
@@ -168,6 +186,7 @@ class ContextFeatures:
         self.cfg, self.kept_tokens = cfg, kept_bytes // (8 * cfg.embedding_size)
         self.known: dict[int, np.ndarray] = {}
         size = cfg.embedding_size
+        self.projected = projections(size, cfg.seed) if cfg.projected else None
         pos = np.arange(cfg.window_size)[:, None]
         dim = np.arange(size)[None, :]
         angle = pos / np.power(ANGLE_BASE, 2 * dim / size)
@@ -199,12 +218,8 @@ class ContextFeatures:
         if full.any():
             ids, places = np.unique(contexts[full], return_inverse=True)
             x = self._vectors(ids)[places.reshape(-1, width)] + self.positions[:width]
-            if width > 1:
-                scores = np.einsum("nqe,nke->nqk", x, x) / np.sqrt(self.cfg.embedding_size)
-                scores -= scores.max(axis=2, keepdims=True)
-                weights = np.exp(scores)
-                weights /= weights.sum(axis=2, keepdims=True)
-                x = np.einsum("nqk,nke->nqe", weights, x)
+            if width > 1 or self.projected:
+                x = attention(x, self.projected)
             out[full] = x.reshape(len(x), -1)
         return out
 

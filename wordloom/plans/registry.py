@@ -215,6 +215,21 @@ def self_attention_w4(spark, folder):
     return features.attend(matrices, size).select("vec_id", joined_reals("features").alias("features"))
 
 
+def _flat_embeddings(spark, folder):
+    values = F.col("embedding").cast("array<double>").alias("matrix")
+    return _table(spark, folder, "embeddings").select("vec_id", values)
+
+
+def self_attention_w16(spark, folder):
+    found = features.attend_batches(_flat_embeddings(spark, folder), 16, 4)
+    return found.select("vec_id", joined_reals("features").alias("features"))
+
+
+def self_attention_projected(spark, folder):
+    found = features.attend_batches(_flat_embeddings(spark, folder), 2, 32, CFG.seed)
+    return found.select("vec_id", joined_reals("features").alias("features"))
+
+
 def sample_features(spark, folder):
     return features.sample_features(saved(_windows(spark, folder, 1)), CFG).select(
         "doc_id", "line_no", "k", joined_reals("features").alias("features"), "mask"
@@ -471,6 +486,8 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     embedding_matrix,
     self_attention_w2,
     self_attention_w4,
+    self_attention_w16,
+    self_attention_projected,
     softmax,
     sample_features,
     sample_features_w3,
