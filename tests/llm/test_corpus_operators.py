@@ -8,11 +8,13 @@ from itertools import combinations
 import corpus_pipeline
 import duckdb
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from check import canonical
 from made_texts import PROSE, numbered
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from wordloom.llm import decontaminate, near, queries, substrings, warc
 from wordloom.llm.components import components
@@ -21,6 +23,7 @@ from wordloom.llm.textbytes import Texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLDER = "/root/testdata/sf0.001"
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def docs_of(spark, texts):
@@ -315,6 +318,18 @@ def test_pipeline_stages(spark):
     rows = by_name["ngram_jaccard_join"][0].collect()
     want = {c for c, _, _ in classes_by_hand([r["text"] for r in rows])}
     assert {r["doc_id"] for r in by_name["ngram_jaccard_join"][1].collect()} == {rows[i]["doc_id"] for i in want}
+    before, after = (by_name["benchmark_decontamination"][i].collect() for i in (0, 1))
+    items = [decontaminate.normal(r["text"]) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    left = {r["doc_id"] for r in after}
+    for r in before:
+        if any(i in decontaminate.normal(r["text"]) for i in items):
+            assert r["doc_id"] not in left
+    library = Tokenizer.from_file(VOCABULARY)
+    ids = {r["doc_id"]: r["ids"] for r in by_name["bpe"][1].collect()}
+    for r in by_name["bpe"][0].collect():
+        want = library.encode(r["text"], add_special_tokens=False).ids
+        assert np.frombuffer(ids[r["doc_id"]], "<u4").tolist() == want
+        assert not re.search("(?i)(password|token)[\"']? ?[:=] ?[\"']?[0-9a-f]{16}", r["text"])
     before, after = by_name["secret_scans"]
     assert before.count() == after.count() == by_name["bpe"][1].count()
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet").where("quality = 1 and toxic = 0")

@@ -264,7 +264,6 @@ def grade_documents(docs: DataFrame, labels: DataFrame, rating: Rating | None =
 def select_documents(docs: DataFrame, labels: DataFrame, rating: Rating | None = None) -> DataFrame:
     """The documents that the model keeps, with all their columns and in one pass over them."""
     model = fit(docs, labels, rating)
-    names = [f"_c{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names).withColumn("text", F.col(names[docs.columns.index("text")]))
-    scored = score(plain, model, rating, tuple(names))
+    names = [f"_c{i}" if c != "text" else c for i, c in enumerate(docs.columns)]
+    scored = score(docs.toDF(*names), model, rating, tuple(names))
     return scored.where("kept").select(*names).toDF(*docs.columns)
