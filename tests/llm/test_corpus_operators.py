@@ -143,13 +143,11 @@ def test_chunks_cover_and_resist_shifts():
 
 def test_gear_hash_by_hand():
     data = np.frombuffer(numbered(30).encode(), np.uint8)
-    gear = substrings.gear_hashes(np.arange(256, dtype=np.uint8)[[0] * 0 + list(range(256))], 3)[:1]
     single = np.array([substrings.gear_hashes(np.array([b], np.uint8), 3)[0] for b in range(256)], np.uint64)
     found = substrings.gear_hashes(data, 3)
     for i in range(20, 60):
         want = sum(int(single[data[i - j]]) << (2 * j) for j in range(16)) % (1 << 32)
         assert int(found[i]) == want
-    assert len(gear) == 1
 
 
 def test_repeated_passages(spark):
