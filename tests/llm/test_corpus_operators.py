@@ -78,7 +78,7 @@ def test_near_classes_equal_all_pairs(spark, block):
     base = numbered(94, "h").split()  # 90 shingles; ten words more or fewer decide the threshold
     texts += [" ".join(base), " ".join(base[:76]), " ".join(base[:75]), " ".join(base[:77])]
     texts += [texts[0]] * 3 + ["", None, "", "one two", "one two", "one  two", "a b c d e", None]
-    found = near.join_near(docs_of(spark, texts), near.Nearness(block=block)).collect()
+    found = near.join_near(docs_of(spark, texts), near.Nearness(block=block, pruning_block=block)).collect()
     got = {r["doc_id"]: (r["class_id"], r["n_links"], r["n_copies"]) for r in found}
     assert [got[i] for i in range(len(texts))] == classes_by_hand(texts)
 

@@ -32,7 +32,8 @@ from wordloom.sources.session import saved
 @dataclass(frozen=True)
 class Nearness:
     """threshold: numerator and denominator. A true pair at the threshold shares no band with a chance of
-    (1 - 0.8^rows)^bands, 3e-6 here; beyond it the chance falls fast. block: texts of one side of a task."""
+    (1 - 0.8^rows)^bands, 3e-6 here; beyond it the chance falls fast. block, pruning_block: texts of one side of a task that verifies or prunes;
+    signatures are small, so larger blocks send each text to fewer tasks."""
 
     words: int = 5
     threshold: tuple[int, int] = (4, 5)
@@ -41,6 +42,7 @@ class Nearness:
     step: int = 16
     tolerance: float = 1e-6
     block: int = 128
+    pruning_block: int = 512
     seed: int = 7
 
     @property
@@ -299,7 +301,7 @@ def classed(docs: DataFrame, near: Nearness | None = None) -> DataFrame:
     banded = nodes.where("size > 0").select("node", F.explode(bands).alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     bucketed = banded.join(shared, "key").join(nodes.select("node", "sig"), "node")
-    candidates = surviving(in_blocks(bucketed, "n", "node", near.block), near)
+    candidates = surviving(in_blocks(bucketed, "n", "node", near.pruning_block), near)
     groups = components(candidates)
 
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
