@@ -173,6 +173,22 @@ def test_repeats_on_odd_tables(odd_docs, no_docs):
     assert substrings.without_repeats(odd_docs, found).columns == odd_docs.columns
 
 
+@pytest.mark.parametrize("words", [50, 51, 55])
+def test_short_passages_in_two_documents(spark, words):
+    seeds = range(60)
+    rng = np.random.default_rng(words)
+    texts, passages = [], []
+    for s in seeds:
+        passages.append(" ".join(f"{rng.integers(1 << 20):x}" for _ in range(words)))
+        texts += [f"{numbered(int(rng.integers(90)), f'{s}{side}')} {passages[s]} {numbered(40, f'{side}{s}')}" for side in "ab"]
+    texts += [f"{numbered(40, m)} {numbered(49, 'short')} {numbered(40, m * 2)}" for m in "xy"]
+    found = {r["doc_id"]: r for r in substrings.repeated_spans(docs_of(spark, texts)).collect()}
+    assert sorted(found) == list(range(2 * len(seeds)))
+    for i, r in found.items():
+        assert texts[i][r["start"] : r["end"]] == passages[i // 2] and r["n_words"] == words
+        assert r["first_doc_id"] == i // 2 * 2 and r["is_first"] == (i % 2 == 0)
+
+
 def edits_inside(pattern, text):
     before = [0] * (len(text) + 1)
     for i, c in enumerate(pattern, 1):

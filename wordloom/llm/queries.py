@@ -17,7 +17,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return substrings.repeated_spans(_table(spark, folder, "documents")).drop("mark")
+    return substrings.repeated_spans(_table(spark, folder, "documents"), marks=False)
 
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:

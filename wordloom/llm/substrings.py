@@ -1,9 +1,14 @@
-"""Substring dedup by content-defined chunking with a gear rolling hash.
+"""Substring dedup: every passage of 50 words that stands in several documents, joined to spans.
 
-h(i) is the sum of G[byte i - j] * 4^j over the last 16 bytes, modulo 2^32. A text is cut behind a byte whose hash
-falls below a fixed share, not before `least` bytes and not after `most`. Cuts depend on nearby bytes only, so the
-chunks of a passage are the same wherever it stands, but for its two ends, whatever is inserted before it. Chunks are
-known by a digest of 128 bits; those that several documents have are joined into spans.
+Each window of 50 words has a print: the least hash of the grams of 25 words in it. Equal windows have equal prints,
+so a window whose print only one document has is not repeated. Neighbouring windows mostly share theirs, which leaves
+one row for each 13 words or so. Only the windows whose print is repeated are then compared themselves, by digests of
+128 bits, so what is found is what a comparison of all windows would find, wherever a passage stands and whatever
+periods it has. Words are compared, not the white space between them.
+
+Content-defined chunks by a gear rolling hash (`cut`) stand here too; the spans don't use them, as chunks of a short
+passage depend on what stands before it. h(i) is the sum of G[byte i - j] * 4^j over the last 16 bytes, modulo 2^32.
+A text is cut behind a byte whose hash falls below a fixed share, not before `least` bytes and not after `most`.
 """
 
 from __future__ import annotations
@@ -15,26 +20,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.textbytes import Texts, map_texts, mix, stretch_hashes
+from wordloom.llm.textbytes import Texts, map_texts, mix, window_hash
+from wordloom.sources.session import saved
 
 REACH = 16
+BITMAP_WORDS = 1 << 19
 
 
 @dataclass(frozen=True)
 class Chunking:
-    """least, most: bytes of a chunk. mean: bytes to the next cut after least, on average.
-
-    min_words: words of a reported span. A passage loses its two ends, about 40 bytes each, so one of 50 words
-    leaves a span of 35 on average.
-    """
+    """least, most: bytes of a chunk. mean: bytes to the next cut after least, on average."""
 
     least: int = 24
     mean: int = 24
     most: int = 512
-    min_words: int = 35
     seed: int = 11
 
 
+@dataclass(frozen=True)
+class Passages:
+    """words: of the shortest passage that is found. gram: words of the grams that prints are chosen from."""
+
+    words: int = 50
+    gram: int = 25
+
+
 def gear_hashes(data: np.ndarray, seed: int) -> np.ndarray:
     """The rolling hash at every byte, by doubling the reach four times."""
     gear = (mix(np.arange(256, dtype=np.uint64) + np.uint64(seed << 32)) >> np.uint64(32)).astype(np.uint32)
@@ -80,86 +90,135 @@ def cut(texts: Texts, chunking: Chunking) -> tuple[np.ndarray, np.ndarray, np.nd
     return np.array(starts, np.int64), np.array(ends, np.int64), np.array(owner, np.int64)
 
 
-CHUNK = "h1 bigint, h2 bigint"
+def running_least(x: np.ndarray, width: int) -> np.ndarray:
+    """The least of every width neighbours, by doubling the width."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        x = np.minimum(x[:-step], x[step:])
+        done += step
+    return x
+
+
+def windows(texts: Texts, passages: Passages) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, hash and print of every window."""
+    hashes = texts.word_hashes()
+    first, whole = texts.windows(passages.words, hashes)
+    if not len(first):
+        return first, whole, whole
+    return first, whole, running_least(window_hash(hashes, passages.gram), passages.words - passages.gram + 1)[first]
+
 
+def prints(rows: DataFrame, passages: Passages) -> DataFrame:
+    """mark and print, once for each print of a row."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        texts = Texts(batch.column("text"))
+        first, _, least = windows(texts, passages)
+        if not len(first):
+            return None
+        owner = texts.words()[2][first]
+        order = np.lexsort((least, owner))
+        owner, least = owner[order], least[order]
+        new = np.r_[True, (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])]
+        marks = batch.column("mark").take(pa.array(owner[new]))
+        return pa.RecordBatch.from_arrays([marks, pa.array(least[new].view(np.int64))], ["mark", "print"])
+
+    return map_texts(rows, "text", work, "mark bigint, print bigint")
 
-def chunks(docs: DataFrame, chunking: Chunking, places: bool) -> DataFrame:
-    """One row for each chunk: doc_id, h1, h2, and with places _row, mark, start, end (code points) and n_words.
 
-    Without places, a chunk that a document repeats is given once.
+def placed_windows(rows: DataFrame, passages: Passages) -> DataFrame:
+    """The windows of rows whose print is one of _prints: h1, h2, is_new, at, length and the columns of rows but
+    text and _prints. is_new is 1 where a row has such a window for the first time. at is the place in words times
+    2^32 plus the start, and length is up to the end, in code points; two numbers shuffle leaner than three.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text")
-    schema = f"doc_id {kind}, {CHUNK}"
-    if places:
-        mark = F.xxhash64(F.coalesce("text", F.lit("")))
-        rows = rows.select("*", F.monotonically_increasing_id().alias("_row"), mark.alias("mark"))
-        schema += ", _row bigint, mark bigint, start bigint, end bigint, n_words int"
+    kept = [f for f in rows.schema if f.name not in ("text", "_prints")]
+    schema = "h1 bigint, h2 bigint, is_new bigint, at bigint, length bigint, "
+    schema += ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         texts = Texts(batch.column("text"))
-        start, end, owner = cut(texts, chunking)
-        if not len(start):
+        first, h1, least = windows(texts, passages)
+        # A print that one row has and that is repeated is in that row's own list, so one list does for all.
+        known = np.isin(least, batch.column("_prints").flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+        if not known.any():
             return None
-        h1 = stretch_hashes(texts.data, start, end, 0).view(np.int64)
-        h2 = stretch_hashes(texts.data, start, end, 1).view(np.int64)
-        if not places:
-            order = np.lexsort((h2, h1, owner))
-            a, b, c = owner[order], h1[order], h2[order]
-            first = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])]
-            owner, h1, h2 = a[first], b[first], c[first]
-        columns = {"doc_id": batch.column("doc_id").take(pa.array(owner)), "h1": pa.array(h1), "h2": pa.array(h2)}
-        if places:
-            chars = texts.characters()
-            words = np.zeros(len(texts.data) + 1, np.int64)
-            words[1:][texts.words()[0]] = 1
-            words = np.cumsum(words)
-            head = chars[texts.at[owner]]
-            columns |= {
-                "_row": batch.column("_row").take(pa.array(owner)),
-                "mark": batch.column("mark").take(pa.array(owner)),
-                "start": pa.array(chars[start] - head),
-                "end": pa.array(chars[end] - head),
-                "n_words": pa.array((words[end] - words[start]).astype(np.int32)),
-            }
+        h2 = texts.windows(passages.words, texts.word_hashes(1))[1]
+        first, h1, h2 = first[known], h1[known], h2[known]
+        begins, ends, text = texts.words()
+        owner, chars = text[first], texts.characters()
+        start, end = chars[begins[first]], chars[ends[first + passages.words - 1]]
+        place = first - np.searchsorted(text, owner)
+        order = np.lexsort((h2, h1, owner))
+        a, b, c = owner[order], h1[order], h2[order]
+        new = np.ones(len(order), np.int64)
+        new[order[1:]] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])
+        columns = {
+            "h1": pa.array(h1.view(np.int64)),
+            "h2": pa.array(h2.view(np.int64)),
+            "is_new": pa.array(new),
+            "at": pa.array((place << 32) + start - chars[texts.at[owner]]),
+            "length": pa.array(end - start),
+            **{f.name: batch.column(f.name).take(pa.array(owner)) for f in kept},
+        }
         return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return map_texts(rows, "text", work, schema)
 
 
-def repeated_spans(docs: DataFrame, chunking: Chunking | None = None) -> DataFrame:
-    """doc_id, mark, start, end, n_words, n_chunks, first_doc_id and is_first of every repeated span.
+def likely(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """rows without most of those whose mark is not in marks, by a bitmap of 4 MB at most that is broadcast.
 
-    A span is a run of neighbouring chunks that each stand in two or more documents, min_words words at least.
-    first_doc_id is the least id of a document that has a chunk of it; is_first tells that the document itself is
-    the first for all of them. start and end are code points; mark is a hash of the text. A null or empty text has
-    no spans. Rows that repeat a document are documents that repeat its chunks.
+    It spares the shuffle of texts that have nothing repeated; beyond some ten million marks it spares little.
     """
-    chunking = chunking or Chunking()
-    counted = chunks(docs, chunking, False).groupBy("h1", "h2").agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc_id")
-    )
+    word, bit = f"mark & {BITMAP_WORDS - 1}", f"cast(shiftright(mark, {BITMAP_WORDS.bit_length() - 1}) & 63 as int)"
+    bitmap = marks.groupBy(F.expr(word).alias("_word")).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("_bits"))
+    joined = rows.withColumn("_word", F.expr(word)).join(F.broadcast(bitmap), "_word")
+    return joined.where(f"shiftright(_bits, {bit}) & 1 = 1").drop("_word", "_bits")
+
+
+def repeated_spans(docs: DataFrame, passages: Passages | None = None, marks: bool = True) -> DataFrame:
+    """doc_id, mark, start, end, n_words, n_windows, first_doc_id and is_first of every repeated span.
+
+    A span is a run of whole words, each in a window that stands in two or more documents; its windows overlap or
+    touch. first_doc_id is the least id of a document that has a window of it; is_first tells that the document
+    itself is the first for all of them. start and end are code points; mark is a hash of the text, given
+    with marks. A null or empty text has no spans. Rows that repeat a document are documents that repeat its windows.
+    """
+    passages = passages or Passages()
+    mark = F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark")
+    rows = docs.select("doc_id", "text", mark, F.monotonically_increasing_id().alias("_row"))
+    each = prints(rows.select("text", "mark"), passages)
+    several = each.groupBy("print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # Equal texts have equal prints. Where unlike texts share a mark, more windows are compared, no more.
+    wanted = saved(each.join(several, "print").groupBy("mark").agg(F.collect_set("print").alias("_prints")))
+    near = likely(rows, wanted.select("mark")).join(wanted, "mark")
+    found = placed_windows(near if marks else near.drop("mark"), passages)
+    counted = found.groupBy("h1", "h2").agg(F.sum("is_new").alias("n"), F.min("doc_id").alias("first_doc_id"))
     repeated = counted.where("n > 1").drop("n")
-    found = chunks(docs, chunking, True).join(repeated, ["h1", "h2"])
-    order = Window.partitionBy("_row").orderBy("start")
-    begins = F.coalesce(F.lag("end").over(order) < F.col("start"), F.lit(True)).cast("int")
+    order = Window.partitionBy("_row").orderBy("at")
+    place = F.shiftright("at", 32)
+    begins = F.coalesce(F.lag(place).over(order) + passages.words < place, F.lit(True)).cast("int")
+    start = F.col("at").bitwiseAND(F.lit((1 << 32) - 1))
     run = F.sum("_begins").over(order.rowsBetween(Window.unboundedPreceding, 0))
     spans = (
-        found.withColumn("_begins", begins)
+        found.join(repeated, ["h1", "h2"])
+        .drop("h1", "h2", "is_new")
+        .withColumn("_begins", begins)
         .withColumn("_run", run)
         .groupBy("_row", "_run")
         .agg(
             F.first("doc_id").alias("doc_id"),
-            F.first("mark").alias("mark"),
-            F.min("start").alias("start"),
-            F.max("end").alias("end"),
-            F.sum("n_words").alias("n_words"),
-            F.count(F.lit(1)).alias("n_chunks"),
+            *[F.first("mark").alias("mark")] * marks,
+            F.min(start).alias("start"),
+            F.max(start + F.col("length")).alias("end"),
+            (F.max(place) - F.min(place) + passages.words).alias("n_words"),
+            F.count(F.lit(1)).alias("n_windows"),
             F.min("first_doc_id").alias("first_doc_id"),
             F.coalesce(F.min(F.col("first_doc_id") == F.col("doc_id")), F.lit(False)).alias("is_first"),
         )
     )
-    return spans.where(F.col("n_words") >= chunking.min_words).drop("_row", "_run")
+    return spans.drop("_row", "_run")
 
 
 def without_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
