@@ -189,6 +189,34 @@ def test_short_passages_in_two_documents(spark, words):
         assert r["first_doc_id"] == i // 2 * 2 and r["is_first"] == (i % 2 == 0)
 
 
+def test_chunks_of_repetitive_passages():
+    config = substrings.Chunking()
+    limit = (1 << 32) // config.mean
+    found = 0
+    for s in range(400):
+        period = f"{s * 7919:x} some {s}é "
+        body = period * 150
+        raw = np.frombuffer((period * 9).encode(), np.uint8)
+        if (substrings.gear_hashes(raw, config.seed)[16:] < limit).any():
+            continue
+        found += 1
+        texts = Texts(pa.array([numbered(20, f"a{s}") + " " + body + numbered(9, "c"), numbered(31, f"bb{s}") + " " + body + "x"]))
+        start, end, owner = substrings.cut(texts, config)
+        one, two = ({bytes(texts.data[a:b]) for a, b, o in zip(start, end, owner, strict=True) if o == t} for t in (0, 1))
+        assert one & two
+    assert found > 20
+
+
+def test_repetitive_passages(spark):
+    texts, bodies = [], []
+    for s in range(60):
+        period = " ".join(f"{s}r{i}" for i in range(1 + s % 12))
+        bodies.append(" ".join((f"{period} " * 80).split()[: 55 + s]))
+        texts += [f"{numbered(3 * s + 1, f'{s}{side}')} {bodies[s]} {numbered(40, f'{side}{s}')}" for side in "ab"]
+    found = {r["doc_id"]: r for r in substrings.repeated_spans(docs_of(spark, texts)).collect()}
+    assert {i: texts[i][r["start"] : r["end"]] for i, r in found.items()} == {i: bodies[i // 2] for i in range(120)}
+
+
 def edits_inside(pattern, text):
     before = [0] * (len(text) + 1)
     for i, c in enumerate(pattern, 1):

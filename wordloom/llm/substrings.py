@@ -8,7 +8,8 @@ periods it has. Words are compared, not the white space between them.
 
 Content-defined chunks by a gear rolling hash (`cut`) stand here too; the spans don't use them, as chunks of a short
 passage depend on what stands before it. h(i) is the sum of G[byte i - j] * 4^j over the last 16 bytes, modulo 2^32.
-A text is cut behind a byte whose hash falls below a fixed share, not before `least` bytes and not after `most`.
+A text is cut behind a byte whose hash falls below a fixed share, not before `least` bytes and not after `most`;
+where none falls below it up to `most`, behind the byte of the least hash, the first of equal ones.
 """
 
 from __future__ import annotations
@@ -60,7 +61,8 @@ def cut(texts: Texts, chunking: Chunking) -> tuple[np.ndarray, np.ndarray, np.nd
     data, at = texts.data, texts.at
     whole = np.ones(len(data) + 1, bool)
     whole[:-1] = (data & 0xC0) != 0x80
-    low = gear_hashes(data, chunking.seed) < np.uint32((1 << 32) // chunking.mean)
+    hashes = gear_hashes(data, chunking.seed)
+    low = hashes < np.uint32((1 << 32) // chunking.mean)
     places = np.flatnonzero(low & whole[1:]) + 1
     bounds = np.searchsorted(places, at)
     least, most = chunking.least, chunking.most
@@ -74,11 +76,9 @@ def cut(texts: Texts, chunking: Chunking) -> tuple[np.ndarray, np.ndarray, np.nd
         first = len(starts)
         for p in [*places[bounds[t] : bounds[t + 1]].tolist(), stop]:
             while p - begin > most:
-                forced = begin + most
-                while not whole[forced]:
-                    forced += 1
-                if forced >= p:
-                    break
+                # No low hash: behind the least one, which in a repetitive passage stands at the same place of each period.
+                allowed = begin + least + np.flatnonzero(whole[begin + least : begin + most + 1])
+                forced = int(allowed[hashes[allowed - 1].argmin()])
                 starts.append(begin)
                 ends.append(forced)
                 begin = forced
