@@ -515,7 +515,8 @@ STEP_ORACLES = {
         {step_forward('h', 'held', ['m0', 'm1', 'm2'])},
         {class_scores('select y as label, prediction from marked join h_best using (ctx) where not is_train')}""",
     "step_next_token": f"""with {STEP}, {STEP_NEXT}
-        select seed_row, cast({step_draw('ctx', "'0'")} as bigint) as token from starts join reached using (ctx)""",
+        select seed_row, case when ctx is null then -1 else cast({step_draw('ctx', "'0'")} as bigint) end as token
+        from starts left join reached using (ctx)""",
     "step_generate": f"""with recursive {STEP}, {STEP_NEXT},
         chain as (
           select seed_row, ctx as said, ctx, 0 as step from starts where ctx is not null

@@ -41,3 +41,38 @@ def test_first_places_need_no_sort(spark):
 
     plan = distinct_words(lines_in_memory(spark, ["a b"]))._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
+
+
+def test_words_of_a_line_cost_no_square(spark):
+    """No lambda or sorted array stands in a filter of the plan, and a line of 20,000 words takes no second."""
+    import time
+
+    from wordloom.operators.corpus import distinct_words
+    from wordloom.sources.text import lines_in_memory
+
+    long = " ".join(f"w{i % 9000}" for i in range(20_000))
+    lines = lines_in_memory(spark, [long, "w1 w2"])
+    distinct_words(lines).count()
+    started = time.monotonic()
+    found = distinct_words(lines)
+    assert found.count() == 9000
+    assert time.monotonic() - started < 3  # the jobs alone take most of it here
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort" not in plan and "lambda" not in plan
+
+
+def test_first_words_equal_the_splitting_rule(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from wordloom.functions.text import BLANKS, split_words
+    from wordloom.operators.arrow import first_words
+
+    texts = ["", " ", "a", " a b a ", "b\t\na\x0b\x0c\rb", " a  ", None, "  \n", "a  a", "é é é", "\x1ca\x1c b"]
+    word, line, pos, n = first_words(pa.array(texts, pa.string()), BLANKS)
+    got = sorted(zip(line.tolist(), pos.tolist(), word.to_pylist(), n.tolist(), strict=True))
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", split_words(F.col("t")).alias("w")).collect()
+    want = [
+        (r["i"], r["w"].index(w), w, r["w"].count(w)) for r in rows for w in dict.fromkeys(r["w"] or [])
+    ]
+    assert got == sorted(want)

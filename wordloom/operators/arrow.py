@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+SLICE_BYTES = 4 << 20
+
 
 def list_rows(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """([n, width] values, full): rows of another length are zero and not full."""
@@ -26,3 +30,35 @@ def as_lists(rows: np.ndarray, kind: pa.DataType) -> pa.Array:
     n, width = rows.shape
     offsets = pa.array(np.arange(0, (n + 1) * width, width, dtype=np.int32) if width else np.zeros(n + 1, np.int32))
     return pa.ListArray.from_arrays(offsets, pa.array(rows.reshape(-1), kind))
+
+
+def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose texts have at most limit bytes; a longer text is alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(int(np.searchsorted(ends, before + limit, side="right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def first_words(lines: pa.Array, blanks: str) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(word, line, pos, n) of every word of each line: where it stands first in the line, and how often it does.
+
+    Words are those of functions.text.split_words, whose white space is ASCII's, as Arrow's is. Linear but for the sort
+    of (line, word) numbers.
+    """
+    trimmed = pc.ascii_rtrim(lines, blanks)
+    only_blanks = pc.and_(pc.equal(trimmed, ""), pc.not_equal(lines, ""))
+    cut = pc.ascii_split_whitespace(pc.if_else(only_blanks, pa.scalar(None, pa.string()), trimmed))
+    lengths = pc.fill_null(pc.list_value_length(cut), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = pc.dictionary_encode(cut.flatten())
+    word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    line = np.repeat(np.arange(len(lines), dtype=np.int64), lengths)
+    pos = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    key = line * max(len(coded.dictionary), 1) + word
+    order = np.argsort(key, kind="stable")
+    heads = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0]) if len(key) else np.zeros(0, np.int64)
+    at = order[heads]
+    return coded.dictionary.take(pa.array(word[at])), line[at], pos[at], np.diff(np.r_[heads, len(key)])

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import draws, places
-from wordloom.functions.text import split_words
+from wordloom.functions.text import BLANKS, split_words
+from wordloom.operators.arrow import first_words, slices
 
 
 def corpus_stats(lines: DataFrame) -> DataFrame:
@@ -47,21 +51,26 @@ def explode_tokens(lines: DataFrame) -> DataFrame:
 def distinct_words(lines: DataFrame) -> DataFrame:
     """Each distinct word with the place it is first seen and its number of occurrences.
 
-    Partial minima and counts are taken before the shuffle, so a frequent word costs one row per task.
+    A slice of lines sends one row for each of its words: the word's first place among them and its count. Those are
+    taken together in hash maps before and after the shuffle, so a frequent word costs one row per task.
     """
-    # In a line, its words in order: a word's first position, and how many follow up to the next word.
-    pairs = F.transform(split_words(F.col("line")), lambda w, i: F.struct(w.alias("word"), i.alias("pos")))
-    sorted_words = lines.select("doc_id", "line_no", F.array_sort(pairs).alias("_s")).where(F.size("_s") > 0)
-    is_first = lambda j: (j == 0) | (F.get("_s", j - 1)["word"] != F.get("_s", j)["word"])
-    heads = sorted_words.withColumn("_at", F.filter(F.sequence(F.lit(0), F.size("_s") - 1), is_first))
-    each = heads.select("doc_id", "line_no", "_s", "_at", F.posexplode("_at").alias("_t", "_j")).select(
-        places.place(F.col("doc_id"), F.col("line_no")).alias("_line"),
-        F.get("_s", F.col("_j"))["word"].alias("word"),
-        F.get("_s", F.col("_j"))["pos"].alias("pos"),
-        (F.coalesce(F.get("_at", F.col("_t") + 1), F.size("_s")) - F.col("_j")).alias("times"),
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "line"):
+                word, line, pos, n = first_words(piece.column("line"), BLANKS)
+                rows = pa.array(line)
+                columns = [word, piece.column("doc_id").take(rows), piece.column("line_no").take(rows)]
+                columns += [pa.array(pos, pa.int32()), pa.array(n, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "doc_id", "line_no", "pos", "n"])
+
+    counted = lines.select("doc_id", "line_no", "line").mapInArrow(
+        work, "word string, doc_id bigint, line_no bigint, pos int, n bigint"
     )
+    # Every word once for each line, so min_by meets no tie.
+    each = counted.select("word", places.place(F.col("doc_id"), F.col("line_no")).alias("_line"), "pos", "n")
     found = each.groupBy("word").agg(
-        F.min("_line").alias("first"), F.min_by("pos", "_line").alias("pos"), F.sum("times").alias("n")
+        F.min("_line").alias("first"), F.min_by("pos", "_line").alias("pos"), F.sum("n").alias("n")
     )
     doc_id, line_no = places.parts(F.col("first"))
     return found.select("word", doc_id.alias("doc_id"), line_no.alias("line_no"), "pos", "n")

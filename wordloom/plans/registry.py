@@ -422,7 +422,8 @@ def step_validation(spark, folder):
 def step_next_token(spark, folder):
     words, trained, _ = _stepped(spark, folder)
     contexts = generation.seed_contexts(seeds(spark, folder), words, STEP)
-    return generation.next_token(contexts, trained.model, STEP).where("token is not null")
+    found = generation.next_token(contexts, trained.model, STEP)
+    return found.withColumn("token", F.coalesce("token", F.lit(-1).cast("bigint")))
 
 
 def step_generate(spark, folder):
