@@ -191,10 +191,97 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from scored s left join wide w on w.lang is not distinct from s.lang
 """
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_SMALL = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
+
+OP11 = rf"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+  from (select lang, unnest(string_split_regex({_SMALL}, '[.,;:!?\x0A-\x0D]')) as piece from documents)
+), totals as (select lang, sum(len(w))::bigint as n from pieces group by 1
+), found as (
+  select lang, size, array_to_string(w[i:i + size - 1], ' ') as phrase, count(*) as f
+  from (select lang, w, size, unnest(range(1, len(w) - size + 2)) as i from pieces, range(1, 6) s(size) where len(w) >= size)
+  group by all having count(*) >= 100
+), many as (select *, string_split(phrase, ' ') as w from found where size > 1
+), cuts as (
+  select m.lang, m.phrase, m.size, m.f as a, k, l.f as l, r.f as r, n, (1000 * m.f::hugeint * n) // (l.f::hugeint * r.f) as score
+  from (select *, unnest(range(1, size)) as k from many) m join totals using (lang)
+  join found l on l.lang = m.lang and l.phrase = array_to_string(w[1:k], ' ')
+  join found r on r.lang = m.lang and r.phrase = array_to_string(w[k + 1:], ' ')
+), best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), kept as (
+  select * from best b where not exists (
+    select 1 from many q where q.lang = b.lang and q.size > b.size and q.f >= b.a
+      and contains(' ' || q.phrase || ' ', ' ' || b.phrase || ' '))
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score::bigint as score
+from kept qualify rank <= 2000
+"""
+
+_CRC = "select range as i, range as c from range(256)"
+for _ in range(8):
+    _CRC = f"select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end as c from ({_CRC})"
+
+
+def _features(name: str, table: str) -> str:
+    return rf"""{name} as (
+  select r, doc_id, regexp_extract_all({_SMALL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from (
+    select row_number() over () as r, * from {table})), {name}_words as (
+  select r, word, count(*) as times from (select r, unnest(w) as word from {name}) group by all)"""
+
+
+OP12 = f"""
+with {_features("d", "documents")}, {_features("b", "(select item_id as doc_id, text from benchmark)")},
+crc as (select list(c order by i) as t from ({_CRC})
+), bytes as (
+  select word, list_transform(range(1, len(h), 2), lambda i: ('0x' || substr(h, i, 2))::bigint) as x
+  from (select word, hex(word) as h from (select word from d_words union select word from b_words))
+), hashed as (
+  select word, xor(list_reduce(list_prepend(4294967295::bigint, x),
+    lambda acc, byte: xor(acc >> 8, t[(xor(acc, byte) & 255) + 1])), 4294967295) % 10000 as bucket from bytes, crc
+), sums as (select range as bucket, coalesce(s, 0) as s, coalesce(t, 0) as t from range(10000)
+  left join (select bucket, sum(times) as s from d_words join hashed using (word) group by 1) on bucket = range
+  left join (select bucket as b, sum(times) as t from b_words join hashed using (word) group by 1) on b = range
+), gains as (
+  select bucket, floor(1000 * ln((t + 1)::double * (sum(s) over () + 10000)::double
+    / ((s + 1)::double * (sum(t) over () + 10000)::double)))::bigint as gain from sums
+), weights as (
+  select r, sum(times * gain)::bigint as weight from d_words join hashed using (word) join gains using (bucket) group by 1
+), scored as (
+  select doc_id, len(w) as n_features, coalesce(weight, 0) as weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+    (('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296.0::double)))::bigint as score
+  from d left join weights using (r)
+)
+select *, case when n_features >= 20 and place <= drawn then place end as rank from (
+  select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id nulls first, weight, n_features) as place,
+    10 * (count(*) filter (n_features >= 20) over ()) // 100 as drawn from scored)
+"""
+OP12 = f"select doc_id, n_features, weight, score, rank from ({OP12})"
+
+OP13 = r"""
+with rules(verdict, host, path) as (
+  values ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), rests as (
+  select row_number() over () as r, page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
+  from pages
+), urls as (
+  select r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), '""" + _UPPER + "', '" + _UPPER.lower() + r"""') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from rests
+), won as (
+  select r, max_by(u.host || u.path, length(u.host || u.path)) as rule, max_by(verdict, length(u.host || u.path)) as verdict
+  from urls join rules u on (urls.host = u.host or ends_with(urls.host, '.' || u.host)) and starts_with(urls.path, u.path) group by r
+)
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from urls left join won using (r)
+"""
+
 ORACLES = {
     "op3_ngram_jaccard_join": OP3,
     "op4_quality_rules": OP4,
     "op5_warc_revisits": OP5,
     "op8_secret_scans": OP8,
     "op10_chat_formatting": OP10,
+    "op11_collocations": OP11,
+    "op12_importance_resampling": OP12,
+    "op13_url_filters": OP13,
 }

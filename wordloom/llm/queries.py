@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import bpe, chat, decontaminate, html_text, near, ordinal, quality_rules, secrets, substrings, warc
+from wordloom.llm import (
+    bpe, chat, collocations, decontaminate, html_text, near, ordinal, quality_rules, resample, secrets, substrings, url_rules, warc,
+)
 from wordloom.llm.oracles import ORACLES
 
 
@@ -94,8 +96,28 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("first_bad", F.coalesce("first_bad", F.lit(-1).cast("bigint")))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+URL_RULES = [
+    url_rules.Rule("block", "net", "/"),
+    url_rules.Rule("allow", "example.net", "/en/"),
+    url_rules.Rule("block", "example.com", "/de/"),
+    url_rules.Rule("allow", "org", "/fr/"),
+]
+
+
+def op13_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge(_table(spark, folder, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_ngram_jaccard_join, op4_quality_rules, op5_warc_revisits, op6_html_extraction, op7_bpe, op8_secret_scans, op9_quality_classifier, op10_chat_formatting)
+    f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_ngram_jaccard_join, op4_quality_rules, op5_warc_revisits, op6_html_extraction, op7_bpe, op8_secret_scans, op9_quality_classifier, op10_chat_formatting, op11_collocations, op12_importance_resampling, op13_url_filters)
 }
 
 
