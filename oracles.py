@@ -478,9 +478,9 @@ def step_draw(ctx: str, step: str) -> str:
     return f"""coalesce(list_position(list_transform(reached, lambda r: r >= {uniform(key('seed_row', step), 1)}), true), 1) - 1"""
 
 
-def class_scores(pairs: str) -> str:
-    """Weighted class metrics of a table of label, prediction."""
-    return f"""pairs as materialized ({pairs}),
+def class_scores(pairs: str, nested: bool = False) -> str:
+    """Weighted class metrics of a table of label, prediction; nested, as a query of its own."""
+    return f"""{'with ' if nested else ''}pairs as materialized ({pairs}),
     classes as (select label as c from pairs union select prediction from pairs),
     per_class as (select c,
         (select count(*) from pairs where label = c) as support,
@@ -531,3 +531,143 @@ STEP_ORACLES = {
 }
 
 ORACLES |= STEP_ORACLES
+
+
+# Several steps of the same network, one after the other, for two epochs: Adam's moments go from batch to batch of a shard,
+# the model is the mean of the parameters after every batch, and the next epoch starts from it with fresh moments.
+RUN_EPOCHS, RUN_STEPS = 2, 3
+
+
+def run_tables() -> str:
+    inputs = STEP_SIZES[0]
+    outputs = STEP_SIZES[-1]
+    number = f"(select (count(*) + {ROWS_PER_SHARD - 1}) // {ROWS_PER_SHARD} from chosen)"
+    parts = [
+        TURN_IDS,
+        windows("w", "turn_ids", 1),
+        f"""marked as materialized (select doc_id, line_no, k, coalesce(context[1], -1) as ctx, label,
+          least(label, {outputs - 1}) as y, {IS_TRAIN} as is_train from w)""",
+        "chosen as (select * from marked where is_train)",
+        f"""sharded as materialized (select *, cast({md5_int(key('doc_id', 'line_no', 'k'), 17, 15)} % {number} as integer) as shard
+          from chosen)""",
+        f"""batched as (select *, (row_number() over (partition by shard order by doc_id, line_no, k) - 1)
+          // (36 * (select count(*) from chosen) // (100 * {number}) + 1) as batch_no from sharded)""",
+        "counts as materialized (select shard, batch_no, ctx, y, count(*) as n from batched group by all)",
+        "sizes as materialized (select shard, batch_no, sum(n) as n from counts group by all)",
+        "tokens_used as (select distinct id as ctx from turn_ids)",
+        f"""features as materialized (select ctx, i, {gauss(key('ctx', 'i'))} * 0.1::double
+            + {position('0', 'i', inputs)} as x from tokens_used, range({inputs}) r(i)
+          union all select -1, i, 0.0::double from range({inputs}) r(i))""",
+    ]
+    for layer, (fan_in, fan_out) in enumerate(zip(STEP_SIZES, STEP_SIZES[1:])):
+        weight = f"{gauss(key(str(layer), 'i', 'j'))} * sqrt(2.0::double / {fan_in + fan_out})"
+        parts.append(f"""m0_{layer} as materialized (select i, j, {weight} as w from range({fan_in}) a(i), range({fan_out}) b(j)
+          union all select -1, j, 0.0::double from range({fan_out}) b(j))""")
+    for epoch in range(1, RUN_EPOCHS + 1):
+        rate = f"(0.005::double * pow(0.9::double, {epoch - 1}))"
+        for layer in range(3):
+            parts.append(f"""p{epoch}_0_{layer} as (select shard, i, j, w, 0.0::double as m, 0.0::double as v
+              from (select distinct shard from sizes) cross join m{epoch - 1}_{layer})""")
+        for step in range(RUN_STEPS):
+            parts += run_step(f"{epoch}_{step}", f"{epoch}_{step + 1}", step, rate)
+        for layer in range(3):
+            after = " union all ".join(
+                f"select i, j, w from p{epoch}_{step + 1}_{layer} join sizes using (shard) where batch_no = {step}"
+                for step in range(RUN_STEPS)
+            )
+            parts.append(f"m{epoch}_{layer} as materialized (select i, j, avg(w) as w from ({after}) group by all)")
+    return ",\n".join(parts)
+
+
+def run_step(now: str, then: str, step: int, rate: str) -> list[str]:
+    """The batch `step` of every shard that has one: from the parameters p{now} to p{then}."""
+    a, weights = f"a{now}_", [f"p{now}_{layer}" for layer in range(3)]
+    parts = [
+        f"c{now} as materialized (select shard, ctx, y, n from counts where batch_no = {step})",
+        step_forward(a, f"(select distinct shard, ctx from c{now})", weights, "shard"),
+        # Partial windows are counted in the size, and neither learn nor cost.
+        f"""f{now} as materialized (select c.shard, ctx, y, c.n, s.n as size from c{now} c join sizes s using (shard)
+          where s.batch_no = {step} and ctx >= 0)""",
+        f"""l{now} as (select c.shard, sum(c.n * p.nll) / any_value(size) as loss from f{now} c
+          join {a}_p p on p.shard = c.shard and p.ctx = c.ctx and p.i = c.y group by c.shard)""",
+        f"""d{now}_3 as materialized (select g.shard, g.ctx, p.i as j, (g.n * p.p - coalesce(c.n, 0)) / g.size as d
+          from (select shard, ctx, sum(n) as n, any_value(size) as size from f{now} group by all) g
+          join {a}_p p on p.shard = g.shard and p.ctx = g.ctx
+          left join f{now} c on c.shard = g.shard and c.ctx = g.ctx and c.y = p.i)""",
+    ]
+    for layer in (2, 1, 0):
+        parts.append(f"""g{now}_{layer} as materialized (select shard, a.i, d.j, sum(a.x * d.d) as g
+          from d{now}_{layer + 1} d join {a}{layer} a using (shard, ctx) group by all)""")
+        if layer:
+            parts.append(f"""d{now}_{layer} as materialized (select d.shard, d.ctx, w.i as j, sum(d.d * w.w) as d
+              from d{now}_{layer + 1} d join p{now}_{layer} w on w.shard = d.shard and w.j = d.j
+              join {a}{layer} a on a.shard = d.shard and a.ctx = d.ctx and a.i = w.i where w.i >= 0 and a.x > 0 group by all)""")
+    for layer in range(3):
+        parts.append(f"""p{then}_{layer} as materialized (
+          select shard, i, j, case when has then w - {rate} / (1 - pow(0.9::double, {step + 1})) * m2
+              / (sqrt(v2 / (1 - pow(0.999::double, {step + 1}))) + 1e-8::double) else w end as w,
+            case when has then m2 else m end as m, case when has then v2 else v end as v
+          from (select *, 0.9::double * m + (1 - 0.9::double) * g as m2, 0.999::double * v + (1 - 0.999::double) * g * g as v2 from (
+            select p.*, coalesce(g, 0) as g, s.n is not null as has from p{now}_{layer} p left join g{now}_{layer} using (shard, i, j)
+            left join sizes s on s.shard = p.shard and s.batch_no = {step})))""")
+    b = f"b{now}_"
+    parts.append(step_forward(b, f"(select distinct shard, ctx from c{now})", [f"p{then}_{layer}" for layer in range(3)], "shard"))
+    parts.append(f"""h{now} as (select c.shard, sum(case when y = prediction then n else 0 end) as correct
+      from c{now} c join {b}_best b on b.shard = c.shard and b.ctx = c.ctx group by c.shard)""")
+    return parts
+
+
+RUN_LOG = "log as materialized (" + " union all ".join(
+    f"""select {epoch} as epoch, s.shard, {step} as batch_no, coalesce(loss, 0) as loss, correct, s.n as total
+    from sizes s left join l{epoch}_{step} using (shard) left join h{epoch}_{step} using (shard) where s.batch_no = {step}"""
+    for epoch in range(1, RUN_EPOCHS + 1)
+    for step in range(RUN_STEPS)
+) + ")"
+
+
+def run_blocks() -> str:
+    rows = []
+    for layer, fan_out in enumerate(STEP_SIZES[1:]):
+        rows.append(f"select {layer} as layer, 'weight' as name, i * {fan_out} + j as place, w from m{RUN_EPOCHS}_{layer} where i >= 0")
+        rows.append(f"select {layer}, 'bias', j as place, w from m{RUN_EPOCHS}_{layer} where i = -1")
+    return " union all ".join(rows)
+
+
+RUN_STEPWISE = f"with {run_tables()}"
+
+ORACLES |= {
+    "run_model": f"""{RUN_STEPWISE}, blocks as ({run_blocks()})
+        select {RUN_EPOCHS} as epoch, layer, name, cast(place // 64 as integer) as block_id, cast(count(*) as integer) as n,
+          string_agg(cast({micro('w')} as varchar), ' ' order by place) as "values" from blocks group by all""",
+    "run_batches": f"""{RUN_STEPWISE}, {RUN_LOG}
+        select cast(epoch as integer) as epoch, shard, cast(batch_no as bigint) as batch_no, {micro('loss')} as loss,
+          cast(correct as bigint) as correct, cast(total as bigint) as total from log""",
+    "run_metrics": f"""{RUN_STEPWISE}, {RUN_LOG}
+        select cast(epoch as integer) as epoch, round(0.005::double * pow(0.9::double, epoch - 1), 6) as learning_rate,
+          round(avg(loss), 4) as avg_loss, round(sum(correct) / sum(total)::double * 100, 2) as accuracy_pct, count(*) as batches,
+          cast(sum(total) as bigint) as predictions, cast(count(distinct shard) as integer) as shards, count(*) as snapshots,
+          (select count(*) from chosen where k = 0) as lines,
+          (select count(*) from chosen where label >= {STEP_SIZES[-1] - 1}) as out_of_range from log group by epoch""",
+    "run_validation": f"""{RUN_STEPWISE}, held as (select distinct ctx from marked where not is_train),
+        {step_forward('v1_', 'held', ['m1_0', 'm1_1', 'm1_2'])}, {step_forward('v2_', 'held', ['m2_0', 'm2_1', 'm2_2'])},
+        first as ({class_scores('select y as label, prediction from marked join v1__best using (ctx) where not is_train', nested=True)}),
+        second as ({class_scores('select y as label, prediction from marked join v2__best using (ctx) where not is_train', nested=True)})
+        select 1 as epoch, * from first union all select 2, * from second""",
+}
+
+ORACLES |= {
+    "three_way_split": f"""with {DOCS}, placed as (select doc_id, line_no, {md5_int(key('doc_id'), 1)} as place from doc_lines)
+        select doc_id, line_no, cast(place >= {int(0.7 * 2**32)} as integer) + cast(place >= {int(0.9 * 2**32)} as integer) as part
+        from placed""",
+    "text_round_trip": f"with {DOCS} select doc_id, line_no, line from doc_lines",
+    "run_table": f"""with {DOCS}, {TURNS}, counted as (
+          select 'documents' as run_id, {words('line')} as w from doc_lines
+          union all select 'conversations', {words('line')} from turn_lines)
+        select run_id, count(*) as lines, cast(sum(len(w)) as bigint) as words from counted group by 1""",
+    "metrics_file": f"""select cast(epoch as varchar) as epoch, printf('%.6f', learning_rate) as learning_rate,
+          printf('%.4f', avg_loss) as avg_loss, printf('%.2f', accuracy_pct) as accuracy_pct,
+          {', '.join(f'cast({c} as varchar) as {c}' for c in ('batches', 'predictions', 'shards', 'snapshots', 'lines', 'out_of_range'))}
+        from ({STEP_ORACLES['step_metrics']})""",
+    "generated_file": f"""select line as output from (select unnest(string_split(output, chr(10))) as line
+        from ({STEP_ORACLES['step_generate']}))""",
+}

@@ -51,3 +51,58 @@ def test_a_saved_run_goes_on(spark, tmp_path):
     sizes = model_sizes(small)
     assert (to_array(more.trained.model, sizes) == to_array(whole.trained.model, sizes)).all()
     assert more.trained.epoch_metrics.first()["epoch"] == 2
+
+
+def test_a_killed_run_goes_on_behind_its_last_epoch(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from wordloom.sources.runs import RunFolder
+
+    (tmp_path / "in.txt").write_text(TEXT * 3)
+    out = lambda name: str(tmp_path / name)
+    cfg = replace(ModelConfig(), epochs=3, layer_size=8, embedding_size=4, vocabulary_size=6, num_predictions=5, initial_rate=0.01)
+    whole = job.run(spark, out("in.txt"), out("t0"), out("s0"), ["old"], cfg, run_folder=out("whole"))
+
+    class Killed(Exception):
+        pass
+
+    put = RunFolder.commit
+
+    def commit(self, epoch, **tables):
+        if epoch == 3:
+            # Killed while the third epoch is written: its tables lie there, its manifest does not.
+            tables["model"].write.parquet(f"{self.path}/epoch-3-half/model")
+            raise Killed
+        put(self, epoch, **tables)
+
+    monkeypatch.setattr(RunFolder, "commit", commit)
+    with pytest.raises(Killed):
+        job.run(spark, out("in.txt"), out("t1"), out("s1"), ["old"], cfg, run_folder=out("cut"))
+    monkeypatch.undo()
+    folder = RunFolder(spark, out("cut"))
+    assert [m["epoch"] for m in folder.epochs()] == [1, 2] and folder.config() == cfg
+    assert folder.all_epochs("metrics").count() == 2
+    # Another rate is given by mistake: the run's own counts.
+    more = job.run(spark, out("in.txt"), out("t1"), out("s1"), ["old"], replace(cfg, initial_rate=0.5), run_folder=out("cut"))
+    sizes = model_sizes(cfg)
+    assert (to_array(more.trained.model, sizes) == to_array(whole.trained.model, sizes)).all()
+    rows = lambda r: sorted(map(tuple, r.trained.epoch_metrics.drop("duration_ms").collect()))
+    assert rows(more) == rows(whole) and len(rows(more)) == 3
+    logs = lambda r: sorted(map(tuple, r.trained.batch_log.collect()), key=str)
+    assert logs(more) == logs(whole)
+    assert sorted(map(tuple, more.validation.collect())) == sorted(map(tuple, whole.validation.collect()))
+    assert [r["output"] for r in more.generated.collect()] == [r["output"] for r in whole.generated.collect()]
+
+
+def test_configuration_lies_beside_the_model(spark, tmp_path):
+    from wordloom.sources.runs import load_config
+
+    (tmp_path / "in.txt").write_text(TEXT)
+    out = lambda name: str(tmp_path / name)
+    cfg = replace(ModelConfig(), epochs=1, layer_size=8, embedding_size=4, vocabulary_size=6, num_predictions=2, gamma=0.7)
+    job.run(spark, out("in.txt"), out("t"), out("s"), ["old"], cfg, out("m"))
+    assert load_config(spark, out("m") + "-config.json") == cfg
+    assert load_config(spark, out("none") + "-config.json") is None
+    # The sizes come from the model's own configuration.
+    more = job.run(spark, out("in.txt"), out("t"), out("s"), ["old"], replace(ModelConfig(), epochs=1, num_predictions=2), out("m2"), out("m"))
+    assert load_config(spark, out("m2") + "-config.json") == cfg and more.trained.epoch_metrics.first()["epoch"] == 2

@@ -148,3 +148,18 @@ def test_split_does_not_depend_on_partitions(spark):
     one = {r["line_no"] for r in corpus.split_train(lines.coalesce(1)).where("is_train").collect()}
     many = {r["line_no"] for r in corpus.split_train(lines.repartition(9)).where("is_train").collect()}
     assert one == many and 0.76 < len(one) / 2000 < 0.84
+
+
+def test_weighted_split_keeps_documents_together(spark):
+    from wordloom.operators.corpus import split_weighted
+
+    lines = spark.range(3000).selectExpr("id div 3 as doc_id", "id % 3 as line_no", "'a' as line")
+    found = split_weighted(lines, [5, 3, 0, 2]).groupBy("doc_id").agg(F.min("part").alias("a"), F.max("part").alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in found)
+    shares = [sum(r["a"] == p for r in found) / len(found) for p in range(4)]
+    assert shares[2] == 0 and all(abs(s - w) < 0.05 for s, w in zip(shares, [0.5, 0.3, 0, 0.2]))
+    single = split_weighted(lines, [1, 1], by_document=False)
+    assert single.groupBy("doc_id").agg(F.count_distinct("part").alias("n")).where("n > 1").count() > 500
+    assert sorted(single.repartition(7).collect()) == sorted(single.collect())
+    with pytest.raises(ValueError):
+        split_weighted(lines, [1, -1])

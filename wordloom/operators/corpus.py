@@ -36,6 +36,24 @@ def split_train(lines: DataFrame, percent: int = 80, seed: int = 42) -> DataFram
     return lines.withColumn("is_train", bucket < percent)
 
 
+def split_weighted(lines: DataFrame, weights: list[float], seed: int = 42, by_document: bool = True) -> DataFrame:
+    """Adds part, the number of the weight that a line falls to, by where a hash lies among the cumulative weights.
+
+    Parts have shares of their weights over the sum of all. Lines of one document stay together, unless by_document is
+    off; either way a line's part is the same under any partitioning.
+    """
+    total = sum(weights)
+    if total <= 0 or min(weights) < 0:
+        raise ValueError(f"weights must not be negative, nor all be zero: {weights}")
+    bounds = [int(sum(weights[: i + 1]) / total * 2**32) for i in range(len(weights) - 1)]
+    key = [F.col("doc_id")] if by_document else [F.col("doc_id"), F.col("line_no")]
+    place = draws.hash32(draws.digest(seed, *key), 1)
+    part = F.lit(0)
+    for bound in bounds:
+        part = part + (place >= bound).cast("int")
+    return lines.withColumn("part", part)
+
+
 def tokenize(lines: DataFrame) -> DataFrame:
     """Lines with their words as an array."""
     return lines.withColumn("words", split_words(F.col("line")))

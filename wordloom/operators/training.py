@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -235,12 +236,14 @@ def train(
     epochs: int | None = None,
     model: DataFrame | None = None,
     held_out: DataFrame | None = None,
+    after_epoch: Callable[..., None] | None = None,
 ) -> TrainResult:
     """Trains from `model` (a fresh one by default) and returns the model table, batch log and metrics.
 
     A given model goes on after its own epoch, with the rates and draws of the epochs that follow. held_out
     samples are scored after every epoch: validation has their metrics, by epoch. Adam starts anew in every shard and epoch. An epoch without samples keeps the model and has no
-    metrics row. Only parameters, whose size the configuration fixes, pass through the driver.
+    metrics row. after_epoch, if given, gets the epoch and its model, log, metrics and validation as soon as it is done.
+    Only parameters, whose size the configuration fixes, pass through the driver.
     """
     spark, sizes = samples.sparkSession, model_sizes(cfg)
     model = model if model is not None else initial_model(spark, cfg)
@@ -259,6 +262,10 @@ def train(
         if held_out is not None:
             scored = scoring.predict(held_out, to_table(spark, flat, sizes, epoch, cfg.block_width), cfg)
             checks.append(metrics.evaluate(scoring.folded(scored, cfg)).withColumn("epoch", F.lit(epoch)))
+        if after_epoch is not None:
+            model = to_table(spark, flat, sizes, epoch, cfg.block_width)
+            row = metrics.epoch_metrics(logs[-1], durations[-1:], counts)
+            after_epoch(epoch, model=model, log=logs[-1], metrics=row, validation=checks[-1] if checks else None)
     log = logs[0] if logs else metrics.empty_log(spark)
     for more in logs[1:]:
         log = log.unionByName(more)

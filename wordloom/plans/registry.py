@@ -6,6 +6,7 @@ them exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -17,8 +18,9 @@ from wordloom.functions import draws, vectors
 from wordloom.functions.text import collapse_blanks
 from wordloom.operators import corpus, features, generation, metrics, samples, scoring, training, vocab
 from wordloom.operators.model import initial_model
-from wordloom.sources.session import saved, widened
-from wordloom.sources.text import lines_from, turn_key
+from wordloom.sources import sinks
+from wordloom.sources.session import checkpoint_folder, saved, widened
+from wordloom.sources.text import lines_from, read_lines, turn_key
 
 CFG = ModelConfig()
 # Ten classes, 64 inputs: the shape of the embeddings table.
@@ -80,6 +82,50 @@ def train_val_split(spark, folder):
     return corpus.split_train(documents(spark, folder)).select("doc_id", "line_no", "is_train")
 
 
+def three_way_split(spark, folder):
+    """Training, validation and test lines as 7 : 2 : 1, whole documents each."""
+    return corpus.split_weighted(documents(spark, folder), [7, 2, 1]).select("doc_id", "line_no", "part")
+
+
+def _written(spark, name):
+    return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def text_round_trip(spark, folder):
+    """The documents' lines with their keys, written as text files and read back as a corpus of its own."""
+    path = _written(spark, "text")
+    keyed = F.concat_ws(":", "doc_id", "line_no", "line")
+    documents(spark, folder).select(keyed.alias("value")).write.text(path)
+    parts = F.split("line", ":", 3)
+    return read_lines(spark, path).select(
+        parts[0].cast("bigint").alias("doc_id"), parts[1].cast("bigint").alias("line_no"), parts[2].alias("line")
+    )
+
+
+def metrics_file(spark, folder):
+    """The metrics of a run as its file shows them."""
+    path = _written(spark, "metrics")
+    sinks.write_metrics(_stepped(spark, folder)[1].epoch_metrics, path)
+    found = spark.read.csv(path, header=True)
+    return found.drop("duration_ms", "partitions")
+
+
+def generated_file(spark, folder):
+    """The lines of the file of generated text."""
+    path = _written(spark, "generated")
+    words, trained, _ = _stepped(spark, folder)
+    sinks.write_generated(generation.generate(seeds(spark, folder), trained.model, words, STEP), path)
+    return spark.read.text(path, lineSep="\n").select(F.col("value").alias("output"))
+
+
+def run_table(spark, folder):
+    """Results of two runs kept in one table."""
+    path = _written(spark, "runs")
+    sinks.append_run(corpus.corpus_stats(documents(spark, folder)), path, "documents")
+    sinks.append_run(corpus.corpus_stats(conversations(spark, folder)), path, "conversations")
+    return spark.read.parquet(path).select("run_id", "lines", "words")
+
+
 def distinct_words(spark, folder):
     return corpus.distinct_words(documents(spark, folder))
 
@@ -431,6 +477,35 @@ def step_generate(spark, folder):
     return generation.generate(seeds(spark, folder), trained.model, words, STEP).select("seed_row", "output")
 
 
+def _several_steps(spark, folder):
+    """Two epochs of three steps in a row for each shard: batches of 36% of a shard's mean size."""
+    lines = conversations(spark, folder)
+    words = vocab.fit_vocab(lines)
+    rows = corpus.split_train(saved(samples.training_samples(lines, words, 1)))
+    chosen = rows.where("is_train").drop("is_train")
+    number = chosen.count()
+    cfg = replace(STEP, epochs=2, batch_size=36 * number // (100 * STEP.shards_for(number)) + 1)
+    return training.train(chosen, cfg, held_out=rows.where(~F.col("is_train")).drop("is_train"))
+
+
+def run_model(spark, folder):
+    return _model_rows(_several_steps(spark, folder).model)
+
+
+def run_batches(spark, folder):
+    log = _several_steps(spark, folder).batch_log
+    return log.select("epoch", "shard", "batch_no", millionths(F.col("loss")).alias("loss"), "correct", "total")
+
+
+def run_metrics(spark, folder):
+    return _several_steps(spark, folder).epoch_metrics.drop("duration_ms", "partitions")
+
+
+def run_validation(spark, folder):
+    found = _several_steps(spark, folder).validation
+    return found.select("epoch", "n", *[millionths(F.col(c)).alias(c) for c in ("precision", "recall", "f1", "accuracy")])
+
+
 def train(spark, folder):
     _, trained, _ = _trained_conversations(spark, folder)
     return trained.model.select("epoch", "layer", "name", "block_id", F.size("values").alias("n"), joined_reals("values").alias("values"))
@@ -466,6 +541,11 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     corpus_adapter,
     corpus_stats,
     train_val_split,
+    three_way_split,
+    text_round_trip,
+    run_table,
+    metrics_file,
+    generated_file,
     distinct_words,
     tokenize,
     explode_tokens,
@@ -513,6 +593,10 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     step_validation,
     step_next_token,
     step_generate,
+    run_model,
+    run_batches,
+    run_metrics,
+    run_validation,
     train_epoch,
     train,
     epoch_metrics,
