@@ -128,7 +128,7 @@ def by_join(urls: DataFrame, rules: list[Rule]) -> DataFrame:
     spark = urls.sparkSession
     table = spark.createDataFrame([(r.host, r.path, r.verdict) for r in rules], "host string, path string, verdict string")
     # A key is a host and the whole segments of a path; what is left of the rule's path is compared behind it.
-    whole = F.regexp_extract("path", r"^(.*/)?[^/]*$", 1)
+    whole = F.regexp_extract("path", r"(?s)^(.*/)?[^/]*$", 1)
     entry = F.struct("verdict", "path", F.length("host").alias("size"), F.concat("host", "path").alias("written"))
     keyed = table.groupBy(F.concat_ws("\n", "host", whole).alias("key")).agg(F.to_json(F.collect_list(entry)).alias("rules"))
     labels, parts = F.split("host", r"\."), F.split("path", "/")
