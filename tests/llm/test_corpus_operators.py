@@ -127,18 +127,43 @@ def test_one_document_of_each_class(spark, odd_docs, no_docs):
     assert near.one_of_each(ties).count() == 3
 
 
+def chunks_of(texts):
+    """The chunks of each text, as tuples of words."""
+    held = Texts(pa.array(texts))
+    begin, behind, owner = substrings.cut(held, substrings.Chunking())
+    starts, ends, _ = held.words()
+    word = [bytes(held.data[a:b]).decode() for a, b in zip(starts, ends, strict=True)]
+    out = [[] for _ in texts]
+    for a, b, t in zip(begin, behind, owner, strict=True):
+        out[t].append(tuple(word[a:b]))
+    return out
+
+
 def test_chunks_cover_and_resist_shifts():
-    config = substrings.Chunking()
     body = numbered(400, "c") + " é漢字😀 " * 40 + "z" * 3000
-    texts = Texts(pa.array([body, "XX é " + body, "", "a"]))
-    start, end, owner = substrings.cut(texts, config)
-    raw = [bytes(texts.data[a:b]) for a, b in zip(start, end, strict=True)]
-    for t, whole in enumerate([body, "XX é " + body, "", "a"]):
-        mine = [raw[i] for i in np.flatnonzero(owner == t)]
-        assert b"".join(mine).decode() == whole and all(x.decode() for x in mine)
-        assert all(config.least <= len(x) <= config.most + 3 for x in mine[:-1])
-    first, second = ({raw[i] for i in np.flatnonzero(owner == t)} for t in (0, 1))
-    assert len(first & second) >= len(first) - 3
+    texts = [body, "XX é " + body, "", "a", body.replace(" ", " \n\t"), body + " " + body]
+    found = chunks_of(texts)
+    for text, chunks in zip(texts, found, strict=True):
+        assert [w for c in chunks for w in c] == WORD.findall(text)
+        assert all(len(c) <= substrings.Chunking().reach for c in chunks)
+    assert found[4] == found[0] and 5 < np.mean([len(c) for c in found[0] if c[0].startswith("cq")]) < 12
+    for other in (1, 5):
+        assert len(set(found[0]) - set(found[other])) <= 4
+
+
+def test_cuts_are_those_of_a_plain_rule():
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("a b cc ddd eeee".split()) for _ in range(rng.randrange(90))) for _ in range(40)]
+    reach, seed = substrings.Chunking().reach, substrings.Chunking().seed
+    for text, chunks in zip(texts, chunks_of(texts), strict=True):
+        words = text.split()
+        raw = "".join(texts).replace(" ", "")  # the hash rolls on over texts that stand before
+        before = "".join(texts[: texts.index(text)]).replace(" ", "")
+        rolled = substrings.gear_hashes(np.frombuffer(raw.encode(), np.uint8), seed)
+        ends = np.cumsum([len(w) for w in words]) + len(before)
+        h = [int(rolled[e - 1]) for e in ends]
+        cut = {i for s in range(len(h) - reach + 1) for i in range(s, s + reach) if h[i] == min(h[s : s + reach])}
+        assert [sum(map(len, chunks[: i + 1])) - 1 for i in range(len(chunks))] == sorted(cut | {len(h) - 1} if h else [])
 
 
 def test_gear_hash_by_hand():
@@ -190,21 +215,73 @@ def test_short_passages_in_two_documents(spark, words):
 
 
 def test_chunks_of_repetitive_passages():
-    config = substrings.Chunking()
-    limit = (1 << 32) // config.mean
-    found = 0
-    for s in range(400):
-        period = f"{s * 7919:x} some {s}é "
-        body = period * 150
-        raw = np.frombuffer((period * 9).encode(), np.uint8)
-        if (substrings.gear_hashes(raw, config.seed)[16:] < limit).any():
-            continue
-        found += 1
-        texts = Texts(pa.array([numbered(20, f"a{s}") + " " + body + numbered(9, "c"), numbered(31, f"bb{s}") + " " + body + "x"]))
-        start, end, owner = substrings.cut(texts, config)
-        one, two = ({bytes(texts.data[a:b]) for a, b, o in zip(start, end, owner, strict=True) if o == t} for t in (0, 1))
-        assert one & two
-    assert found > 20
+    for s in range(60):
+        body = " ".join((" ".join(f"{s}r{i}" for i in range(1 + s % 14)) + " ").split() * 70)
+        one, two = chunks_of([numbered(20, f"a{s}") + " " + body + " " + numbered(9, "c"), numbered(31, f"bb{s}") + " " + body + " x"])
+        assert set(one) & set(two)
+
+
+def spans_by_hand(rows, width):
+    """(doc_id, start, end, n_words, first_doc_id, is_first) by comparing all windows of all rows."""
+    places, holders = [], defaultdict(set)
+    for r, (_, text) in enumerate(rows):
+        found = list(WORD.finditer(text or ""))
+        windows = [tuple(m[0] for m in found[i : i + width]) for i in range(len(found) - width + 1)]
+        places.append((found, windows))
+        for w in windows:
+            holders[w].add(r)
+    out = []
+    for r, (doc, _) in enumerate(rows):
+        found, windows = places[r]
+        at = [i for i, w in enumerate(windows) if len(holders[w]) > 1]
+        runs = []
+        for i in at:
+            if runs and i <= runs[-1][-1] + width:
+                runs[-1].append(i)
+            else:
+                runs.append([i])
+        for run in runs:
+            ids = [[rows[x][0] for x in holders[windows[i]] if rows[x][0] is not None] for i in run]
+            firsts = [min(x) if x else None for x in ids]
+            known = [f for f in firsts if f is not None]
+            out.append((
+                doc, found[run[0]].start(), found[run[-1] + width - 1].end(), run[-1] + width - run[0],
+                min(known) if known else None, doc is not None and all(f == doc for f in firsts),
+            ))
+    return sorted(out, key=str)
+
+
+def spans_found(docs):
+    names = ("doc_id", "start", "end", "n_words", "first_doc_id", "is_first")
+    return sorted((tuple(r[n] for n in names) for r in substrings.repeated_spans(docs).collect()), key=str)
+
+
+def test_spans_equal_a_comparison_of_all_windows(spark):
+    """Real texts, shifted by insertions: words before and inside them that no other text has."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    rng = random.Random(2)
+    shifted = []
+    for doc, text in rows[:300]:
+        words = re.split(r"(\s+)", text)
+        for k in range(3):
+            words.insert(2 * rng.randrange(len(words) // 2 + 1), f"ins{doc}x{k} ")
+        shifted.append((10_000 + doc, "".join(words)))
+    rows += shifted
+    found = spans_found(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+    assert len(found) > 900 and found == spans_by_hand(rows, 50)
+
+
+@pytest.mark.parametrize("hot", [20_000, 10**9])
+def test_spans_of_copies_and_mosaics(spark, monkeypatch, hot):
+    """Texts that share sentences in changing order, one-letter words, exact copies, one text that most rows have."""
+    monkeypatch.setattr(substrings, "HOT_KEYS", hot)
+    rng = random.Random(9)
+    sentences = [" ".join(rng.choice("a b c d e ff g hh".split()) for _ in range(rng.randrange(8, 30))) for _ in range(25)]
+    rows = [(i, " ".join(rng.choice(sentences) for _ in range(rng.randrange(1, 9)))) for i in range(120)]
+    rows += [(200 + i, numbered(80, "hot")) for i in range(70)] + [(5, rows[5][1]), (5, rows[5][1]), (None, rows[8][1]), (None, None)]
+    rows += [(900, numbered(60, "once") + " " + numbered(60, "once")), (901, numbered(49, "s")), (902, numbered(49, "s"))]
+    found = spans_found(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert found == spans_by_hand(rows, 50)
 
 
 def test_repetitive_passages(spark):

@@ -1,15 +1,19 @@
-"""Substring dedup: every passage of 50 words that stands in several documents, joined to spans.
-
-Each window of 50 words has a print: the least hash of the grams of 25 words in it. Equal windows have equal prints,
-so a window whose print only one document has is not repeated. Neighbouring windows mostly share theirs, which leaves
-one row for each 13 words or so. Only the windows whose print is repeated are then compared themselves, by digests of
-128 bits, so what is found is what a comparison of all windows would find, wherever a passage stands and whatever
-periods it has. Words are compared, not the white space between them.
-
-Content-defined chunks by a gear rolling hash (`cut`) stand here too; the spans don't use them, as chunks of a short
-passage depend on what stands before it. h(i) is the sum of G[byte i - j] * 4^j over the last 16 bytes, modulo 2^32.
-A text is cut behind a byte whose hash falls below a fixed share, not before `least` bytes and not after `most`;
-where none falls below it up to `most`, behind the byte of the least hash, the first of equal ones.
+"""Substring dedup: content-defined chunks deduplicated by digest, extended to spans of 50 words and more.
+
+A gear hash rolls over the bytes of a text's words: h(i) is the sum of G[byte i - j] * 4^j over the last 16 bytes,
+modulo 2^32. A text may be cut behind a word. It is cut where the hash is the least, or as small as the least, of some
+`reach` neighbouring words, so a cut depends on the words around it alone, a chunk has at most `reach` words, and
+insertions elsewhere move no cut. White space is not compared.
+
+1. Chunks: a digest that two texts or two copies have makes its chunk a repeated one.
+2. Seeds: a passage of 50 words holds chunks whose cuts its own words decide. It can stand elsewhere only if all of those
+   are repeated, so only runs of repeated chunks, with what they can be extended by on both sides, are looked at further.
+3. Extension: the windows of 50 words in those runs are compared by digests of 128 bits. What is found is what a
+   comparison of all windows finds, word by word. Windows that overlap or touch are one span.
+
+Equal texts are compared once, as the one with the least id; the others take over its spans. Keys that many rows share are
+few by construction (they hold at least one in `hot_keys` of all rows): what is known of them is broadcast, and their rows are
+spread, so no task gets a popular chunk, window or text whole.
 """
 
 from __future__ import annotations
@@ -18,32 +22,39 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.textbytes import Texts, map_texts, mix, window_hash
+from wordloom.llm.textbytes import BASES, Texts, U, map_texts, mix, powers
 from wordloom.sources.session import saved
 
 REACH = 16
 BITMAP_WORDS = 1 << 19
+HOT_KEYS = 20_000
+HOT_SPANS = 32  # a popular text with more spans is left to the shuffle
 
 
 @dataclass(frozen=True)
 class Chunking:
-    """least, most: bytes of a chunk. mean: bytes to the next cut after least, on average."""
+    """reach: words among which the least hash makes a cut, so the longest chunk; half of it is the usual one."""
 
-    least: int = 24
-    mean: int = 24
-    most: int = 512
+    reach: int = 16
     seed: int = 11
 
 
 @dataclass(frozen=True)
 class Passages:
-    """words: of the shortest passage that is found. gram: words of the grams that prints are chosen from."""
+    """words: of the shortest passage that is found.
+
+    2 * reach + REACH words at most decide on a cut on each side; 50 words hold a chunk for sure with a reach of 16.
+    """
 
     words: int = 50
-    gram: int = 25
+    chunking: Chunking = Chunking()
+
+    def __post_init__(self):
+        if self.words < 2 * self.chunking.reach + REACH:
+            raise ValueError("passages this short need not hold a chunk of this reach")
 
 
 def gear_hashes(data: np.ndarray, seed: int) -> np.ndarray:
@@ -56,95 +67,114 @@ def gear_hashes(data: np.ndarray, seed: int) -> np.ndarray:
     return h
 
 
-def cut(texts: Texts, chunking: Chunking) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end (bytes) and text of every chunk. Chunks cover their text and begin at whole characters."""
-    data, at = texts.data, texts.at
-    whole = np.ones(len(data) + 1, bool)
-    whole[:-1] = (data & 0xC0) != 0x80
-    hashes = gear_hashes(data, chunking.seed)
-    low = hashes < np.uint32((1 << 32) // chunking.mean)
-    places = np.flatnonzero(low & whole[1:]) + 1
-    bounds = np.searchsorted(places, at)
-    least, most = chunking.least, chunking.most
-    starts: list[int] = []
-    ends: list[int] = []
-    owner: list[int] = []
-    for t in range(texts.n):
-        begin, stop = int(at[t]), int(at[t + 1])
-        if begin == stop:
-            continue
-        first = len(starts)
-        for p in [*places[bounds[t] : bounds[t + 1]].tolist(), stop]:
-            while p - begin > most:
-                # No low hash: behind the least one, which in a repetitive passage stands at the same place of each period.
-                allowed = begin + least + np.flatnonzero(whole[begin + least : begin + most + 1])
-                forced = int(allowed[hashes[allowed - 1].argmin()])
-                starts.append(begin)
-                ends.append(forced)
-                begin = forced
-            if (p - begin >= least or p == stop) and p > begin:
-                starts.append(begin)
-                ends.append(p)
-                begin = p
-        owner += [t] * (len(starts) - first)
-    return np.array(starts, np.int64), np.array(ends, np.int64), np.array(owner, np.int64)
-
-
-def running_least(x: np.ndarray, width: int) -> np.ndarray:
-    """The least of every width neighbours, by doubling the width."""
+def running(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
+    """The least or the greatest of every width neighbours, by doubling the width."""
     done = 1
-    while done < width:
+    while done < width and len(x):
         step = min(done, width - done)
-        x = np.minimum(x[:-step], x[step:])
+        x = best(x[:-step], x[step:])
         done += step
     return x
 
 
-def windows(texts: Texts, passages: Passages) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, hash and print of every window."""
-    hashes = texts.word_hashes()
-    first, whole = texts.windows(passages.words, hashes)
-    if not len(first):
-        return first, whole, whole
-    return first, whole, running_least(window_hash(hashes, passages.gram), passages.words - passages.gram + 1)[first]
+class Chunks:
+    """The chunks of a slice of texts, as runs of words.
+
+    cuts[w] tells that its text is cut behind word w; a text is also cut behind its last word.
+    """
+
+    def __init__(self, texts: Texts, chunking: Chunking):
+        self.texts, self.reach = texts, chunking.reach
+        starts, ends, self.text = texts.words()
+        n = len(starts)
+        # Bytes of words alone, as white space is not compared.
+        self.at = np.concatenate([[0], np.cumsum(ends - starts)])
+        rolled = gear_hashes(texts.data[~texts.blank], chunking.seed)
+        place = np.arange(n)
+        hashes = rolled[self.at[1:] - 1].astype(np.int64) if n else place
+        # The first and the last place of the least hash of every window of `reach` words.
+        first = running((hashes << 31) | place, chunking.reach, np.minimum)
+        last = running((hashes << 31) | (n - place), chunking.reach, np.minimum)
+        inside = self.text[: len(first)] == self.text[len(self.text) - len(first) :]
+        mask = (1 << 31) - 1
+        self.first, self.last = first & mask, n - (last & mask)
+        least = np.where(inside, first >> 31, -1)
+        # A place is cut if the least hash of some window around it is its own.
+        padded = np.full(n + chunking.reach - 1, -1, np.int64)
+        padded[chunking.reach - 1 : chunking.reach - 1 + len(least)] = least
+        self.cuts = running(padded, chunking.reach, np.maximum)[:n] == hashes if len(least) else np.zeros(n, bool)
+        self.ends = np.ones(n, bool)
+        self.ends[:-1] = self.text[1:] != self.text[:-1]
+        self.behind = np.flatnonzero(self.cuts | self.ends) + 1
+        self.begin = np.concatenate([[0], self.behind[:-1]]).astype(np.int64)[: len(self.behind)]
+
+    def digests(self, hashes: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of the words of every chunk."""
+        up, down = powers(BASES[0], len(hashes) + 1)
+        sums = np.zeros(len(hashes) + 1, U)
+        np.cumsum(hashes * up[: len(hashes)], out=sums[1:])
+        size = (self.behind - self.begin).astype(U)
+        return mix((sums[self.behind] - sums[self.begin]) * down[self.begin] + size * U(BASES[1]))
+
+    def possible(self, first: np.ndarray, width: int, known: np.ndarray) -> np.ndarray:
+        """Which windows of `width` words, by their first, have only known ones among the chunks that they decide on."""
+        # The first word whose rolling hash covers no byte before the window.
+        own = np.searchsorted(self.at, self.at[first] + REACH) - 1
+        low, high = self.first[own], self.last[first + width - self.reach]
+        unknown = np.concatenate([[0], np.cumsum(~known)])
+        return unknown[np.searchsorted(self.behind, high + 1) + 1] == unknown[np.searchsorted(self.behind, low + 1) + 1]
+
+
+def cut(texts: Texts, chunking: Chunking) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, word behind the last and text of every chunk; the chunks of a text cover its words."""
+    chunks = Chunks(texts, chunking)
+    return chunks.begin, chunks.behind, chunks.text[chunks.begin]
 
 
-def prints(rows: DataFrame, passages: Passages) -> DataFrame:
-    """mark and print, once for each print of a row."""
+def chunk_rows(rows: DataFrame, passages: Passages) -> DataFrame:
+    """mark and chunk (its digest), once for each chunk of a row; a text of fewer words than a passage has none."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         texts = Texts(batch.column("text"))
-        first, _, least = windows(texts, passages)
-        if not len(first):
+        chunks = Chunks(texts, passages.chunking)
+        owner = chunks.text[chunks.begin]
+        long = np.bincount(chunks.text, minlength=texts.n)[owner] >= passages.words
+        owner, digests = owner[long], chunks.digests(texts.word_hashes())[long]
+        if not len(owner):
             return None
-        owner = texts.words()[2][first]
-        order = np.lexsort((least, owner))
-        owner, least = owner[order], least[order]
-        new = np.r_[True, (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])]
+        order = np.lexsort((digests, owner))
+        owner, digests = owner[order], digests[order]
+        new = np.r_[True, (owner[1:] != owner[:-1]) | (digests[1:] != digests[:-1])]
         marks = batch.column("mark").take(pa.array(owner[new]))
-        return pa.RecordBatch.from_arrays([marks, pa.array(least[new].view(np.int64))], ["mark", "print"])
+        return pa.RecordBatch.from_arrays([marks, pa.array(digests[new].view(np.int64))], ["mark", "chunk"])
 
-    return map_texts(rows, "text", work, "mark bigint, print bigint")
+    return map_texts(rows, "text", work, "mark bigint, chunk bigint")
 
 
 def placed_windows(rows: DataFrame, passages: Passages) -> DataFrame:
-    """The windows of rows whose print is one of _prints: h1, h2, is_new, at, length and the columns of rows but
-    text and _prints. is_new is 1 where a row has such a window for the first time. at is the place in words times
-    2^32 plus the start, and length is up to the end, in code points; two numbers shuffle leaner than three.
+    """The windows of rows that can stand elsewhere, as all chunks that they decide on are among _chunks.
+
+    Gives h1, h2, weight, at, length, mark and first_doc. weight counts rows: that of the text's copies, two at most, where the
+    text has such a window for the first time, else 0. at is the place in words times 2^32 plus the start, and length is
+    up to the end, in code points; two numbers shuffle leaner than three.
     """
-    kept = [f for f in rows.schema if f.name not in ("text", "_prints")]
-    schema = "h1 bigint, h2 bigint, is_new bigint, at bigint, length bigint, "
-    schema += ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    kind = rows.schema["first_doc"].dataType.simpleString()
+    schema = f"h1 bigint, h2 bigint, weight bigint, at bigint, length bigint, mark bigint, first_doc {kind}"
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         texts = Texts(batch.column("text"))
-        first, h1, least = windows(texts, passages)
-        # A print that one row has and that is repeated is in that row's own list, so one list does for all.
-        known = np.isin(least, batch.column("_prints").flatten().to_numpy(zero_copy_only=False).view(np.uint64))
-        if not known.any():
+        hashes = texts.word_hashes()
+        first, h1 = texts.windows(passages.words, hashes)
+        if not len(first):
             return None
-        h2 = texts.windows(passages.words, texts.word_hashes(1))[1]
-        first, h1, h2 = first[known], h1[known], h2[known]
+        chunks = Chunks(texts, passages.chunking)
+        # A chunk that one row has and that is repeated is in that row's own list, so one list does for all.
+        listed = batch.column("_chunks").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        possible = chunks.possible(first, passages.words, np.isin(chunks.digests(hashes), listed))
+        if not possible.any():
+            return None
+        first, h1 = first[possible], h1[possible]
+        h2 = texts.windows(passages.words, texts.word_hashes(1))[1][possible]
         begins, ends, text = texts.words()
         owner, chars = text[first], texts.characters()
         start, end = chars[begins[first]], chars[ends[first + passages.words - 1]]
@@ -153,13 +183,16 @@ def placed_windows(rows: DataFrame, passages: Passages) -> DataFrame:
         a, b, c = owner[order], h1[order], h2[order]
         new = np.ones(len(order), np.int64)
         new[order[1:]] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])
+        copies = np.minimum(batch.column("copies").to_numpy(zero_copy_only=False), 2)
+        rows_of = pa.array(owner)
         columns = {
             "h1": pa.array(h1.view(np.int64)),
             "h2": pa.array(h2.view(np.int64)),
-            "is_new": pa.array(new),
+            "weight": pa.array(new * copies[owner]),
             "at": pa.array((place << 32) + start - chars[texts.at[owner]]),
             "length": pa.array(end - start),
-            **{f.name: batch.column(f.name).take(pa.array(owner)) for f in kept},
+            "mark": batch.column("mark").take(rows_of),
+            "first_doc": batch.column("first_doc").take(rows_of),
         }
         return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
@@ -169,7 +202,8 @@ def placed_windows(rows: DataFrame, passages: Passages) -> DataFrame:
 def likely(rows: DataFrame, marks: DataFrame) -> DataFrame:
     """rows without most of those whose mark is not in marks, by a bitmap of 4 MB at most that is broadcast.
 
-    It spares the shuffle of texts that have nothing repeated; beyond some ten million marks it spares little.
+    It spares the shuffle of texts that have nothing repeated, up to some ten million marks; for tables larger than that
+    Spark puts a filter of its own before the join.
     """
     word, bit = f"mark & {BITMAP_WORDS - 1}", f"cast(shiftright(mark, {BITMAP_WORDS.bit_length() - 1}) & 63 as int)"
     bitmap = marks.groupBy(F.expr(word).alias("_word")).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("_bits"))
@@ -177,48 +211,83 @@ def likely(rows: DataFrame, marks: DataFrame) -> DataFrame:
     return joined.where(f"shiftright(_bits, {bit}) & 1 = 1").drop("_word", "_bits")
 
 
+def with_known(
+    rows: DataFrame, known: DataFrame, keys: list[str], total: int, spread: Column, small: Column | None = None
+) -> DataFrame:
+    """rows inner join known on keys (bigint), where known has a row for each key and n, the rows that have it.
+
+    total is no less than the sum of n. What is known of the keys with n of total / HOT_KEYS or more is broadcast: HOT_KEYS
+    rows at most, for which `small` is true. Their rows are dealt by `spread` in the shuffle of the others.
+    """
+    hot = F.col("n") * HOT_KEYS >= total
+    hot = hot if small is None else hot & small
+    values = [c for c in known.columns if c not in (*keys, "n")]
+    found = known.where(hot).select(*keys, *[F.col(c).alias(f"_h_{c}") for c in values], F.lit(True).alias("_hot"))
+    cold = known.where(~hot).select(*[F.col(k).alias(f"_k_{k}") for k in keys], *values, F.lit(True).alias("_cold"))
+    flagged = rows.join(F.broadcast(found), keys, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    dealt = {f"_j_{k}": F.when(F.col("_hot"), spread if k == keys[0] else F.lit(0)).otherwise(F.col(k)).cast("bigint") for k in keys}
+    flagged = flagged.withColumns(dealt)
+    same = [F.col(f"_j_{k}") == F.col(f"_k_{k}") for k in keys]
+    joined = flagged.join(cold, same, "left").where(F.col("_hot") | F.col("_cold"))
+    picked = [F.when(F.col("_hot"), F.col(f"_h_{c}")).otherwise(F.col(c)).alias(c) for c in values]
+    return joined.select(*rows.columns, *picked)
+
+
 def repeated_spans(docs: DataFrame, passages: Passages | None = None, marks: bool = True) -> DataFrame:
     """doc_id, mark, start, end, n_words, n_windows, first_doc_id and is_first of every repeated span.
 
     A span is a run of whole words, each in a window that stands in two or more documents; its windows overlap or
     touch. first_doc_id is the least id of a document that has a window of it; is_first tells that the document
     itself is the first for all of them. start and end are code points; mark is a hash of the text, given
-    with marks. A null or empty text has no spans. Rows that repeat a document are documents that repeat its windows.
+    with marks. A null or empty text has no spans, nor has one of fewer words than a passage. Rows that repeat a document are
+    documents that repeat its windows; a null id counts as none for first_doc_id. A very long text is cut in a task by
+    itself. Other columns are not read, whatever their names, and an empty table gives no rows.
     """
     passages = passages or Passages()
-    mark = F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark")
-    rows = docs.select("doc_id", "text", mark, F.monotonically_increasing_id().alias("_row"))
-    each = prints(rows.select("text", "mark"), passages)
-    several = each.groupBy("print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    # Equal texts have equal prints. Where unlike texts share a mark, more windows are compared, no more.
-    wanted = saved(each.join(several, "print").groupBy("mark").agg(F.collect_set("print").alias("_prints")))
-    near = likely(rows, wanted.select("mark")).join(wanted, "mark")
-    found = placed_windows(near if marks else near.drop("mark"), passages)
-    counted = found.groupBy("h1", "h2").agg(F.sum("is_new").alias("n"), F.min("doc_id").alias("first_doc_id"))
-    repeated = counted.where("n > 1").drop("n")
-    order = Window.partitionBy("_row").orderBy("at")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        "doc_id", "text", F.xxhash64(text).alias("mark"), F.xxhash64(F.lit(1), text).alias("mark2"), F.xxhash64("doc_id").alias("_d")
+    )
+    ids = saved(rows.select("doc_id", "mark", "mark2", F.octet_length(text).alias("bytes")))
+    size = ids.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("bytes") + 1).alias("bytes")).first()
+    words = (size["bytes"] or 0) // 2  # no fewer than there are
+    firsts = ids.groupBy("mark", "mark2").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies"))
+    each = chunk_rows(rows.select("text", "mark"), passages)
+    counted = each.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Unlike texts that share a mark share a list: more windows are compared, no more.
+    listed = with_known(each, counted, ["chunk"], words, F.col("mark")).groupBy("mark").agg(F.collect_set("chunk").alias("_chunks"))
+    wanted = saved(listed.join(firsts, "mark").withColumn("_d", F.xxhash64("first_doc")))
+    near = likely(rows.drop("doc_id"), wanted.select("mark")).join(wanted, ["mark", "mark2", "_d"])
+    found = placed_windows(near.dropDuplicates(["mark", "mark2", "_d"]).select("text", "mark", "first_doc", "copies", "_chunks"), passages)
+    counts = found.groupBy("h1", "h2").agg(F.sum("weight").alias("n"), F.min("first_doc").alias("first_doc_id"))
+    repeated = counts.where("n > 1")
+    order = Window.partitionBy("mark", "first_doc").orderBy("at")
     place = F.shiftright("at", 32)
     begins = F.coalesce(F.lag(place).over(order) + passages.words < place, F.lit(True)).cast("int")
     start = F.col("at").bitwiseAND(F.lit((1 << 32) - 1))
     run = F.sum("_begins").over(order.rowsBetween(Window.unboundedPreceding, 0))
     spans = (
-        found.join(repeated, ["h1", "h2"])
-        .drop("h1", "h2", "is_new")
+        with_known(found.drop("weight"), repeated, ["h1", "h2"], 2 * words, F.xxhash64("mark", "at"))
         .withColumn("_begins", begins)
         .withColumn("_run", run)
-        .groupBy("_row", "_run")
+        .groupBy("mark", "first_doc", "_run")
         .agg(
-            F.first("doc_id").alias("doc_id"),
-            *[F.first("mark").alias("mark")] * marks,
             F.min(start).alias("start"),
             F.max(start + F.col("length")).alias("end"),
             (F.max(place) - F.min(place) + passages.words).alias("n_words"),
             F.count(F.lit(1)).alias("n_windows"),
             F.min("first_doc_id").alias("first_doc_id"),
-            F.coalesce(F.min(F.col("first_doc_id") == F.col("doc_id")), F.lit(False)).alias("is_first"),
+            F.coalesce(F.min(F.col("first_doc_id").eqNullSafe(F.col("first_doc"))), F.lit(False)).alias("_first"),
         )
     )
-    return spans.drop("_row", "_run")
+    # From the texts back to the rows that have them.
+    names = ["start", "end", "n_words", "n_windows", "first_doc_id", "_first", "first_doc"]
+    of_text = spans.groupBy("mark", F.xxhash64("first_doc").alias("_d")).agg(F.collect_list(F.struct(*names)).alias("_spans"))
+    known = saved(of_text.join(wanted.select("mark", "mark2", "_d", F.col("copies").alias("n")), ["mark", "_d"]).drop("_d"))
+    mine = with_known(ids, known, ["mark", "mark2"], size["rows"], F.xxhash64("doc_id"), F.size("_spans") <= HOT_SPANS)
+    out = mine.select("doc_id", "mark", F.inline("_spans"))
+    is_first = F.coalesce(F.col("_first") & (F.col("doc_id") == F.col("first_doc")), F.lit(False)).alias("is_first")
+    return out.select("doc_id", *["mark"] * marks, *names[:5], is_first)
 
 
 def without_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
