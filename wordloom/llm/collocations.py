@@ -26,7 +26,7 @@ from wordloom.llm.textbytes import Texts, U, mix, pieces, stretch_hashes
 from wordloom.operators.vocab import lookup
 from wordloom.sources.session import saved
 
-SCHEMA = "lang string, phrase string, h bigint, n bigint"
+SCHEMA = "lang string, phrase string, n bigint"
 SALTS = 64
 
 
@@ -80,14 +80,16 @@ class Index:
             after[:-step] = other[step:] + 1 if step < n else 0
             order, rank, kinds = ranks(rank * (more + 1) + after, kinds * (more + 1))
             done = 2 * done if 2 * done <= depth else done + 1
-        self.suffixes = order
-        self.before = symbols[order - 1]
+        del rank, one
+        self.suffixes = order.astype(np.int32)
+        self.before = symbols[order - 1].astype(np.int32)
+        del order
         self.counts = np.bincount(symbols, minlength=size)
         self.starts = np.cumsum(self.counts) - self.counts
         # The i-th c before the suffixes is the i-th suffix that starts with c.
         by_symbol, _ = ordered(self.before, size)
-        self.step = np.empty(n, np.int64)
-        self.step[by_symbol] = np.arange(n)
+        self.step = np.empty(n, np.int32)
+        self.step[by_symbol] = np.arange(n, dtype=np.int32)
 
 
 @dataclass
@@ -125,7 +127,7 @@ class Shard:
         from_phrase, symbol = key[heads] // self.size, key[heads] % self.size
         # In the other order, the phrases with a smaller word on this side come before; a separator is the smallest.
         there = there[from_phrase] + heads - first[from_phrase]
-        here = index.step[row[order[heads]]]
+        here = index.step[row[order[heads]]].astype(np.int64)
         real = symbol > 0
         forth, back = (there, here) if right else (here, there)
         return Phrases(phrases.length + 1, forth[real], back[real], many[real])
@@ -152,6 +154,12 @@ def phrase_hashes(hashes: np.ndarray, lengths: int) -> np.ndarray:
     return total
 
 
+def language_hashes(langs: pa.Array) -> np.ndarray:
+    names = [n.encode() for n in langs.to_pylist()]
+    at = np.cumsum([0, *map(len, names)])
+    return mix(stretch_hashes(np.frombuffer(b"".join(names), np.uint8), at[:-1], at[1:], 1))
+
+
 class Words:
     """The words of a slice of texts, with the piece that each stands in and its language.
 
@@ -172,7 +180,7 @@ class Words:
         before[inner], after[inner - 1] = False, False
         starts, ends = np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
         text = np.searchsorted(texts.at, starts, side="right") - 1
-        self.piece = np.concatenate([[0], np.cumsum(ends_piece)])[starts] + text
+        self.piece = (np.concatenate([[0], np.cumsum(ends_piece)])[starts] + text).astype(np.int32)
         offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
         flat = np.ascontiguousarray(data[solid])
         column = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(flat))
@@ -185,10 +193,7 @@ class Words:
         where = np.cumsum(np.r_[0, pc.binary_length(self.dictionary).to_numpy(zero_copy_only=False)]).astype(np.int64)
         raw = np.frombuffer(self.dictionary.buffers()[2], np.uint8) if len(self.dictionary) else np.zeros(0, np.uint8)
         word_hash = stretch_hashes(raw[: where[-1]], where[:-1], where[1:])
-        names = [n.encode() for n in self.langs.to_pylist()]
-        at = np.cumsum([0, *map(len, names)])
-        lang_hash = stretch_hashes(np.frombuffer(b"".join(names), np.uint8), at[:-1], at[1:], 1)
-        self.hashes = mix(word_hash[self.word] ^ mix(lang_hash[self.lang])) if len(self.word) else np.zeros(0, U)
+        self.hashes = mix(word_hash[self.word] ^ language_hashes(self.langs)[self.lang]) if len(self.word) else np.zeros(0, U)
 
     def runs(self, length: int, known: np.ndarray | None, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """(word places, is_start): the words that stand in a run of `length` words both of whose phrases of one word
@@ -217,7 +222,7 @@ class Words:
         return places, start
 
     def counted(self, length: int, known: np.ndarray | None, bits: int) -> pa.RecordBatch | None:
-        """lang, phrase, h and n of the phrases of so many words."""
+        """lang, phrase and n of the phrases of so many words."""
         places, start = self.runs(length, known, bits)
         if not len(places):
             return None
@@ -232,16 +237,12 @@ class Words:
         phrases = shard.of_length(length)
         spelled = first[shard.spelled(phrases) - 1]
         words = [self.dictionary.take(pa.array(self.word[spelled[:, k]])) for k in range(length)]
-        hashes = np.zeros(len(spelled), U)
-        for k in range(length):
-            hashes = mix(hashes * U(0x9E3779B97F4A7C15) + self.hashes[spelled[:, k]])
         columns = [
             self.langs.take(pa.array(self.lang[spelled[:, 0]])),
             pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())).cast(pa.string()),
-            pa.array(hashes.view(np.int64)),
             pa.array(phrases.count),
         ]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "h", "n"])
+        return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
 
 
 def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
@@ -260,7 +261,7 @@ def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordB
 
 
 def phrase_counts(docs: DataFrame, length: int, mining: Mining, known: np.ndarray | None = None) -> DataFrame:
-    """lang, phrase, h and n, summed over the shards, of the phrases of `length` words whose parts the bitmap knows."""
+    """lang, phrase and n, summed over the shards, of the phrases of `length` words whose parts the bitmap knows."""
     rows = docs.select(F.coalesce("lang", F.lit(mining.unknown)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
@@ -273,11 +274,23 @@ def phrase_counts(docs: DataFrame, length: int, mining: Mining, known: np.ndarra
                     yield found.slice(at, 20_000)
 
     each = rows.mapInArrow(work, SCHEMA)
-    return each.groupBy("lang", "phrase").agg(F.min("h").alias("h"), F.sum("n").alias("n"))
+    return each.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def bitmap(frequent: DataFrame, bits: int) -> np.ndarray:
-    """A bit for the leading bits of every h: 2^bits bits, whatever the number of rows."""
+def bitmap(frequent: DataFrame, length: int, bits: int) -> np.ndarray:
+    """A bit for the leading bits of the hash of every phrase: 2^bits bits, whatever the number of phrases."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = pc.dictionary_encode(batch.column("lang"))
+            of_lang = language_hashes(langs.dictionary)[langs.indices.to_numpy(zero_copy_only=False)]
+            words = Texts(batch.column("phrase")).word_hashes().reshape(-1, length)
+            total = np.zeros(len(words), U)
+            for k in range(length):
+                total = mix(total * U(0x9E3779B97F4A7C15) + mix(words[:, k] ^ of_lang))
+            yield pa.RecordBatch.from_arrays([pa.array(total.view(np.int64))], ["h"])
+
+    frequent = frequent.select("lang", "phrase").mapInArrow(work, "h bigint")
     high = F.shiftrightunsigned("h", 64 - bits)
     word = F.shiftright(high, 6)
     rows = frequent.groupBy(word.alias("w")).agg(
@@ -296,7 +309,7 @@ def frequent_phrases(docs: DataFrame, mining: Mining) -> tuple[DataFrame, DataFr
     found = counted.where(F.col("n") >= mining.least).withColumn("words", F.lit(1))
     tables = [found]
     for length in range(2, mining.words + 1):
-        known = bitmap(tables[-1], mining.filter_bits)
+        known = bitmap(tables[-1], length - 1, mining.filter_bits)
         if not known.any():
             break
         counts = phrase_counts(docs, length, mining, known).where(F.col("n") >= mining.least)
