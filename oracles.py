@@ -538,7 +538,20 @@ ORACLES |= STEP_ORACLES
 RUN_EPOCHS, RUN_STEPS = 2, 3
 
 
-def run_tables() -> str:
+GOLDEN = 0x9E3779B97F4A7C15
+DROPPED = int(0.2 * (1 << 24))
+
+
+def mixed(x: str) -> str:
+    """64-bit arithmetic in 128 bits: each product is below 2^128 and cut to 64."""
+    word = "18446744073709551616::uhugeint"
+    bound = f"({x}) % {word}"
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        bound = f"list_transform([{bound}], lambda x: xor(x, x >> {shift}) * {factor}::uhugeint % {word})[1]"
+    return f"list_transform([{bound}], lambda x: xor(x, x >> 31))[1]"
+
+
+def run_tables(epochs: int = RUN_EPOCHS, masks: bool = False) -> str:
     inputs = STEP_SIZES[0]
     outputs = STEP_SIZES[-1]
     number = f"(select (count(*) + {ROWS_PER_SHARD - 1}) // {ROWS_PER_SHARD} from chosen)"
@@ -550,8 +563,9 @@ def run_tables() -> str:
         "chosen as (select * from marked where is_train)",
         f"""sharded as materialized (select *, cast({md5_int(key('doc_id', 'line_no', 'k'), 17, 15)} % {number} as integer) as shard
           from chosen)""",
-        f"""batched as (select *, (row_number() over (partition by shard order by doc_id, line_no, k) - 1)
-          // (36 * (select count(*) from chosen) // (100 * {number}) + 1) as batch_no from sharded)""",
+        f"""placed as (select *, row_number() over (partition by shard order by doc_id, line_no, k) - 1 as place,
+          36 * (select count(*) from chosen) // (100 * {number}) + 1 as batch from sharded)""",
+        "batched as materialized (select *, place // batch as batch_no, place % batch as r from placed)",
         "counts as materialized (select shard, batch_no, ctx, y, count(*) as n from batched group by all)",
         "sizes as materialized (select shard, batch_no, sum(n) as n from counts group by all)",
         "tokens_used as (select distinct id as ctx from turn_ids)",
@@ -563,13 +577,13 @@ def run_tables() -> str:
         weight = f"{gauss(key(str(layer), 'i', 'j'))} * sqrt(2.0::double / {fan_in + fan_out})"
         parts.append(f"""m0_{layer} as materialized (select i, j, {weight} as w from range({fan_in}) a(i), range({fan_out}) b(j)
           union all select -1, j, 0.0::double from range({fan_out}) b(j))""")
-    for epoch in range(1, RUN_EPOCHS + 1):
+    for epoch in range(1, epochs + 1):
         rate = f"(0.005::double * pow(0.9::double, {epoch - 1}))"
         for layer in range(3):
             parts.append(f"""p{epoch}_0_{layer} as (select shard, i, j, w, 0.0::double as m, 0.0::double as v
               from (select distinct shard from sizes) cross join m{epoch - 1}_{layer})""")
         for step in range(RUN_STEPS):
-            parts += run_step(f"{epoch}_{step}", f"{epoch}_{step + 1}", step, rate)
+            parts += run_step(f"{epoch}_{step}", f"{epoch}_{step + 1}", step, rate, epoch if masks else None)
         for layer in range(3):
             after = " union all ".join(
                 f"select i, j, w from p{epoch}_{step + 1}_{layer} join sizes using (shard) where batch_no = {step}"
@@ -579,17 +593,44 @@ def run_tables() -> str:
     return ",\n".join(parts)
 
 
-def run_step(now: str, then: str, step: int, rate: str) -> list[str]:
-    """The batch `step` of every shard that has one: from the parameters p{now} to p{then}."""
-    a, weights = f"a{now}_", [f"p{now}_{layer}" for layer in range(3)]
+def masked_gradient(now: str, step: int, epoch: int) -> list[str]:
+    """g{now}_*: the gradients row by row, the outputs of hidden units scaled or dropped by their masks."""
+    folded = "0::uhugeint"
+    for part in (str(SEED), str(epoch), "shard", str(step)):
+        folded = mixed(f"{folded} * {GOLDEN}::uhugeint + {part}::uhugeint + 1")
+    parts = [
+        f"k{now} as materialized (select shard, {folded} as start from (select distinct shard from sizes))",
+        f"""y{now}_0 as materialized (select shard, r, i, x from batched join features using (ctx) where batch_no = {step}
+          union all select shard, r, -1, 1.0::double from batched where batch_no = {step})""",
+    ]
+    for layer in range(3):
+        total = f"""select a.shard, a.r, w.j as i, sum(a.x * w.w) as x from y{now}_{layer} a
+          join p{now}_{layer} w on w.shard = a.shard and w.i = a.i group by all"""
+        if layer < 2:
+            drawn = mixed(f"start + (r::uhugeint * {1 << 20} + i::uhugeint + {layer << 56}::uhugeint) * {GOLDEN}::uhugeint")
+            total = f"""select shard, r, i, greatest(x, 0) * case when {drawn} >> 40 >= {DROPPED} then 1.25::double else 0 end as x
+              from ({total}) join k{now} using (shard)
+              union all select shard, r, -1, 1.0::double from batched where batch_no = {step}"""
+        parts.append(f"y{now}_{layer + 1} as materialized ({total})")
+    parts.append(f"""d{now}_3 as materialized (select t.shard, t.r, t.i as j,
+      (exp(x - top) / sum(exp(x - top)) over (partition by t.shard, t.r) - cast(b.y = t.i as integer)) / s.n as d
+      from (select *, max(x) over (partition by shard, r) as top from y{now}_3) t
+      join batched b on b.shard = t.shard and b.r = t.r and b.batch_no = {step} and b.ctx >= 0
+      join sizes s on s.shard = t.shard and s.batch_no = {step})""")
+    for layer in (2, 1, 0):
+        parts.append(f"""g{now}_{layer} as materialized (select shard, a.i, d.j, sum(a.x * d.d) as g
+          from d{now}_{layer + 1} d join y{now}_{layer} a using (shard, r) group by all)""")
+        if layer:
+            # A kept unit passes its gradient on scaled as its output was.
+            parts.append(f"""d{now}_{layer} as materialized (select d.shard, d.r, w.i as j, sum(d.d * w.w) * 1.25::double as d
+              from d{now}_{layer + 1} d join p{now}_{layer} w on w.shard = d.shard and w.j = d.j
+              join y{now}_{layer} a on a.shard = d.shard and a.r = d.r and a.i = w.i where w.i >= 0 and a.x > 0 group by all)""")
+    return parts
+
+
+def plain_gradient(now: str, a: str) -> list[str]:
+    """g{now}_*: the gradients by context, whose features decide alone."""
     parts = [
-        f"c{now} as materialized (select shard, ctx, y, n from counts where batch_no = {step})",
-        step_forward(a, f"(select distinct shard, ctx from c{now})", weights, "shard"),
-        # Partial windows are counted in the size, and neither learn nor cost.
-        f"""f{now} as materialized (select c.shard, ctx, y, c.n, s.n as size from c{now} c join sizes s using (shard)
-          where s.batch_no = {step} and ctx >= 0)""",
-        f"""l{now} as (select c.shard, sum(c.n * p.nll) / any_value(size) as loss from f{now} c
-          join {a}_p p on p.shard = c.shard and p.ctx = c.ctx and p.i = c.y group by c.shard)""",
         f"""d{now}_3 as materialized (select g.shard, g.ctx, p.i as j, (g.n * p.p - coalesce(c.n, 0)) / g.size as d
           from (select shard, ctx, sum(n) as n, any_value(size) as size from f{now} group by all) g
           join {a}_p p on p.shard = g.shard and p.ctx = g.ctx
@@ -602,6 +643,22 @@ def run_step(now: str, then: str, step: int, rate: str) -> list[str]:
             parts.append(f"""d{now}_{layer} as materialized (select d.shard, d.ctx, w.i as j, sum(d.d * w.w) as d
               from d{now}_{layer + 1} d join p{now}_{layer} w on w.shard = d.shard and w.j = d.j
               join {a}{layer} a on a.shard = d.shard and a.ctx = d.ctx and a.i = w.i where w.i >= 0 and a.x > 0 group by all)""")
+    return parts
+
+
+def run_step(now: str, then: str, step: int, rate: str, masked_epoch: int | None) -> list[str]:
+    """The batch `step` of every shard that has one: from the parameters p{now} to p{then}."""
+    a, weights = f"a{now}_", [f"p{now}_{layer}" for layer in range(3)]
+    parts = [
+        f"c{now} as materialized (select shard, ctx, y, n from counts where batch_no = {step})",
+        step_forward(a, f"(select distinct shard, ctx from c{now})", weights, "shard"),
+        # Partial windows are counted in the size, and neither learn nor cost.
+        f"""f{now} as materialized (select c.shard, ctx, y, c.n, s.n as size from c{now} c join sizes s using (shard)
+          where s.batch_no = {step} and ctx >= 0)""",
+        f"""l{now} as (select c.shard, sum(c.n * p.nll) / any_value(size) as loss from f{now} c
+          join {a}_p p on p.shard = c.shard and p.ctx = c.ctx and p.i = c.y group by c.shard)""",
+    ]
+    parts += plain_gradient(now, a) if masked_epoch is None else masked_gradient(now, step, masked_epoch)
     for layer in range(3):
         parts.append(f"""p{then}_{layer} as materialized (
           select shard, i, j, case when has then w - {rate} / (1 - pow(0.9::double, {step + 1})) * m2
@@ -625,11 +682,11 @@ RUN_LOG = "log as materialized (" + " union all ".join(
 ) + ")"
 
 
-def run_blocks() -> str:
+def run_blocks(epoch: int = RUN_EPOCHS) -> str:
     rows = []
     for layer, fan_out in enumerate(STEP_SIZES[1:]):
-        rows.append(f"select {layer} as layer, 'weight' as name, i * {fan_out} + j as place, w from m{RUN_EPOCHS}_{layer} where i >= 0")
-        rows.append(f"select {layer}, 'bias', j as place, w from m{RUN_EPOCHS}_{layer} where i = -1")
+        rows.append(f"select {layer} as layer, 'weight' as name, i * {fan_out} + j as place, w from m{epoch}_{layer} where i >= 0")
+        rows.append(f"select {layer}, 'bias', j as place, w from m{epoch}_{layer} where i = -1")
     return " union all ".join(rows)
 
 
@@ -671,3 +728,19 @@ ORACLES |= {
     "generated_file": f"""select line as output from (select unnest(string_split(output, chr(10))) as line
         from ({STEP_ORACLES['step_generate']}))""",
 }
+
+DROP_LOG = "log as materialized (" + " union all ".join(
+    f"""select s.shard, {step} as batch_no, coalesce(loss, 0) as loss, correct, s.n as total
+    from sizes s left join l1_{step} using (shard) left join h1_{step} using (shard) where s.batch_no = {step}"""
+    for step in range(RUN_STEPS)
+) + ")"
+
+ORACLES |= {
+    "drop_model": f"""with {run_tables(1, True)}, blocks as ({run_blocks(1)})
+        select 1 as epoch, layer, name, cast(place // 64 as integer) as block_id, cast(count(*) as integer) as n,
+          string_agg(cast({micro('w')} as varchar), ' ' order by place) as "values" from blocks group by all""",
+    "drop_batches": f"""with {run_tables(1, True)}, {DROP_LOG}
+        select 1 as epoch, shard, cast(batch_no as bigint) as batch_no, {micro('loss')} as loss,
+          cast(correct as bigint) as correct, cast(total as bigint) as total from log""",
+    "partition_count_by_key": f"""with {DOCS} select count(distinct doc_id % 7) as partitions, count(*) as rows from doc_lines""",
+}

@@ -82,3 +82,34 @@ def test_buffers_serve_batches_of_any_size():
 def test_learning_rates():
     cfg = ModelConfig()
     assert [cfg.learning_rate(e) for e in (1, 2, 3)] == pytest.approx([0.005, 0.0045, 0.00405])
+
+
+@pytest.mark.parametrize("positions", [1, 5, 128, 129, 512])
+@pytest.mark.parametrize("projected", [False, True])
+def test_attention_by_blocks_of_keys(positions, projected):
+    from wordloom.operators.network import attention, projections
+
+    rng = np.random.default_rng(positions)
+    x = rng.normal(size=(3, positions, 8)) * 4
+    weights = projections(8, 5) if projected else None
+    q, k, v = (x @ w for w in weights) if projected else (x, x, x)
+    scores = np.einsum("nqe,nke->nqk", q, k) / np.sqrt(8)
+    shares = np.exp(scores - scores.max(axis=2, keepdims=True))
+    want = np.einsum("nqk,nke->nqe", shares / shares.sum(axis=2, keepdims=True), v)
+    np.testing.assert_allclose(attention(x, weights), want, atol=1e-12)
+    np.testing.assert_allclose(attention(x, weights, block=7), want, atol=1e-12)
+
+
+def test_memory_of_wide_attention_is_no_square():
+    import tracemalloc
+
+    from wordloom.operators.network import attention
+
+    peaks = []
+    for positions in (1024, 4096):
+        x = np.random.default_rng(0).normal(size=(1, positions, 4))
+        tracemalloc.start()
+        attention(x)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 5 * peaks[0] < 4096 * 4096 * 8

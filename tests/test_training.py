@@ -220,3 +220,24 @@ def test_accuracy_without_predictions(spark):
 
 def test_parameter_count_of_small_model():
     assert parameter_count(SIZES) == 8 * 16 + 16 + 16 * 16 + 16 + 16 * 13 + 13
+
+
+def test_sums_of_tasks_meet_in_groups(spark, rows, monkeypatch):
+    cfg = replace(SMALL, num_shards=9, max_tasks=9)
+    flat = to_array(initial_model(spark, cfg), SIZES)
+    sharded, counts = training.prepare(rows, cfg)
+    passed = training.run_pass(sharded, flat, cfg, 1, SIZES, counts["grid"])
+    plain = to_array(training.average_params(passed, 1, cfg.block_width), SIZES)
+    monkeypatch.setattr(training, "GROUPED_FROM", 4)
+    params = passed.where(F.col("kind") == "params")
+    assert training.grouped_tasks(params).rdd.getNumPartitions() == 3 < params.rdd.getNumPartitions() == 9
+    np.testing.assert_array_equal(plain, to_array(training.average_params(passed, 1, cfg.block_width), SIZES))
+
+
+def test_samples_are_counted_while_they_are_written(spark, rows):
+    _, counts = training.prepare(rows, SMALL)
+    want = rows.agg(F.count(F.lit(1)), F.count_if(F.col("label") >= SMALL.vocabulary_size), F.count_if(F.col("k") == 0)).first()
+    assert (counts["rows"], counts["out_of_range"], counts["lines"]) == tuple(want)
+    for none in (rows.limit(0), rows.where(F.lit(False))):
+        _, counts = training.prepare(none, SMALL)
+        assert (counts["rows"], counts["out_of_range"], counts["lines"]) == (0, 0, 0)

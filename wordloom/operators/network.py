@@ -13,6 +13,11 @@ from wordloom.config import ModelConfig
 from wordloom.functions.draws import TWO_32
 from wordloom.functions.vectors import ANGLE_BASE, EMBEDDING_SCALE
 
+# An odd number near 2^64 over the golden ratio, and two odd factors that spread bits.
+GOLDEN = 0x9E3779B97F4A7C15
+MIXERS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+KEY_BLOCK = 128
+
 
 def layout(sizes: list[int]) -> list[tuple[int, str, tuple[int, ...]]]:
     """(layer, name, shape) of each tensor, in flat order, for [inputs, hidden..., outputs]."""
@@ -138,16 +143,26 @@ class Trainer(Network):
         self.flat -= tmp
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2^64 whose bits all depend on all bits of x."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(MIXERS[0])
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(MIXERS[1])
+    return x ^ (x >> np.uint64(31))
+
+
 def dropout(rows: int, sizes: list[int], drop_prob: float, key: list[int], dtype) -> list[np.ndarray] | None:
-    """Scaled keep masks of the hidden layers, drawn from the key alone."""
+    """Scaled keep masks of the hidden layers, by a hash of key, layer, row and unit alone."""
     if drop_prob <= 0:
         return None
-    rng = np.random.default_rng(key)
-    scale = 1.0 / (1.0 - drop_prob)
-    return [
-        ((rng.random((rows, width), dtype=np.float32) >= drop_prob) * scale).astype(dtype)
-        for width in sizes[1:-1]
-    ]
+    start = np.zeros(1, np.uint64)
+    for part in key:
+        start = mixed(start * np.uint64(GOLDEN) + np.uint64(part + 1))
+    scale, least, masks = 1.0 / (1.0 - drop_prob), np.uint64(drop_prob * (1 << 24)), []
+    for layer, width in enumerate(sizes[1:-1]):
+        place = (np.arange(rows, dtype=np.uint64)[:, None] << np.uint64(20)) + np.arange(width, dtype=np.uint64)
+        drawn = mixed(start + (place + np.uint64(layer << 56)) * np.uint64(GOLDEN)) >> np.uint64(40)
+        masks.append(((drawn >= least) * scale).astype(dtype))
+    return masks
 
 
 def md5_words(keys: list[str]) -> np.ndarray:
@@ -169,14 +184,27 @@ def projections(size: int, seed: int) -> list[np.ndarray]:
     return list(drawn.reshape(3, size, size))
 
 
-def attention(x: np.ndarray, projected: list[np.ndarray] | None = None) -> np.ndarray:
-    """softmax(Q Kt / sqrt(size)) V for matrices [n, positions, size]; Q, K and V are x unless projected."""
+def attention(x: np.ndarray, projected: list[np.ndarray] | None = None, block: int = KEY_BLOCK) -> np.ndarray:
+    """softmax(Q Kt / sqrt(size)) V for matrices [n, positions, size]; Q, K and V are x unless projected.
+
+    Keys are taken block by block. Each query keeps the largest score so far, and the sum and weighted values relative to
+    it, so a window's memory grows with its positions times a block, not with their square.
+    """
     q, k, v = (x @ w for w in projected) if projected else (x, x, x)
-    scores = np.einsum("nqe,nke->nqk", q, k) / np.sqrt(x.shape[2])
-    scores -= scores.max(axis=2, keepdims=True)
-    weights = np.exp(scores)
-    weights /= weights.sum(axis=2, keepdims=True)
-    return np.einsum("nqk,nke->nqe", weights, v)
+    positions, scale = x.shape[1], np.sqrt(x.shape[2])
+    top = total = out = None
+    for at in range(0, positions, block):
+        scores = np.einsum("nqe,nke->nqk", q, k[:, at : at + block]) / scale
+        peak = scores.max(axis=2, keepdims=True)
+        peak = peak if top is None else np.maximum(top, peak)
+        weights = np.exp(scores - peak)
+        part, values = weights.sum(axis=2, keepdims=True), np.einsum("nqk,nke->nqe", weights, v[:, at : at + block])
+        if top is None:
+            top, total, out = peak, part, values
+        else:
+            fade = np.exp(top - peak)
+            top, total, out = peak, total * fade + part, out * fade + values
+    return out / total if positions else np.zeros_like(x)
 
 
 class ContextFeatures:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -9,7 +10,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wordloom.config import ModelConfig
@@ -46,6 +47,7 @@ PASS_TYPES = pa.schema(
     ]
 )
 GRADIENT_EVERY = 10
+GROUPED_FROM = 64  # tasks: with fewer, their sums are shuffled as they are
 LARGEST = 8  # the size of parameters for which sums on the grid are exact
 
 
@@ -180,9 +182,19 @@ def average_vectors(df: DataFrame, keys: list[str], values: str, weight: Column,
     return total.select(*keys, "n", mean.alias(values))
 
 
+def grouped_tasks(params: DataFrame) -> DataFrame:
+    """The sums of tasks, read in groups of about the square root of their number.
+
+    Each task sends a whole set of parameters. A group adds up its tasks' sums before the shuffle, so that moves a set for
+    each group, not for each task; sums on the grid are exact, so groups give the same bits.
+    """
+    tasks = params.rdd.getNumPartitions()
+    return params.coalesce(max(1, math.isqrt(tasks - 1) + 1)) if tasks > GROUPED_FROM else params
+
+
 def average_params(passed: DataFrame, epoch: int, width: int) -> DataFrame:
     """The model averaged over the snapshots after every batch of every shard."""
-    params = passed.where(F.col("kind") == "params")
+    params = grouped_tasks(passed.where(F.col("kind") == "params"))
     mean = average_vectors(params, ["layer", "name", "shape", "block_id"], "values", F.col("snapshots"), width)
     return mean.select(F.lit(epoch).alias("epoch"), "layer", "name", "shape", "block_id", "values")
 
@@ -213,21 +225,26 @@ class TrainResult:
 def prepare(samples: DataFrame, cfg: ModelConfig) -> tuple[DataFrame, dict]:
     """Samples sharded and written once for all epochs, with their counts.
 
-    The samples are written before they are counted, so what makes them runs once. Labels beyond the first
+    The samples are counted while they are written, so they are made and read once. Labels beyond the first
     vocabulary_size train the last output; out_of_range counts them.
     """
-    samples = saved(samples.select("doc_id", "line_no", "k", "context", "label"))
-    counts = samples.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("label") >= cfg.vocabulary_size).alias("out_of_range"),
-        F.count_if(F.col("k") == 0).alias("lines"),
-    ).first()
+    # Counted by the tasks that write them: those of a job's last stage count once, however often they are tried.
+    seen = Observation()
+    samples = saved(
+        samples.select("doc_id", "line_no", "k", "context", "label").observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("label") >= cfg.vocabulary_size).alias("out_of_range"),
+            F.count_if(F.col("k") == 0).alias("lines"),
+        )
+    )
+    counts = seen.get
     num_shards = cfg.shards_for(counts["rows"])
     # A checkpoint keeps partitions as they are: each shard is whole in one of them.
     sharded = stable(shard_samples(samples, num_shards, cfg))
     batches = counts["rows"] // cfg.batch_size + num_shards
     partitions = sharded.rdd.getNumPartitions()
-    return sharded, {**counts.asDict(), "shards": num_shards, "partitions": partitions, "grid": sum_grid(batches)}
+    return sharded, {**counts, "shards": num_shards, "partitions": partitions, "grid": sum_grid(batches)}
 
 
 def train(

@@ -406,6 +406,12 @@ def partition_count(spark, folder):
     return counted.select("rows", (F.col("partitions") >= 1).alias("has_partitions"))
 
 
+def partition_count_by_key(spark, folder):
+    """Lines dealt to seven partitions by their documents' numbers: those that got any, and their rows."""
+    dealt = documents(spark, folder).repartitionById(7, F.pmod(F.col("doc_id"), F.lit(7)).cast("int"))
+    return corpus.partition_count(dealt)
+
+
 def train_batches(spark, folder):
     """The batches of one epoch over all training samples: which shard, which number, how many rows."""
     return training.train_epoch(_train_samples(spark, folder), CFG).select("shard", "batch_no", "total")
@@ -479,12 +485,21 @@ def step_generate(spark, folder):
 
 def _several_steps(spark, folder):
     """Two epochs of three steps in a row for each shard: batches of 36% of a shard's mean size."""
+    return _some_steps(spark, folder, epochs=2)
+
+
+def _dropped_steps(spark, folder):
+    """The same for one epoch with the default dropout."""
+    return _some_steps(spark, folder, epochs=1, drop_prob=CFG.drop_prob)
+
+
+def _some_steps(spark, folder, **changes):
     lines = conversations(spark, folder)
     words = vocab.fit_vocab(lines)
     rows = corpus.split_train(saved(samples.training_samples(lines, words, 1)))
     chosen = rows.where("is_train").drop("is_train")
     number = chosen.count()
-    cfg = replace(STEP, epochs=2, batch_size=36 * number // (100 * STEP.shards_for(number)) + 1)
+    cfg = replace(STEP, batch_size=36 * number // (100 * STEP.shards_for(number)) + 1, **changes)
     return training.train(chosen, cfg, held_out=rows.where(~F.col("is_train")).drop("is_train"))
 
 
@@ -492,11 +507,22 @@ def run_model(spark, folder):
     return _model_rows(_several_steps(spark, folder).model)
 
 
-def run_batches(spark, folder):
-    log = _several_steps(spark, folder).batch_log
+def _logged(log):
     return log.select("epoch", "shard", "batch_no", millionths(F.col("loss")).alias("loss"), "correct", "total")
 
 
+def run_batches(spark, folder):
+    return _logged(_several_steps(spark, folder).batch_log)
+
+
+def drop_model(spark, folder):
+    return _model_rows(_dropped_steps(spark, folder).model)
+
+
+def drop_batches(spark, folder):
+    return _logged(_dropped_steps(spark, folder).batch_log)
+
+
 def run_metrics(spark, folder):
     return _several_steps(spark, folder).epoch_metrics.drop("duration_ms", "partitions")
 
@@ -585,6 +611,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     sample_token,
     format_generated,
     partition_count,
+    partition_count_by_key,
     train_batches,
     epoch_counts,
     step_model,
@@ -597,6 +624,8 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     run_batches,
     run_metrics,
     run_validation,
+    drop_model,
+    drop_batches,
     train_epoch,
     train,
     epoch_metrics,
