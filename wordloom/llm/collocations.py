@@ -41,7 +41,7 @@ class Mining:
     words: int = 5
     top: int = 2000
     unknown: str = "und"
-    shard_bytes: int = 6 << 20
+    shard_bytes: int = 3 << 20
     filter_bits: int = 27
 
 
