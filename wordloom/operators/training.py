@@ -278,7 +278,8 @@ def train(
         durations.append((epoch, cfg.learning_rate(epoch), int((time.monotonic() - started) * 1000)))
         if held_out is not None:
             scored = scoring.predict(held_out, to_table(spark, flat, sizes, epoch, cfg.block_width), cfg)
-            checks.append(metrics.evaluate(scoring.folded(scored, cfg)).withColumn("epoch", F.lit(epoch)))
+            # Written at once: one row, and the epoch's parameters need not stay with the tasks.
+            checks.append(saved(metrics.evaluate(scoring.folded(scored, cfg)).withColumn("epoch", F.lit(epoch))))
         if after_epoch is not None:
             model = to_table(spark, flat, sizes, epoch, cfg.block_width)
             row = metrics.epoch_metrics(logs[-1], durations[-1:], counts)
