@@ -72,6 +72,18 @@ def test_rules_on_odd_tables(odd_docs, no_docs, some_labels):
     assert quality_rules.apply_rules(odd_docs, some_labels.where("false")).where("kept").count() > 0
 
 
+def test_a_text_is_drawn_once(spark):
+    """Documents that repeat a text, and labels that repeat a document, add nothing to the holdout."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(30)) for i in range(200)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    more = spark.createDataFrame([(1000 + i, texts[i % 3], "en") for i in range(300)], docs.schema)
+    labels = spark.createDataFrame([(i, 1) for i in range(1300)], "doc_id bigint, quality int")
+    names = [f"max_{s}" for s in quality_rules.SCORES]
+    once = quality_rules.apply_rules(docs, labels).select("n_holdout", *names).distinct().collect()
+    again = quality_rules.apply_rules(docs.union(more), labels.union(labels)).select("n_holdout", *names).distinct().collect()
+    assert once == again and once[0]["n_holdout"] == 200
+
+
 def test_classifier_on_held_out_documents(spark):
     rng = np.random.default_rng(3)
     vocabulary = [f"{a}{b}" for a in "bdfgklmnprst" for b in ("ana", "elo", "iru", "osta", "une")]
@@ -185,6 +197,21 @@ def test_copied_examples_and_live_secrets(spark):
     assert clean[0] == rows[0][1]
 
 
+def test_repositories_owners_and_placeholders(spark):
+    value = "token: q8w7e6r5t4y3"
+    rows = [(i, value, "one", f"r{i}") for i in range(9)]  # one owner, many repositories
+    rows += [(20 + i, value + "b", f"o{i % 2}", f"r{i}") for i in range(6)]  # two owners, many repositories
+    rows += [(30 + i, value + "c", f"o{i % 2}", f"r{i}") for i in range(5)]
+    rows += [(40, "token: your_token_here", "one", "r"), (41, "secret=aaaabbbbcccc", "one", "r"), (42, "ghp_" + "Xxxx9876543210" * 3, "one", "r")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, repo string")
+    found = {r["doc_id"]: [(s["copied"], s["live"]) for s in r["spans"]] for r in secrets.find_secrets(docs, F.col("repo"), F.col("source")).collect()}
+    assert all(found[i] == [(False, True)] for i in [*range(9), *range(30, 35)])
+    assert all(found[i] == [(True, False)] for i in range(20, 26))
+    assert found[40] == found[41] == [(False, False)] and found[42] == []
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs, F.col("repo"), F.col("source")).collect()}
+    assert clean[0] == clean[30] == "[assign]" and clean[20] == rows[9][1] and clean[40] == "token: your_token_here"
+
+
 def test_overlapping_secrets_are_one_gap(spark):
     text = "x secret=" + "0123456789abcdef" * 2 + ";y"
     docs = spark.createDataFrame([(1, text, "s", 7), (1, text, "s", 7)], "doc_id bigint, text string, source string, n_chars int")
@@ -311,3 +338,16 @@ def test_main_text(spark, labeller):
     )
     assert html_text.main_text(pages.where("false"), labeller).count() == 0
     assert html_text.train(pages.where("false"), html_text.Labeller(variants=1, epochs=1)) is not None
+
+
+def test_deep_and_broken_pages():
+    import time
+
+    started = time.monotonic()
+    deep = html_text.blocks("<div>x " * 200_000)
+    assert len(deep) == 200_000 and len(deep[-1].path) == html_text.PATH_TOKENS
+    for page in ("<b>" * 50_000 + "<div></div>" * 50_000, "</x>" * 50_000 + "<p>" * 50_000, "<a>" * 50_000 + "x<br>" * 50_000):
+        html_text.blocks(page)
+    assert time.monotonic() - started < 30  # a square would take hours
+    assert [b.text for b in html_text.blocks('<p title="a>Hello world</p><div>x</div>')] == ["Hello world", "x"]
+    assert [b.text for b in html_text.blocks("<p title='a>Hello</p><p class=\"b\">x</p>\"")] == ["Hello", 'x', '"']

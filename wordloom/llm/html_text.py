@@ -14,6 +14,7 @@ import html
 import pickle
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 from wordloom.llm.textbytes import map_texts
 
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
+    # A tag whose quotes do not close ends at the next >.
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 NAME = re.compile(r"[a-z]+|[0-9]+")
@@ -53,6 +56,10 @@ CLOSES = {
 }
 
 
+CLOSED_BY = {tag: tuple(k for k, tags in CLOSES.items() if tag in tags) for tag in frozenset().union(*CLOSES.values())}
+PATH_TOKENS = 48  # of the nearest ancestors that a block's path keeps
+
+
 @dataclass
 class Block:
     path: tuple[str, ...]
@@ -61,27 +68,41 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page in order; white space is one space, and blocks without text are left out."""
+    """The leaf blocks of a page in order; white space is one space, and blocks without text are left out.
+
+    Linear in the page, however deep it is: a block looks at its nearest ancestors, and open elements are counted.
+    """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     linked, skipping, at, n = 0, 0, 0, len(page)
-    path: tuple[str, ...] = ()
+
+    def path() -> tuple[str, ...]:
+        kept: list[tuple[str, ...]] = []
+        size = 0
+        for _, tokens in reversed(stack):
+            kept.append(tokens)
+            size += len(tokens)
+            if size >= PATH_TOKENS:
+                break
+        return tuple(t for tokens in reversed(kept) for t in tokens)
 
     def flush():
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(path, text, linked))
+                out.append(Block(path(), text, linked))
             parts.clear()
         linked = 0
 
     def pop(to: int):
-        nonlocal skipping, path
+        nonlocal skipping
         while len(stack) > to:
-            skipping -= stack.pop()[0] in SKIPPED
-        path = tuple(t for _, tokens in stack for t in tokens)
+            tag = stack.pop()[0]
+            opened[tag] -= 1
+            skipping -= tag in SKIPPED
 
     while at < n:
         found = MARKUP.search(page, at)
@@ -89,12 +110,13 @@ def blocks(page: str) -> list[Block]:
         if upto > at and not skipping:
             text = html.unescape(page[at:upto])
             parts.append(text)
-            if any(tag == "a" for tag, _ in stack):
+            if opened["a"]:
                 linked += len(text)
         if not found:
             break
         at = found.end()
-        closing, tag = found[1], (found[2] or "").lower()
+        closing, tag, rest = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
+        tag = (tag or "").lower()
         if not tag:
             continue
         if tag not in INLINE:
@@ -102,14 +124,14 @@ def blocks(page: str) -> list[Block]:
         elif tag == "br" and not skipping:
             parts.append(" ")
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                 if stack[i][0] == tag:
                     pop(i)
                     break
             continue
-        if tag in VOID or found[3].endswith("/") and tag in ("svg", "math"):
+        if tag in VOID or rest.endswith("/") and tag in ("svg", "math"):
             continue
-        for i in range(len(stack) - 1, -1, -1):
+        for i in range(len(stack) - 1, -1, -1) if any(opened[k] for k in CLOSED_BY.get(tag, ())) else ():
             open_tag = stack[i][0]
             if tag in CLOSES.get(open_tag, ()):
                 pop(i)
@@ -117,12 +139,12 @@ def blocks(page: str) -> list[Block]:
             if open_tag not in INLINE and open_tag not in CLOSES:
                 break
         tokens = [tag]
-        for name, value in ATTRIBUTE.findall(found[3]) if found[3] else ():
+        for name, value in ATTRIBUTE.findall(rest) if rest else ():
             words = NAME.findall(value.lower())
             tokens += [f".{w}" for w in words] or [f"@{name.lower()}"]
         stack.append((tag, tuple(tokens)))
+        opened[tag] += 1
         skipping += tag in SKIPPED
-        path += tuple(tokens)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b", re.I).search(page, at)
             at = end.start() if end else n

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from wordloom.llm.quality_rules import SCORES, Risk
-from wordloom.llm.secrets import KINDS
+from wordloom.llm.secrets import KINDS, LEAST_DISTINCT, PLACEHOLDER
 
 _CANONICAL = r"""
     lower(regexp_replace(regexp_extract(bare, '^[^/?]*'), ':(80|443)$', '')) ||
@@ -71,15 +71,18 @@ with d as (
          concat_ws('/', source, lang) as repo from documents
 ), m as ({" union all ".join(_matches(n) for n in range(len(KINDS)))}
 ), judged as (
-  select m.*, n_owners >= 3 as copied from m
-  join (select sha256(value) as h, count(distinct owner) as n_owners from m group by 1) o on sha256(m.value) = o.h
+  select *, not copied and not regexp_matches(value, '{PLACEHOLDER}')
+    and len(list_distinct(string_split(value, ''))) >= {LEAST_DISTINCT} as live from (
+    select m.*, n_owners >= 3 or (n_owners >= 2 and n_repos >= 6) as copied from m
+    join (select sha256(value) as h, count(distinct owner) as n_owners, count(distinct (owner, repo)) as n_repos
+      from m group by 1) o on sha256(m.value) = o.h)
 ), spans as (
-  select row_id, kind, copied, start, {_NAMES}[kind + 1] || ':' || start || ':' || (start + length(found)) as written
-  from judged where kind < 3 or not copied
+  select row_id, kind, copied, live, start, {_NAMES}[kind + 1] || ':' || start || ':' || (start + length(found)) as written
+  from judged where kind < 3 or live
 ), rows_of as (
   select row_id, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access,
     count(*) filter (kind = 2) as n_hex, string_agg(written, ',' order by start, kind) filter (kind < 3) as base,
-    string_agg(written, ',' order by start, kind) as spans, count(*) filter (not copied) as n_live,
+    string_agg(written, ',' order by start, kind) as spans, count(*) filter (live) as n_live,
     count(*) filter (copied) as n_copied
   from spans group by 1
 )
@@ -158,7 +161,7 @@ with d as (select row_number() over () as r, doc_id, lang, coalesce(text, '') as
   select r, count(*) - count(distinct line) as n from (select r, unnest(string_split(t, chr(10))) as line from d)
   where regexp_matches(line, '[^\x20\x09-\x0D]') group by 1
 ), counted as (
-  select d.r, doc_id, lang, len(w) as n_words, coalesce((select sum(length(word)) from cells c where c.r = d.r), 0)::bigint as word_chars,
+  select d.r, doc_id, lang, md5(t) as text_digest, len(w) as n_words, coalesce((select sum(length(word)) from cells c where c.r = d.r), 0)::bigint as word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols, coalesce(l.n, 0) as n_dup_lines,
     coalesce(v.n, 0) as n_repeat_words, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) as capitals,
     length(t) - length(regexp_replace(t, '[a-z]', '', 'g')) as small
@@ -171,7 +174,8 @@ with d as (select row_number() over () as r, doc_id, lang, coalesce(text, '') as
     capitals / greatest(capitals + small, 1)::double as capital_share,
     least(abs(word_chars / greatest(n_words, 1)::double - 6) / 12::double, 1) as odd_length
   from counted
-), holdout as (select s.* from scored s join labels l using (doc_id) where not base_failed and quality = 1
+), holdout as (select distinct lang, text_digest, {", ".join(SCORES)} from scored
+  where not base_failed and doc_id in (select doc_id from labels where quality = 1)
 ), strata as (select lang, count(*) as n from holdout group by 1
 ), chances as (
   select lang, k, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({_RISK.alpha / len(SCORES)}::double)

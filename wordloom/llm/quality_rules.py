@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -154,7 +155,7 @@ def rejected_by_cutoff(score: np.ndarray, grid: np.ndarray) -> np.ndarray:
 def choose_cutoffs(holdout: DataFrame, stratum: str, risk: Risk | None = None) -> DataFrame:
     """stratum, n_holdout and the cutoff of each score (null: none is safe), from measured good documents.
 
-    holdout has one row per labelled good document. Tasks send sums per stratum, score and cutoff, so a large
+    holdout has one row per draw: a labelled good text, once. Tasks send sums per stratum, score and cutoff, so a large
     stratum is no large group; a stratum's sums are tested in one task.
     """
     risk = risk or Risk()
@@ -164,10 +165,10 @@ def choose_cutoffs(holdout: DataFrame, stratum: str, risk: Risk | None = None) -
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            strata = np.array(batch.column(stratum).to_pylist(), dtype=object)
-            values = [batch.column(s).to_numpy() for s in SCORES]
-            for name in {*strata.tolist()}:
-                mine = np.array([x == name if name is not None else x is None for x in strata])
+            coded = pc.dictionary_encode(batch.column(stratum), null_encoding="encode")
+            strata, values = coded.indices.to_numpy(), [batch.column(s).to_numpy() for s in SCORES]
+            for code, name in enumerate(coded.dictionary.to_pylist()):
+                mine = strata == code
                 sums = np.concatenate([rejected_by_cutoff(v[mine], grid) for v in values])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * width, batch.schema.field(stratum).type), pa.array(np.arange(width)),
@@ -213,12 +214,16 @@ def apply_rules(
     docs: doc_id, text and the stratum. labels: doc_id and quality, whose value 1 marks good documents; those that
     pass the base rules are the holdout, so the guarantee holds for what the method rejects.
     A null text is empty and fails the base; a null stratum is a stratum of its own; repeated rows are judged
-    each by itself, and count as often in the holdout; a document labelled twice counts twice.
+    each by itself. The binomial bounds need independent draws, so a text counts once in the holdout of its stratum, however
+    many documents have it and however often they are labelled. A long text is measured in a slice of its own; other
+    columns are not read, and without documents there are no rows.
     Cutoffs are broadcast while there are at most broadcast_strata strata, and joined beyond that.
     """
-    measured = saved(measure(docs, keys=("doc_id", stratum)))
-    good = labels.where(F.col("quality") == 1).select("doc_id")
-    holdout = measured.where(~F.col("base_failed")).join(good, "doc_id")
+    marked = docs.select("doc_id", stratum, "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_text"))
+    measured = saved(measure(marked, keys=("doc_id", stratum, "_text")))
+    good = labels.where(F.col("quality") == 1).select("doc_id").distinct()
+    holdout = measured.where(~F.col("base_failed")).join(good, "doc_id").dropDuplicates([stratum, "_text"])
+    measured = measured.drop("_text")
     cutoffs = saved(choose_cutoffs(holdout, stratum, risk))
     if cutoffs.count() <= broadcast_strata:
         cutoffs = F.broadcast(cutoffs)

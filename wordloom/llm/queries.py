@@ -77,7 +77,7 @@ def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         *count,
         F.sha2(secrets.written(base), 256).alias("base_sha256"),
         secrets.written(F.col("spans")).alias("spans"),
-        F.size(F.filter("spans", lambda s: ~s["copied"])).cast("bigint").alias("n_live"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"),
         F.size(F.filter("spans", lambda s: s["copied"])).cast("bigint").alias("n_copied"),
     )
 

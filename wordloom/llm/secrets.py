@@ -1,9 +1,9 @@
 """Secret scan with ownership frequency over the whole corpus, in DataFrame functions only.
 
 Patterns give candidate spans. The value of each candidate is hashed, and the corpus tells in how many owners and
-repositories that hash stands. One that many owners share is a copied example; one that few owners have looks like
-a live credential. Candidates of the base kinds always stay; those of the kind `vendor`, whose patterns are wider,
-stay only if they look live.
+repositories that hash stands. One that many owners share, or a few in many repositories, is a copied example. One that an
+owner has for itself, in however many repositories, is live unless it reads like a placeholder. Candidates of the base
+kinds always stay; those of the kind `vendor`, whose patterns are wider, stay only if they are live.
 """
 
 from __future__ import annotations
@@ -28,6 +28,9 @@ VENDOR = (
     10,
 )
 KINDS = (*BASE_KINDS, VENDOR)
+# What placeholders say, and how many different characters a value has that is none.
+PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|change_?me|your_|redacted|xxxx"
+LEAST_DISTINCT = 5
 OWN = ("_row", "_repository", "_owner", "_matches", "spans")  # columns of the scan; those of docs are left out
 
 
@@ -60,8 +63,13 @@ def scan(docs: DataFrame, repository: Column, owner: Column, text: str = "text")
     )
 
 
+def reads_live(value: Column) -> Column:
+    """Whether a value is none that people write in place of a secret."""
+    return ~value.rlike(PLACEHOLDER) & (F.size(F.array_distinct(F.split(value, ""))) >= LEAST_DISTINCT)
+
+
 def candidates(scanned: DataFrame) -> DataFrame:
-    """_row, _repository, _owner, kind (its number), start, end and digest of every match that is long enough."""
+    """_row, _repository, _owner, kind (its number), start, end, digest and reads_live of every match that is long enough."""
     by_kind = scanned.select("_row", "_repository", "_owner", F.posexplode("_matches").alias("kind", "_list"))
     each = by_kind.select("_row", "_repository", "_owner", "kind", F.posexplode("_list").alias("_i", "_m"))
     so_far = Window.partitionBy("_row", "kind").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
@@ -72,13 +80,14 @@ def candidates(scanned: DataFrame) -> DataFrame:
         .where(F.length("_m.value") >= least)
         .select(
             "_row", "_repository", "_owner", "kind", (F.col("end") - F.col("_m.size")).alias("start"), "end",
-            F.sha2("_m.value", 256).alias("digest"),
+            F.sha2("_m.value", 256).alias("digest"), reads_live(F.col("_m.value")).alias("reads_live"),
         )
     )
 
 
-def ownership(found: DataFrame, copied_owners: int = 3) -> DataFrame:
-    """digest, n_owners, n_repositories and copied: whether at least copied_owners owners have the value.
+def ownership(found: DataFrame, copied_owners: int = 3, copied_repositories: int = 6) -> DataFrame:
+    """digest, n_owners, n_repositories and copied: whether copied_owners owners have the value, or two or more have it in
+    copied_repositories repositories. What one owner has alone is never copied, in however many repositories it stands.
 
     A digest's rows first become one for each owner and repository, so a value that a third of all documents
     hold is no large group afterwards. A null owner counts as one owner.
@@ -92,14 +101,16 @@ def ownership(found: DataFrame, copied_owners: int = 3) -> DataFrame:
         F.count(F.lit(1)).alias("n_owners"),
         F.sum("repositories").alias("n_repositories"),
         F.sum("n").alias("n_spans"),
-        (F.count(F.lit(1)) >= copied_owners).alias("copied"),
+    ).withColumn(
+        "copied",
+        (F.col("n_owners") >= copied_owners) | ((F.col("n_owners") >= 2) & (F.col("n_repositories") >= copied_repositories)),
     )
 
 
 def find_secrets(
-    docs: DataFrame, repository: Column, owner: Column, text: str = "text", copied_owners: int = 3
+    docs: DataFrame, repository: Column, owner: Column, text: str = "text", copied_owners: int = 3, copied_repositories: int = 6
 ) -> DataFrame:
-    """The columns of docs but the text, and spans: array of (start, kind, end, name, copied, n_owners) by start.
+    """The columns of docs but the text, and spans: array of (start, kind, end, name, copied, live, n_owners) by start.
 
     Offsets are code points, the end exclusive. A null text is empty. A document without spans has an empty array.
     Repeated rows are scanned each by itself. A null owner or repository counts as one. Columns of docs that are
@@ -107,10 +118,11 @@ def find_secrets(
     """
     scanned = scan(docs, repository, owner, text)
     found = saved(candidates(scanned))
-    judged = found.join(ownership(found, copied_owners), "digest")
-    kept = judged.where((F.col("kind") < len(BASE_KINDS)) | ~F.col("copied"))
+    judged = found.join(ownership(found, copied_owners, copied_repositories), "digest")
+    judged = judged.withColumn("live", ~F.col("copied") & F.col("reads_live"))
+    kept = judged.where((F.col("kind") < len(BASE_KINDS)) | F.col("live"))
     name = F.element_at(F.array(*[F.lit(k[0]) for k in KINDS]), F.col("kind") + 1)
-    span = F.struct("start", "kind", "end", name.alias("name"), "copied", "n_owners")
+    span = F.struct("start", "kind", "end", name.alias("name"), "copied", "live", "n_owners")
     spans = kept.groupBy("_row").agg(F.sort_array(F.collect_list(span)).alias("spans"))
     empty = F.array().cast(spans.schema["spans"].dataType)
     return (
@@ -134,8 +146,10 @@ def count_of(spans: Column, name: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["name"] == name)).cast("bigint")
 
 
-def redact(docs: DataFrame, repository: Column, owner: Column, copied_owners: int = 3) -> DataFrame:
-    """docs with every span that looks live replaced by its kind in brackets; copied examples stay as they are.
+def redact(
+    docs: DataFrame, repository: Column, owner: Column, copied_owners: int = 3, copied_repositories: int = 6
+) -> DataFrame:
+    """docs with every live span replaced by its kind in brackets; copied examples and placeholders stay as they are.
 
     Spans that overlap are replaced as one, named by the first. n_chars, where docs has it, is that of the new text.
     Other columns and the number of rows stay. Spans come back to their text by its id and a hash of it.
@@ -144,8 +158,8 @@ def redact(docs: DataFrame, repository: Column, owner: Column, copied_owners: in
     source = docs.select(
         "doc_id", "text", own.alias("_mark"), repository.alias("_place"), owner.alias("_holder")
     )
-    found = find_secrets(source, F.col("_place"), F.col("_holder"), "text", copied_owners)
-    live = F.filter("spans", lambda s: ~s["copied"])
+    found = find_secrets(source, F.col("_place"), F.col("_holder"), "text", copied_owners, copied_repositories)
+    live = F.filter("spans", lambda s: s["live"])
     spans = (
         found.select(F.col("doc_id").alias("_doc"), "_mark", live.alias("_live"))
         .where(F.size("_live") > 0)
