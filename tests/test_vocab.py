@@ -163,3 +163,22 @@ def test_weighted_split_keeps_documents_together(spark):
     assert sorted(single.repartition(7).collect()) == sorted(single.collect())
     with pytest.raises(ValueError):
         split_weighted(lines, [1, -1])
+
+
+@pytest.mark.parametrize("blocks", [2, 1 << 11])
+def test_extension_beyond_broadcast(spark, blocks):
+    """Words that a filter surely does not know skip the join; the result is the same."""
+    known = vocab.fit_vocab(lines_in_memory(spark, [" ".join(f"k{i}" for i in range(500))]))
+    more = lines_in_memory(spark, [" ".join(f"k{i} n{i} m{i}" for i in range(0, 900, 3)), "k1 é", ""])
+    limits = Limits(broadcast_rows=2 * blocks, broadcast_bytes=0)
+    want = sorted(map(tuple, vocab.extend_vocab(known, more).collect()))
+    assert sorted(map(tuple, vocab.extend_vocab(known, more, limits).collect())) == want
+    sure, rest = vocab.split_known(more.select(F.explode(F.split("line", " ")).alias("word")).distinct(), known, limits)
+    new = {w for w, i in want if i >= 500}
+    sure, rest = ({r["word"] for r in part.collect()} for part in (sure, rest))
+    assert sure <= new and not sure & rest and {f"k{i}" for i in range(0, 500, 3)} <= rest
+    # With few blocks the filter knows everything, with many it spares most new words the shuffle.
+    assert len(sure) > 0.7 * len(new) if blocks > 2 else not sure
+    again = vocab.known_words(known.where("id < 250"), blocks).union(vocab.known_words(known.where("id >= 250"), blocks))
+    merged = again.groupBy("_block").agg(F.bit_or("_bits").alias("_bits"))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, vocab.known_words(known, blocks).collect()))

@@ -26,9 +26,46 @@ def fit_vocab(lines: DataFrame) -> DataFrame:
     return dense_ids(_first_seen(lines), ["first", "at"], "id").select("word", "id")
 
 
-def extend_vocab(vocab: DataFrame, lines: DataFrame) -> DataFrame:
-    """Keeps all ids of vocab and appends the new words of lines, in order of first occurrence."""
-    fresh = _first_seen(lines).join(vocab, "word", "left_anti")
+def _slots(word: Column, blocks: int) -> tuple[Column, Column]:
+    """Block of a word and its two bits in the block's 64."""
+    h = F.xxhash64(word)
+    bit = lambda at: F.shiftright(h, at).bitwiseAND(F.lit(63)).cast("int")
+    mask = F.expr("1L")
+    first, second = (F.call_function("shiftleft", mask, bit(at)) for at in (52, 58))
+    return h.bitwiseAND(F.lit(blocks - 1)), first.bitwiseOR(second)
+
+
+def known_words(vocab: DataFrame, blocks: int) -> DataFrame:
+    """_block and _bits: a Bloom filter of the words, whose parts merge by `or`: a row for each of `blocks` at most."""
+    block, mask = _slots(F.col("word"), blocks)
+    return vocab.select(block.alias("_block"), mask.alias("_mask")).groupBy("_block").agg(F.bit_or("_mask").alias("_bits"))
+
+
+def split_known(words: DataFrame, vocab: DataFrame, limits: Limits) -> tuple[DataFrame, DataFrame]:
+    """(words that are surely not in vocab, the others), told apart by a filter that is broadcast.
+
+    The filter's size is half the broadcast limit of rows, whatever the vocabulary's. A vocabulary of some ten words for each
+    block or more leaves it little to tell: then more words are among the others.
+    """
+    blocks = 1 << (max(limits.broadcast_rows // 2, 1).bit_length() - 1)
+    block, mask = _slots(F.col("word"), blocks)
+    marked = words.withColumn("_block", block).join(F.broadcast(known_words(vocab, blocks)), "_block", "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(mask) == mask, F.lit(False))
+    return marked.where(~maybe).select(*words.columns), marked.where(maybe).select(*words.columns)
+
+
+def extend_vocab(vocab: DataFrame, lines: DataFrame, limits: Limits | None = None) -> DataFrame:
+    """Keeps all ids of vocab and appends the new words of lines, in order of first occurrence.
+
+    A vocabulary beyond broadcast is compared by a shuffle join, to which only words go that a filter may know.
+    """
+    limits = limits or Limits()
+    found = _first_seen(lines)
+    if fits_broadcast(vocab, "word", limits):
+        fresh = found.join(F.broadcast(vocab.select("word")), "word", "left_anti")
+    else:
+        fresh, rest = split_known(found, vocab, limits)
+        fresh = fresh.unionByName(rest.join(vocab.select("word"), "word", "left_anti"))
     top = vocab.agg(F.max("id")).first()[0]
     added = dense_ids(fresh, ["first", "at"], "id", start=0 if top is None else top + 1)
     return vocab.select("word", "id").unionByName(added.select("word", "id"))

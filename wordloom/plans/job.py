@@ -62,7 +62,7 @@ def fit(
     if folder is not None and folder.config() is not None:
         words, model = folder.vocab(), folder.model() or model
     else:
-        words = saved(vocab.fit_vocab(lines) if known is None else vocab.extend_vocab(known, lines))
+        words = saved(vocab.fit_vocab(lines) if known is None else vocab.extend_vocab(known, lines, cfg.limits))
         if folder is not None:
             folder.start(cfg, words)
     split = saved(samples.training_samples(lines, words, cfg.window_size, cfg.limits))
