@@ -4,7 +4,8 @@
 2. ngram_jaccard_join: one document of each class of near duplicates stays, that of the least id.
 3. benchmark_decontamination: documents that hold a passage of the benchmark go.
 4. secret_scans: credentials that look live are replaced by their kind; copied examples stay.
-5. bpe: the token ids of every document, and the digest of the text they decode to.
+5. bpe: the token ids of every document, and the digest of the text they decode to. Of the documents' columns doc_id, lang
+   and source stay.
 """
 
 from __future__ import annotations
