@@ -407,6 +407,35 @@ def test_merged_headers(spark):
     assert [[tuple(h) for h in r["headers"]] for r in found] == [want, want]
 
 
+@pytest.mark.parametrize("ranges", [1, 2, 9])
+def test_the_later_response_counts_across_ranges(spark, ranges):
+    """Two responses of one URL lie in different ranges; the later one is stale for the revisit that names the first."""
+    filler = [(100 + i, "http://www.b.example/", 10 + i, "response", [("ETag", f'"{i}"')]) for i in range(30)]
+    records = [
+        (1, "http://b.example", 1, "response", [("ETag", '"old"')]), *filler,
+        (2, "https://b.example/#x", 90, "revisit", [("ETag", '"old"')]),
+        (3, "b.example:443", 91, "revisit", [("ETag", 'W/"29"'), ("Date", "d")]),
+        (4, "b.example", 2, "revisit", [("ETag", '"old"')]),
+    ]
+    rows = spark.createDataFrame(
+        records, "record_id bigint, url string, date bigint, kind string, headers array<struct<name:string,value:string>>"
+    )
+    found = {r["record_id"]: (r["state"], r["response_id"]) for r in warc.resolve(rows, ranges).collect()}
+    assert found == {2: ("changed", None), 3: ("resolved", 129), 4: ("resolved", 1)}
+
+
+def test_repeated_header_names(spark):
+    old = [("ETag", '"1"'), ("etag", '"2"'), ("Set-Cookie", "a"), ("Set-Cookie", "b"), ("Vary", "x"), ("vary", "y")]
+    new = [("ETag", '"1"'), ("ETag", '"3"'), ("Vary", "z"), ("VARY", "w")]
+    rows = spark.createDataFrame(
+        [(1, "u", 1, "response", old), (2, "u", 2, "revisit", new)],
+        "record_id bigint, url string, date bigint, kind string, headers array<struct<name:string,value:string>>",
+    )
+    [found] = warc.resolve(rows).collect()
+    want = [("etag", '"1"'), ("etag", '"3"'), ("set-cookie", "a"), ("set-cookie", "b"), ("vary", "w"), ("vary", "z")]
+    assert found["state"] == "resolved" and [tuple(h) for h in found["headers"]] == want
+
+
 @pytest.fixture(scope="module")
 def db():
     connection = duckdb.connect()
@@ -454,3 +483,16 @@ def test_pipeline_stages(spark):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet").where("quality = 1 and toxic = 0")
     lost = by_name["quality_classifier"][0].join(labels, "doc_id").join(by_name["quality_classifier"][1], "doc_id", "left_anti")
     assert lost.count() <= 0.02 * labels.count()
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd_docs, no_docs):
+    """Null ids and texts, repeated rows and other columns pass through every stage, and so does an empty table."""
+    for docs in (odd_docs, no_docs):
+        for name, stage in corpus_pipeline.STAGES:
+            after = corpus_pipeline.saved(stage(spark, docs, FOLDER))
+            if name == "bpe":
+                assert after.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "decoded_sha256"]
+                assert after.count() == docs.count()
+            else:
+                assert after.columns == docs.columns and after.count() <= docs.count()
+            docs = after

@@ -245,7 +245,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, budget: Budget | None = No
     """doc_id, item_id, start, end and edits of every stretch of a document that leaks an item.
 
     start and end are code points of the raw text, edits the most of any pattern in the stretch. Null texts are
-    empty. Rows that repeat a document give its stretches again; items of equal text give each their own.
+    empty. Rows that repeat a document give its stretches again; items of equal text give each their own. A long text is
+    searched in a slice of its own. Other columns are not read; without documents or items there are no rows.
     """
     budget = budget or Budget()
     kinds = [docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()]

@@ -279,7 +279,8 @@ def join_near(docs: DataFrame, near: Nearness | None = None) -> DataFrame:
     class_id is the least doc_id of the class, n_links the number of other texts with a similarity of 0.8 or more,
     n_copies the number of documents of the same text, itself included. Equal texts are in one class always, empty
     ones too; a null text is empty; an empty text has no links. A text of fewer than five words is one shingle.
-    Repeated rows count as copies. A class of null ids alone has a null class_id. Other columns are ignored.
+    Repeated rows count as copies. A class of null ids alone has a null class_id. Other columns are ignored, and
+    an empty table gives no rows. A long text is sketched in a slice of its own; when it is verified, its block holds all its shingles.
     """
     return classed(docs, near).select("doc_id", "class_id", "n_links", "n_copies", "digest")
 

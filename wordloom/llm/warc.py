@@ -68,6 +68,8 @@ def resolve(records: DataFrame, ranges: int | None = None) -> DataFrame:
     state: `resolved`; `changed` if the validators disagree; `unvalidated` if the revisit has none; `missing` if there
     is no earlier response, or the revisit has no URL or date. response_id and headers are null unless resolved.
     A null header list is empty, an entry without a name is passed over; repeated records are resolved each by itself.
+    Of a name that a response repeats all entries stay, and the first is its validator; other columns are not read, and an
+    empty table gives no rows.
     """
     spark = records.sparkSession
     ranges = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
