@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from wordloom.config import Limits
 from wordloom.sources import session, sinks
+from wordloom.sources.session import saved
 from wordloom.sources.text import lines_from, read_lines, turn_key
 
 
@@ -21,8 +22,9 @@ def test_turn_key(spark):
             wrong.select(turn_key(wrong).alias("k")).collect()
 
 
+@pytest.mark.parametrize("copy", [None, False])
 @pytest.mark.parametrize("limits", [Limits(), Limits(broadcast_rows=0)])
-def test_files_over_many_partitions_keep_their_order(spark, tmp_path, limits):
+def test_files_over_many_partitions_keep_their_order(spark, tmp_path, limits, copy):
     want = []
     for number, name in enumerate(["a.txt", "b.txt", "c.txt"]):
         texts = [f"{name} line {n} " + "x" * (n % 50) for n in range(400 * (number + 1))]
@@ -32,7 +34,7 @@ def test_files_over_many_partitions_keep_their_order(spark, tmp_path, limits):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        lines = read_lines(spark, str(tmp_path), limits)
+        lines = read_lines(spark, str(tmp_path), limits, copy)
         assert spark.read.text(str(tmp_path), lineSep="\n").rdd.getNumPartitions() > 5
         found = lines.orderBy("doc_id", "line_no").collect()
     finally:
@@ -51,6 +53,34 @@ def test_line_ends_and_empty_files(spark, tmp_path):
     assert read_lines(spark, str(tmp_path / "blank.txt")).count() == 0
 
 
+def test_numbering_without_a_copy(spark, tmp_path, monkeypatch):
+    import gzip
+
+    from wordloom.sources import text
+
+    written = []
+    monkeypatch.setattr(text, "saved", lambda df: written.append(df.columns) or saved(df))
+    many = [f"{n} " + "y" * (n % 70) for n in range(3000)]
+    (tmp_path / "plain.txt").write_text("\n".join(many))
+    (tmp_path / "whole.txt.gz").write_bytes(gzip.compress("\n".join(many[::-1]).encode()))
+    want = [(0, n, t) for n, t in enumerate(many)] + [(1, n, t) for n, t in enumerate(many[::-1])]
+    for size in ("3000", "20000", "10000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found = [tuple(r) for r in read_lines(spark, str(tmp_path), copy=False).collect()]
+            assert sorted(found) == want
+            lines = read_lines(spark, str(tmp_path), copy=False)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "7001")
+            with pytest.raises(Exception, match="splits differ"):
+                lines.collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # Only tables of splits were written.
+    assert written and all("line" not in columns for columns in written)
+    read_lines(spark, str(tmp_path))
+    assert any("line" in columns for columns in written)
+
+
 def test_dense_ids(spark):
     rows = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("v")).repartition(6)
     found = session.dense_ids(rows, ["v"], "n", start=5).collect()

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,27 +41,64 @@ def lines_in_memory(spark: SparkSession, texts: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "doc_id bigint, line_no bigint, line string")
 
 
-def read_lines(spark: SparkSession, path: str, limits: Limits | None = None) -> DataFrame:
+def _numbered_splits(raw: DataFrame) -> DataFrame:
+    """split, at, line: the number of each line in its split, as a task reads the split in order."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, seen = None, 0
+        for batch in batches:
+            split = batch.column("split").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(split)) + 1).tolist(), len(split)]
+            at = np.empty(len(split), np.int64)
+            for start, end in zip(edges, edges[1:]):
+                if start == end:
+                    continue
+                if split[start] != current:
+                    current, seen = split[start], 0
+                at[start:end] = np.arange(seen, seen + end - start)
+                seen += end - start
+            yield pa.RecordBatch.from_arrays([batch.column("split"), pa.array(at), batch.column("line")], ["split", "at", "line"])
+
+    return raw.select("split", "line").mapInArrow(work, "split bigint, at bigint, line string")
+
+
+def _splits_stay(spark: SparkSession, size: int) -> bool:
+    """Whether files of so many bytes are cut by the largest split size, however many cores the cluster has or gets.
+
+    A smaller input is cut finer on a larger cluster, so two reads of it may have other splits.
+    """
+    limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return size >= 16 * limit * spark.sparkContext.defaultParallelism
+
+
+def read_lines(spark: SparkSession, path: str, limits: Limits | None = None, copy: bool | None = None) -> DataFrame:
     """Text files (local, s3a or any Hadoop path) as lines: doc_id numbers the files in path order.
 
-    Files are split for reading, so a line's number is its place in the split plus the lines of
-    the file's earlier splits. The lines are written once, which fixes the splits; the per-split
-    counts are a small table.
+    Files are split for reading, so a line's number is its place in the split plus the lines of the file's earlier splits.
+    A first pass counts the lines of each split, whose table is small; the lines are read again and numbered as they
+    come. A file that was compressed as a whole is one split. A small input, whose splits depend on the cluster's cores, is
+    written once between the passes instead (copy); a split that was not counted as it is read is refused.
     """
     limits = limits or Limits()
-    raw = saved(
-        spark.read.text(path, lineSep=LINE_END).select(
-            F.col("value").alias("line"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("at"),
-        )
+    files_of = spark.read.text(path, lineSep=LINE_END)
+    text = files_of.select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("split"),
     )
-    splits = raw.groupBy("file", "block").agg(
+    if copy is None:
+        # By the listing of the files; nothing is read for it.
+        listed = files_of._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        copy = not _splits_stay(spark, int(str(listed)))
+    marked = text.withColumn("at", F.monotonically_increasing_id())
+    raw = saved(marked) if copy else marked
+    splits = raw.groupBy("file", "block", "split").agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("at").alias("first_at"),
         F.max(F.when(F.col("line") != "", F.col("at"))).alias("last_text_at"),
     )
+    splits = splits if copy else saved(splits)
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     files = dense_ids(splits.select("file").distinct(), ["file"], "doc_id")
     placed = saved(
@@ -67,10 +108,18 @@ def read_lines(spark: SparkSession, path: str, limits: Limits | None = None) ->
         F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("file") + 48).alias("bytes")
     ).first()
     fits = size["rows"] <= limits.broadcast_rows and (size["bytes"] or 0) <= limits.broadcast_bytes
-    numbered = (
-        raw.join(F.broadcast(placed) if fits else placed, ["file", "block"])
-        .withColumn("line_no", F.col("before") + F.col("at") - F.col("first_at"))
-        .select("doc_id", "line_no", "line")
+    if copy:
+        # The copy keeps the ids of the pass that counted.
+        rows = raw.select("split", "at", "line")
+        place = F.col("at") - F.col("first_at")
+    else:
+        rows, place = _numbered_splits(text), F.col("at")
+    known = placed.select("split", "doc_id", "before", "rows", "first_at")
+    numbered = rows.join(F.broadcast(known) if fits else known, "split", "left").select(
+        F.coalesce("doc_id", F.lit(-1).cast("bigint")).alias("doc_id"),
+        (F.coalesce("before", F.lit(0).cast("bigint")) + place).alias("line_no"),
+        "line",
+        (place < F.col("rows")).alias("counted"),
     )
     # Empty lines after the last text of the whole corpus are dropped, inner ones stay.
     last = placed.agg(
@@ -82,8 +131,10 @@ def read_lines(spark: SparkSession, path: str, limits: Limits | None = None) ->
         ).alias("last")
     ).first()["last"]
     if last is None:
-        return numbered.where(F.lit(False))
-    return numbered.where(
+        return numbered.where(F.lit(False)).drop("counted")
+    kept = numbered.where(
         (F.col("doc_id") < last["doc_id"])
         | ((F.col("doc_id") == last["doc_id"]) & (F.col("line_no") <= last["line_no"]))
     )
+    other = F.raise_error(F.lit("a file's splits differ from those that were counted")).cast("bigint")
+    return kept.select("doc_id", F.when(F.col("counted"), F.col("line_no")).otherwise(other).alias("line_no"), "line")
