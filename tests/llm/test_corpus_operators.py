@@ -439,7 +439,7 @@ def test_repeated_header_names(spark):
 @pytest.fixture(scope="module")
 def db():
     connection = duckdb.connect()
-    for table in ("documents", "pages", "conversations", "labels"):
+    for table in ("documents", "pages", "conversations", "labels", "benchmark"):
         connection.execute(f"create view {table} as select * from read_parquet('{FOLDER}/{table}.parquet')")
     return connection
 
