@@ -2,7 +2,7 @@
 
 The symbols of many words lie in one flat array. A round looks up every neighbouring pair by binary search among
 the sorted pair keys, merges the pairs of lowest rank of every word, and takes out the words that have no pair
-left. Words between white space are encoded once for each batch of texts and remembered within a bound.
+left. Words between white space are encoded once and remembered by their task within a bound of bytes.
 
 Letters and numbers are those of the installed `regex` module's Unicode version. Handled are files with a Unicode form, white space and lower case as normalisers, a split pattern and byte-level
 symbols, words that end in a suffix, and special tokens that are found in the raw text.
@@ -14,6 +14,7 @@ import hashlib
 import json
 import re
 import unicodedata
+from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -24,7 +25,8 @@ from pyspark.sql import DataFrame
 
 from wordloom.llm.textbytes import map_texts
 
-REMEMBERED = 200_000
+REMEMBERED_BYTES = 48 << 20  # of words that an encoder has learnt; each counts ENTRY_BYTES besides its own
+ENTRY_BYTES = 400
 BIT = 16
 NO_RANK = np.iinfo(np.int32).max
 ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -92,6 +94,7 @@ class Encoder:
         self.special = re.compile("|".join(map(re.escape, vocabulary.special))) if vocabulary.special else None
         self.plain = self.split.findall("ab, 'cd' x1!") == ["ab", ",", "'", "cd", "'", "x", "1", "!"]
         self.known: dict[str, tuple[bytes, str]] = {}
+        self.known_bytes = 0
 
     def _pairs(self, symbols: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Rank of the pair that starts at each symbol but the last; NO_RANK if there is none."""
@@ -168,6 +171,7 @@ class Encoder:
         at = at.tolist()
         for i, chunk in enumerate(chunks):
             self.known[chunk] = raw[cuts[i] : cuts[i + 1]], " ".join(names[at[i] : at[i + 1]])
+            self.known_bytes += 2 * len(chunk) + 3 * (cuts[i + 1] - cuts[i]) + ENTRY_BYTES
 
     def chunks(self, text: str) -> list[str]:
         """The text between white space, special tokens apart."""
@@ -185,8 +189,9 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, the decoded text) of each text."""
-        if len(self.known) > REMEMBERED:
+        if self.known_bytes > REMEMBERED_BYTES:
             self.known.clear()
+            self.known_bytes = 0
         for token, i in self.vocabulary.special.items():
             self.known[token] = i.to_bytes(4, "little"), token
         cut = [self.chunks(t) for t in texts]
@@ -205,29 +210,31 @@ class Encoder:
         return " ".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist() if i < len(tokens)])
 
 
-_encoders: dict[str, Encoder] = {}  # of this worker, by vocabulary: later tasks use what earlier ones have learnt
+def _per_task(shared) -> Callable[[], Encoder]:
+    """The encoder of a task, made when it is first asked for; it goes with the task, and with it what it has learnt."""
+    made: list[Encoder] = []
 
+    def encoder() -> Encoder:
+        if not made:
+            made.append(Encoder(shared.value))
+        return made[0]
 
-def _encoder(shared) -> Encoder:
-    key = shared.value.digest
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(shared.value)
-    return _encoders[key]
+    return encoder
 
 
 def round_trip(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """keep, ids (binary, little-endian unsigned 32-bit integers) and decoded (string) of every text.
 
-    A null text is empty and has no ids. Every row is encoded by itself, whatever rows repeat it.
+    A null text is empty and has no ids. Every row is encoded by itself, whatever rows repeat it. A long text is encoded whole, in
+    a slice of its own. Other columns are not read, whatever their names, and an empty table gives no rows.
     """
     names = [f"_k{i}" for i in range(len(keep))]
     plain = docs.select(*[docs[k].alias(n) for k, n in zip(keep, names, strict=True)], docs[text].alias("_text"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema if f.name != "_text")
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(path))
+    encoder = _per_task(docs.sparkSession.sparkContext.broadcast(Vocabulary.read(path)))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = _encoder(shared).encode([t or "" for t in batch.column("_text").to_pylist()])
+        found = encoder().encode([t or "" for t in batch.column("_text").to_pylist()])
         columns = [batch.column(k) for k in names]
         columns += [pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())]
         return pa.RecordBatch.from_arrays(columns, [*names, "ids", "decoded"])
@@ -244,11 +251,10 @@ def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text
 def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep and decoded, from ids; null ids give an empty text."""
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in encoded.select(*keep).schema)
-    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(path))
+    encoder = _per_task(encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(path)))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoder = _encoder(shared)
-        texts = [encoder.decode(i or b"") for i in batch.column("ids").to_pylist()]
+        texts = [encoder().decode(i or b"") for i in batch.column("ids").to_pylist()]
         return pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], pa.array(texts, pa.string())], [*keep, "decoded"])
 
     return map_texts(encoded.select(*keep, "ids"), "ids", work, f"{kinds}, decoded string")

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,13 +123,27 @@ class Model:
         return 1.0 / (1.0 + np.exp(np.clip(scores[:, None] - self.thresholds[None, :], -60, 60)))
 
 
+def _parts(n: int, size: int = 1 << 20) -> list[slice]:
+    """Slices of n entries: what is made of one at a time stays small."""
+    return [slice(at, at + size) for at in range(0, n, size)]
+
+
 def fit_rows(grades: np.ndarray, owner: np.ndarray, hashes: np.ndarray, rating: Rating) -> Model:
     """The model of rows 0, 1, 2...: penalised likelihood by quasi-Newton steps on all rows at once, so it depends on no order."""
-    found, column, documents = np.unique(hashes, return_inverse=True, return_counts=True)
-    frequent = documents >= rating.min_documents
-    number = np.cumsum(frequent) - 1
-    used = frequent[column]
-    owner, column, found = owner[used], number[column[used]], found[frequent]
+    ordered = np.sort(hashes)
+    heads = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, np.int64)
+    found = ordered[heads[np.diff(np.r_[heads, len(ordered)]) >= rating.min_documents]]
+    del ordered, heads
+    rows_of, columns = [], []
+    for part in _parts(len(hashes)):
+        at = np.minimum(np.searchsorted(found, hashes[part]), max(len(found) - 1, 0))
+        used = found[at] == hashes[part] if len(found) else np.zeros(len(at), bool)
+        rows_of.append(owner[part][used].astype(np.int32))
+        columns.append(at[used].astype(np.int32))
+    del hashes
+    owner = np.concatenate([*rows_of, np.zeros(0, np.int32)])
+    column = np.concatenate([*columns, np.zeros(0, np.int32)])
+    del rows_of, columns
     n, width = len(grades), len(found)
     shares = np.clip(np.cumsum(np.bincount(grades, minlength=TOP + 1))[:TOP] / n, 1e-4, 1 - 1e-4)
     thresholds = np.log(shares / (1 - shares))
@@ -139,7 +154,9 @@ def fit_rows(grades: np.ndarray, owner: np.ndarray, hashes: np.ndarray, rating:
 
     def value(state: np.ndarray) -> tuple[float, np.ndarray]:
         weights, low, gap = state[:-2], state[-2], np.exp(np.clip(state[-1], -8, 4))
-        score = np.bincount(owner, weights[column], minlength=n)
+        score = np.zeros(n)
+        for part in _parts(len(owner)):
+            score += np.bincount(owner[part], weights[column[part]], minlength=n)
         below = 1 / (1 + np.exp(np.clip(score[:, None] - np.array([low, low + gap]), -60, 60)))
         edges = np.concatenate([np.zeros((n, 1)), below, np.ones((n, 1))], axis=1)
         chance = np.maximum(edges[rows, grades + 1] - edges[rows, grades], 1e-12)
@@ -148,7 +165,10 @@ def fit_rows(grades: np.ndarray, owner: np.ndarray, hashes: np.ndarray, rating:
         upper = np.where(grades < TOP, slope[rows, grades + 1] / chance, 0)
         lower = np.where(grades > 0, slope[rows, grades] / chance, 0)
         by_threshold = [-(upper[grades == k].sum() - lower[grades == k + 1].sum()) for k in range(TOP)]
-        gradient = np.bincount(column, by_score[owner], minlength=width) / n + rating.penalty * weights
+        gradient = np.zeros(width)
+        for part in _parts(len(owner)):
+            gradient += np.bincount(column[part], by_score[owner[part]], minlength=width)
+        gradient = gradient / n + rating.penalty * weights
         loss = -np.log(chance).sum() / n + rating.penalty / 2 * (weights @ weights)
         return loss, np.concatenate([gradient, [sum(by_threshold) / n, by_threshold[1] * gap / n]])
 
@@ -211,26 +231,34 @@ def fit(docs: DataFrame, labels: DataFrame, rating: Rating | None = None) -> Mod
 
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = map_texts(sample, "text", work, f"doc_id {kind}, grade int, terms binary").dropDuplicates(["doc_id"])
+    rows = map_texts(sample, "text", work, f"doc_id {kind}, grade int, terms binary")
+    # Of several texts with one id, always the same: that of the least digest.
+    one = rows.groupBy("doc_id").agg(F.min(F.struct(F.sha2("terms", 256).alias("digest"), "grade", "terms")).alias("_m"))
+    one = one.select("doc_id", "_m.grade", "_m.terms")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [r for b in batches for r in zip(*[b.column(c).to_pylist() for c in ("doc_id", "grade", "terms")], strict=True)]
-        if held:
-            held.sort(key=lambda r: r[0])
-            parts = [np.frombuffer(r[2], U) for r in held]
-            owner = np.repeat(np.arange(len(held)), [len(p) for p in parts])
-            model = fit_rows(np.array([r[1] for r in held]), owner, np.concatenate(parts), rating)
+        grades, counts, parts = [], [], []
+        for b in batches:
+            grades.append(b.column("grade").to_numpy(zero_copy_only=False))
+            counts.append(pc.binary_length(b.column("terms")).to_numpy(zero_copy_only=False) // 8)
+            parts += [np.frombuffer(x.as_buffer(), U).copy() for x in b.column("terms")]
+        if grades:
+            owner = np.repeat(np.arange(sum(map(len, counts)), dtype=np.int32), np.concatenate(counts))
+            hashes = np.concatenate(parts)
+            parts.clear()
+            model = fit_rows(np.concatenate(grades), owner, hashes, rating)
             state = pickle.dumps((model.hashes, model.weights, model.thresholds))
             yield pa.RecordBatch.from_arrays([pa.array([state], pa.binary())], ["state"])
 
-    found = rows.repartition(1).mapInArrow(learn, "state binary").first()
+    found = one.repartition(1).sortWithinPartitions("doc_id").mapInArrow(learn, "state binary").first()
     return None if found is None else Model(*pickle.loads(found["state"]))
 
 
 def score(docs: DataFrame, model: Model | None, rating: Rating | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep, expected_grade, p_top and kept for every document, each row by itself.
 
-    A null text is empty. Without a model the grade and chance are null and every document is kept.
+    A null text is empty. Without a model the grade and chance are null and every document is kept. Rows that repeat are
+    scored each by itself, a long text in a slice of its own, and an empty table gives no rows.
     """
     rating = rating or Rating()
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)

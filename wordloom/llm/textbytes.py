@@ -37,7 +37,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         up, down = np.full(size, U(base)), np.full(size, U(pow(base, -1, 1 << 64)))
         up[0] = down[0] = U(1)
         known = (np.cumprod(up, dtype=U), np.cumprod(down, dtype=U))
-        if size <= 4 * SLICE_BYTES:  # those of a very long text are not kept
+        if size <= SLICE_BYTES + (SLICE_BYTES >> 2):  # 20 MB for each base; those of a longer slice are not kept
             _POWERS[base] = known
     return known
 
