@@ -8,12 +8,12 @@ insertions elsewhere move no cut. White space is not compared.
 1. Chunks: a digest that two texts or two copies have makes its chunk a repeated one.
 2. Seeds: a passage of 50 words holds chunks whose cuts its own words decide. It can stand elsewhere only if all of those
    are repeated, so only runs of repeated chunks, with what they can be extended by on both sides, are looked at further.
-3. Extension: the windows of 50 words in those runs are compared by digests of 128 bits. What is found is what a
+3. Extension: the windows of 50 words in those runs are compared by digests of 96 bits. What is found is what a
    comparison of all windows finds, word by word. Windows that overlap or touch are one span.
 
-Equal texts are compared once, as the one with the least id; the others take over its spans. Keys that many rows share are
-few by construction (they hold at least one in `hot_keys` of all rows): what is known of them is broadcast, and their rows are
-spread, so no task gets a popular chunk, window or text whole.
+Equal texts are compared once, as the one with the least id; the others take over its spans. Chunks and texts that many rows
+share are few by construction (they hold at least one in HOT_KEYS of all rows): what is known of them is broadcast, and their
+rows are spread. Windows are summed before they are shuffled; their join is left to Spark, which splits large partitions.
 """
 
 from __future__ import annotations
@@ -116,11 +116,15 @@ class Chunks:
         size = (self.behind - self.begin).astype(U)
         return mix((sums[self.behind] - sums[self.begin]) * down[self.begin] + size * U(BASES[1]))
 
-    def possible(self, first: np.ndarray, width: int, known: np.ndarray) -> np.ndarray:
-        """Which windows of `width` words, by their first, have only known ones among the chunks that they decide on."""
+    def decided(self, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first, last) place of a cut that the words of each window, by their first, decide on for sure."""
         # The first word whose rolling hash covers no byte before the window.
         own = np.searchsorted(self.at, self.at[first] + REACH) - 1
-        low, high = self.first[own], self.last[first + width - self.reach]
+        return self.first[own], self.last[first + width - self.reach]
+
+    def possible(self, first: np.ndarray, width: int, known: np.ndarray) -> np.ndarray:
+        """Which windows have only known ones among the chunks that they decide on."""
+        low, high = self.decided(first, width)
         unknown = np.concatenate([[0], np.cumsum(~known)])
         return unknown[np.searchsorted(self.behind, high + 1) + 1] == unknown[np.searchsorted(self.behind, low + 1) + 1]
 
@@ -132,23 +136,52 @@ def cut(texts: Texts, chunking: Chunking) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def chunk_rows(rows: DataFrame, passages: Passages) -> DataFrame:
-    """mark and chunk (its digest), once for each chunk of a row; a text of fewer words than a passage has none."""
+    """mark, chunk (its digest), place and is_new of the chunks of a row; a text of fewer words than a passage has none.
+
+    place holds the number of the chunk in its text, the fewest words of chunks that a window of the text decides on (6
+    bits) and the chunk's own words (6 bits). is_new is 1 where the text has such a chunk for the first time, else 0.
+    """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         texts = Texts(batch.column("text"))
         chunks = Chunks(texts, passages.chunking)
         owner = chunks.text[chunks.begin]
-        long = np.bincount(chunks.text, minlength=texts.n)[owner] >= passages.words
-        owner, digests = owner[long], chunks.digests(texts.word_hashes())[long]
-        if not len(owner):
+        long = np.bincount(chunks.text, minlength=texts.n) >= passages.words
+        if not long.any():
             return None
+        hashes = texts.word_hashes()
+        first, _ = texts.windows(passages.words, hashes)
+        low, high = chunks.decided(first, passages.words)
+        span = np.full(texts.n, 63)
+        np.minimum.at(span, chunks.text[first], high - low)
+        number = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        place = (number << 12) + (span[owner] << 6) + (chunks.behind - chunks.begin)
+        digests = chunks.digests(hashes)
         order = np.lexsort((digests, owner))
-        owner, digests = owner[order], digests[order]
-        new = np.r_[True, (owner[1:] != owner[:-1]) | (digests[1:] != digests[:-1])]
-        marks = batch.column("mark").take(pa.array(owner[new]))
-        return pa.RecordBatch.from_arrays([marks, pa.array(digests[new].view(np.int64))], ["mark", "chunk"])
+        new = np.ones(len(order), np.int64)
+        new[order[1:]] = (owner[order[1:]] != owner[order[:-1]]) | (digests[order[1:]] != digests[order[:-1]])
+        kept = long[owner]
+        columns = [batch.column("mark").take(pa.array(owner[kept])), pa.array(digests[kept].view(np.int64))]
+        columns += [pa.array(place[kept]), pa.array(new[kept])]
+        return pa.RecordBatch.from_arrays(columns, ["mark", "chunk", "place", "is_new"])
+
+    return map_texts(rows, "text", work, "mark bigint, chunk bigint, place bigint, is_new bigint")
+
+
+def may_hold_passages(places: Column) -> Column:
+    """Whether chunks, by their places in order, have a run of neighbours with as many words as a window decides on.
+
+    Two chunks with one number are of unlike texts that share a mark: those are kept.
+    """
+    start = F.struct(F.lit(-2).cast("bigint").alias("last"), F.lit(0).cast("bigint").alias("run"), F.lit(False).alias("found"))
+
+    def step(acc: Column, place: Column) -> Column:
+        number, words = F.shiftright(place, 12), place.bitwiseAND(F.lit(63))
+        run = F.when(number == acc["last"] + 1, acc["run"]).otherwise(F.lit(0)) + words
+        enough = (run >= F.shiftright(place, 6).bitwiseAND(F.lit(63))) | (number == acc["last"])
+        return F.struct(number.alias("last"), run.alias("run"), (acc["found"] | enough).alias("found"))
 
-    return map_texts(rows, "text", work, "mark bigint, chunk bigint")
+    return F.aggregate(places, start, step)["found"]
 
 
 def placed_windows(rows: DataFrame, passages: Passages) -> DataFrame:
@@ -159,7 +192,7 @@ def placed_windows(rows: DataFrame, passages: Passages) -> DataFrame:
     up to the end, in code points; two numbers shuffle leaner than three.
     """
     kind = rows.schema["first_doc"].dataType.simpleString()
-    schema = f"h1 bigint, h2 bigint, weight bigint, at bigint, length bigint, mark bigint, first_doc {kind}"
+    schema = f"h1 bigint, h2 int, weight bigint, at bigint, length bigint, mark bigint, first_doc {kind}"
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         texts = Texts(batch.column("text"))
@@ -187,7 +220,7 @@ def placed_windows(rows: DataFrame, passages: Passages) -> DataFrame:
         rows_of = pa.array(owner)
         columns = {
             "h1": pa.array(h1.view(np.int64)),
-            "h2": pa.array(h2.view(np.int64)),
+            "h2": pa.array((h2 >> U(32)).astype(np.uint32).view(np.int32)),
             "weight": pa.array(new * copies[owner]),
             "at": pa.array((place << 32) + start - chars[texts.at[owner]]),
             "length": pa.array(end - start),
@@ -253,9 +286,11 @@ def repeated_spans(docs: DataFrame, passages: Passages | None = None, marks: boo
     words = (size["bytes"] or 0) // 2  # no fewer than there are
     firsts = ids.groupBy("mark", "mark2").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies"))
     each = chunk_rows(rows.select("text", "mark"), passages)
-    counted = each.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Unlike texts that share a mark share a list: more windows are compared, no more.
-    listed = with_known(each, counted, ["chunk"], words, F.col("mark")).groupBy("mark").agg(F.collect_set("chunk").alias("_chunks"))
+    counted = saved(each.groupBy("chunk").agg(F.sum("is_new").alias("n")).where("n > 1"))
+    # Copies give the same rows; unlike texts that share a mark share a list: more windows are compared, no more.
+    held = with_known(each.drop("is_new"), counted, ["chunk"], words, F.col("mark"))
+    listed = held.groupBy("mark").agg(F.sort_array(F.collect_set(F.struct("place", "chunk"))).alias("_held"))
+    listed = listed.where(may_hold_passages(F.col("_held.place"))).select("mark", F.array_distinct("_held.chunk").alias("_chunks"))
     wanted = saved(listed.join(firsts, "mark").withColumn("_d", F.xxhash64("first_doc")))
     near = likely(rows.drop("doc_id"), wanted.select("mark")).join(wanted, ["mark", "mark2", "_d"])
     found = placed_windows(near.dropDuplicates(["mark", "mark2", "_d"]).select("text", "mark", "first_doc", "copies", "_chunks"), passages)
@@ -267,7 +302,8 @@ def repeated_spans(docs: DataFrame, passages: Passages | None = None, marks: boo
     start = F.col("at").bitwiseAND(F.lit((1 << 32) - 1))
     run = F.sum("_begins").over(order.rowsBetween(Window.unboundedPreceding, 0))
     spans = (
-        with_known(found.drop("weight"), repeated, ["h1", "h2"], 2 * words, F.xxhash64("mark", "at"))
+        found.drop("weight")
+        .join(repeated, ["h1", "h2"])
         .withColumn("_begins", begins)
         .withColumn("_run", run)
         .groupBy("mark", "first_doc", "_run")
