@@ -182,3 +182,22 @@ def test_extension_beyond_broadcast(spark, blocks):
     again = vocab.known_words(known.where("id < 250"), blocks).union(vocab.known_words(known.where("id >= 250"), blocks))
     merged = again.groupBy("_block").agg(F.bit_or("_bits").alias("_bits"))
     assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, vocab.known_words(known, blocks).collect()))
+
+
+def test_pieces_beyond_broadcast_send_each_word_once(spark, fit, monkeypatch):
+    """A word that stands a thousand times is looked up once for each piece; null lines and ids are kept."""
+    asked = []
+    monkeypatch.setattr(vocab, "saved", lambda df: asked.append(df.cache()) or asked[-1])
+    table = fit("the rain", "falls")
+    lines = spark.createDataFrame(
+        [(n, 0, "the " * 50 + "zzz falls") for n in range(20)] + [(20, 0, None), (21, 0, " the")], "doc_id bigint, line_no bigint, line string"
+    )
+    want = sorted(vocab.encode(lines, table).collect(), key=lambda r: r["doc_id"])
+    assert not asked
+    found = sorted(vocab.encode(lines.coalesce(1), table, TIGHT).collect(), key=lambda r: r["doc_id"])
+    assert found == want and found[20]["ids"] == [] and found[0]["oov_count"] == 1
+    assert asked[0].where("word = 'the'").count() <= 4  # a piece for each of four partitions
+    monkeypatch.setattr(vocab, "PIECE_BYTES", 1)
+    assert sorted(vocab.encode(lines, table, TIGHT).collect(), key=lambda r: r["doc_id"]) == want
+    assert decode_ids(spark, table, [[0, None, 2], None, [], [7]], TIGHT) == ["the  falls", "", "", ""]
+    assert decode_ids(spark, table, [[0, None, 2], None, [], [7]]) == ["the  falls", "", "", ""]
