@@ -117,3 +117,18 @@ def test_sampling_frequencies():
     np.testing.assert_allclose(np.bincount(picked, minlength=3) / 20000, heat / heat.sum(), atol=0.015)
     logits = sample_rows(np.tile(np.log(p), (20000, 1)), u, 1.0, logits=True)
     np.testing.assert_allclose(np.bincount(logits, minlength=3) / 20000, p, atol=0.015)
+
+
+@pytest.mark.parametrize("seed, size", [(42, 32), (-7, 130), (10**40, 3)])
+def test_draws_of_many_keys_at_once(seed, size, monkeypatch):
+    """Hashed by arrays or one by one, a key gives the same numbers."""
+    from wordloom.operators import network
+
+    numbers = np.array([0, 7, 42, -1, -93, 10**6, 2**63 - 1, -(2**63), *range(95, 130)])
+    want = network.md5_words([f"{seed}:{t}:{d}" for t in numbers.tolist() for d in range(size)])[:, :3]
+    monkeypatch.setattr(network, "FEW_KEYS", 0)
+    monkeypatch.setattr(network, "MD5_KEYS", 100)
+    np.testing.assert_array_equal(network.md5_of_numbers(seed, numbers, size), want)
+    # Keys that fit one block are not hashed one by one.
+    monkeypatch.setattr(network, "md5_words", None if size > 3 else network.md5_words)
+    np.testing.assert_array_equal(network.md5_of_numbers(seed, numbers, size), want)

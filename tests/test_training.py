@@ -241,3 +241,20 @@ def test_samples_are_counted_while_they_are_written(spark, rows):
     for none in (rows.limit(0), rows.where(F.lit(False))):
         _, counts = training.prepare(none, SMALL)
         assert (counts["rows"], counts["out_of_range"], counts["lines"]) == (0, 0, 0)
+
+
+def test_without_scores_the_model_is_the_same(rows, monkeypatch):
+    """Loss and correct are for the log alone: a run that does not show them does not work them out."""
+    full = training.train(rows, SMALL, epochs=2)
+    bare = training.train(rows, SMALL, epochs=2, scores=False)
+    np.testing.assert_array_equal(to_array(full.model, SIZES), to_array(bare.model, SIZES))
+    assert bare.batch_log.where("loss is not null or correct is not null").count() == 0
+    left = ["epoch", "shard", "batch_no", "total", "grad_mean", "grad_max", "grad_min"]
+    assert sorted(map(str, full.batch_log.select(left).collect())) == sorted(map(str, bare.batch_log.select(left).collect()))
+    drop = ("duration_ms", "avg_loss", "accuracy_pct")
+    assert sorted(full.epoch_metrics.drop(*drop).collect()) == sorted(bare.epoch_metrics.drop(*drop).collect())
+    step = training.ShardPass(np.ones(parameter_count(SIZES)), SIZES, SMALL, 1, 0, scores=False)
+    monkeypatch.setattr(step.net, "loss", None)
+    monkeypatch.setattr(step.net, "logits", None)
+    step.step(np.ones((3, 8)), np.arange(3), np.ones(3))
+    assert step.log[0][3:6] == (None, None, 3)
