@@ -132,3 +132,23 @@ def test_draws_of_many_keys_at_once(seed, size, monkeypatch):
     # Keys that fit one block are not hashed one by one.
     monkeypatch.setattr(network, "md5_words", None if size > 3 else network.md5_words)
     np.testing.assert_array_equal(network.md5_of_numbers(seed, numbers, size), want)
+
+
+def test_reals_of_arrays_round_as_decimals_do(spark):
+    """Ties away from zero, and the neighbours of ties, as F.round has them."""
+    from wordloom.plans.registry import joined_reals, millionths
+
+    ties = [(n + 0.5) / 1e6 for n in range(-40, 40)] + [0.5 / 2**k for k in range(30)]
+    near = [float(np.nextafter(v, s)) for v in ties for s in (-9, 9)]
+    values = [*ties, *near, 0.0, -0.0, 1234.5678915, -3e-7, *np.random.default_rng(1).normal(size=500).tolist()]
+    rows = spark.createDataFrame([(values, v) for v in values], "all array<double>, one double")
+    want = [r[0] for r in rows.select(millionths(F.col("one"))).collect()]
+    assert rows.limit(1).select(joined_reals("all")).first()[0] == " ".join(map(str, want))
+    plan = rows.select(joined_reals("all"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan
+
+
+def test_rows_of_a_context_stand_side_by_side(spark):
+    rows = spark.createDataFrame([(n, [n % 3]) for n in range(60)], "n bigint, context array<bigint>").coalesce(1)
+    found = [r["context"][0] for r in features.sample_features(rows, ModelConfig()).collect()]
+    assert found == sorted(found)
