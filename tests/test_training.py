@@ -258,3 +258,15 @@ def test_without_scores_the_model_is_the_same(rows, monkeypatch):
     monkeypatch.setattr(step.net, "logits", None)
     step.step(np.ones((3, 8)), np.arange(3), np.ones(3))
     assert step.log[0][3:6] == (None, None, 3)
+
+
+def test_a_pass_without_steps_walks_the_same_batches(rows, monkeypatch):
+    """The batches of a pass are listed without the arithmetic of its steps."""
+    key = ["epoch", "shard", "batch_no", "total"]
+    full, bare = training.train_epoch(rows, SMALL), training.train_epoch(rows, SMALL, steps=False)
+    assert sorted(full.select(key).collect()) == sorted(bare.select(key).collect())
+    assert bare.where("loss is not null or correct is not null or grad_mean is not null").count() == 0
+    monkeypatch.setattr(training, "Trainer", None)
+    walk = training.ShardPass(np.ones(parameter_count(SIZES)), SIZES, SMALL, 1, 0, steps=False)
+    walk.step(np.ones((3, 1)), np.arange(3), np.ones(3))
+    assert walk.log == [("batch", 0, 0, None, None, 3, None, None, None)]
