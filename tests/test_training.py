@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wordloom.config import ModelConfig
-from wordloom.operators import metrics, samples, scoring, training, vocab
+from wordloom.operators import metrics, network, samples, scoring, training, vocab
 from wordloom.operators.model import check_size, initial_model, load_model, save_model, to_array, to_table
 from wordloom.operators.network import ContextFeatures, model_sizes, parameter_count
 from wordloom.sources.text import lines_in_memory
@@ -270,3 +270,13 @@ def test_a_pass_without_steps_walks_the_same_batches(rows, monkeypatch):
     walk = training.ShardPass(np.ones(parameter_count(SIZES)), SIZES, SMALL, 1, 0, steps=False)
     walk.step(np.ones((3, 1)), np.arange(3), np.ones(3))
     assert walk.log == [("batch", 0, 0, None, None, 3, None, None, None)]
+
+
+def test_token_vectors_are_kept_from_task_to_task(monkeypatch):
+    ids, full = np.arange(40)[:, None], np.ones(40, dtype=bool)
+    first = ContextFeatures(SMALL)(ids, full)
+    monkeypatch.setattr(network, "md5_of_numbers", None)
+    np.testing.assert_array_equal(first, ContextFeatures(SMALL)(ids, full))
+    monkeypatch.undo()
+    assert not np.array_equal(first, ContextFeatures(replace(SMALL, seed=7))(ids, full))
+    np.testing.assert_array_equal(first, ContextFeatures(SMALL)(ids, full))
