@@ -201,3 +201,36 @@ def test_pieces_beyond_broadcast_send_each_word_once(spark, fit, monkeypatch):
     assert sorted(vocab.encode(lines, table, TIGHT).collect(), key=lambda r: r["doc_id"]) == want
     assert decode_ids(spark, table, [[0, None, 2], None, [], [7]], TIGHT) == ["the  falls", "", "", ""]
     assert decode_ids(spark, table, [[0, None, 2], None, [], [7]]) == ["the  falls", "", "", ""]
+
+
+def test_pieces_span_arrow_batches(spark):
+    """A piece is bounded by its bytes, not by the rows of an Arrow batch: fewer words are looked up twice."""
+    lines = lines_in_memory(spark, ["a b c a"] * 50 + [""])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        one = vocab._pieces(lines, ["doc_id", "line_no"], "line", lambda x: vocab.cut_words(x, vocab.BLANKS), "word")
+        parts = one.select("_piece").distinct().count()
+        assert parts <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert one.where("word is not null").count() <= 4 * parts
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_first_places_are_those_of_the_splitting_rule():
+    import pyarrow as pa
+
+    from wordloom.operators.arrow import first_places
+
+    texts = ["", " b a", None, "a  c b", "\t", "c d d "]
+    word, line, pos = first_places(pa.array(texts, pa.string()), vocab.BLANKS)
+    assert list(zip(word.to_pylist(), line.tolist(), pos.tolist())) == [("", 0, 0), ("b", 1, 1), ("a", 1, 2), ("c", 3, 1), ("d", 5, 1)]
+    assert [len(x) for x in first_places(pa.array([], pa.string()), vocab.BLANKS)] == [0, 0, 0]
+
+
+def test_first_places_do_not_depend_on_the_order_of_rows(spark):
+    lines = lines_in_memory(spark, ["x y", "y z x", "w x", "z v"])
+    want = sorted(vocab.fit_vocab(lines).collect())
+    assert sorted(vocab.fit_vocab(lines.orderBy(F.desc("line_no")).coalesce(1)).collect()) == want
+    plan = vocab._first_seen(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "SortAggregate" not in plan
