@@ -234,3 +234,13 @@ def test_first_places_do_not_depend_on_the_order_of_rows(spark):
     assert sorted(vocab.fit_vocab(lines.orderBy(F.desc("line_no")).coalesce(1)).collect()) == want
     plan = vocab._first_seen(lines)._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and "SortAggregate" not in plan
+
+
+def test_pieces_move_keys_and_not_lines(spark, fit, monkeypatch):
+    """Beyond broadcast the raw lines are cut where they are read: what is written comes straight from them."""
+    plans = []
+    keep = vocab.saved
+    monkeypatch.setattr(vocab, "saved", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    lines = lines_in_memory(spark, ["the rain", "falls the"])
+    vocab.encode(lines, fit("the rain"), TIGHT)
+    assert len(plans) == 1 and "Exchange" not in plans[0] and "Sort" not in plans[0]
