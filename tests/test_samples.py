@@ -81,3 +81,14 @@ def test_one_hot(spark):
         {"size": 5, "indices": [4], "values": [1.0]},
         {"size": 5, "indices": [], "values": []},
     ]
+
+
+def test_places_of_windows_need_no_ids(spark, monkeypatch):
+    """The keys of windows are those of sliding_windows, counted from the words alone."""
+    lines = lines_in_memory(spark, ["a b c d", "a", "", "  ", None, " b a"])
+    found = vocab.encode(lines, vocab.fit_vocab(lines))
+    for width in (1, 3, 5):
+        want = samples.sliding_windows(found, width).select("doc_id", "line_no", "k")
+        assert sorted(samples.window_places(lines, width).collect()) == sorted(want.collect())
+    plan = samples.window_places(lines, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
