@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from wordloom.config import ModelConfig
+from wordloom.operators import network
 from wordloom.operators.network import Network, Trainer, dropout, layout, log_softmax, model_sizes, parameter_count
 
 SIZES = [5, 7, 6, 4]
@@ -63,6 +64,41 @@ def test_adam_against_its_definition():
         np.testing.assert_allclose(net.flat, flat, atol=1e-12)
 
 
+def test_units_that_are_zero_in_a_batch_are_left_out(monkeypatch):
+    """The output layer's products take the units that some row uses; results and gradients are those of all units."""
+    sizes, rng = [5, 30, 40, 6], np.random.default_rng(4)
+    flat = rng.normal(size=parameter_count(sizes)) * 0.3
+    x, labels, mask = rng.normal(size=(50, 5)), rng.integers(0, 6, 50), np.ones(50)
+    net = Trainer(flat.copy(), sizes)
+    for dead in (slice(0, 15), slice(10, 20), slice(0, 0), slice(30, 40)):
+        net.tensors[3][:] = 0
+        net.tensors[3][dead] = -1e3
+        found = net.gradient(x, labels, mask).copy()
+        assert (net.live is not None) == (dead.stop > 0) and not net.grad_tensors[4][dead].any()
+        scored = net.loss(x, labels, mask), net.logits(x).copy()
+        with monkeypatch.context() as all_units:
+            all_units.setattr(network, "LEAST_ROWS", 51)
+            whole = Trainer(net.flat.copy(), sizes)
+            np.testing.assert_allclose(found, whole.gradient(x, labels, mask), atol=1e-14)
+            assert whole.live is None and scored[0] == pytest.approx(whole.loss(x, labels, mask))
+            np.testing.assert_allclose(scored[1], whole.logits(x))
+
+
+def test_adam_by_blocks_adds_up_the_parameters(monkeypatch):
+    whole, parts, (x, labels, mask) = trainer(), trainer(), sample()
+    total, want = np.zeros(whole.flat.size), np.zeros(whole.flat.size)
+    for _ in range(3):
+        whole.gradient(x, labels, mask)
+        whole.adam(0.01)
+        want += whole.flat
+        parts.gradient(x, labels, mask)
+        with monkeypatch.context() as small:
+            small.setattr(network, "ADAM_BLOCK", 7)
+            parts.adam(0.01, total=total)
+    np.testing.assert_array_equal(whole.flat, parts.flat)
+    np.testing.assert_array_equal(total, want)
+
+
 def test_dropout_scale_and_key():
     assert dropout(3, SIZES, 0.0, [1], np.float32) is None
     first, second = (dropout(4000, SIZES, 0.2, [1, 2], np.float32) for _ in range(2))
