@@ -272,6 +272,22 @@ def test_a_pass_without_steps_walks_the_same_batches(rows, monkeypatch):
     assert walk.log == [("batch", 0, 0, None, None, 3, None, None, None)]
 
 
+def test_one_pass_does_not_write_its_shards(rows, monkeypatch):
+    """Shards are written once for several epochs; a single pass reads them as they are dealt, to the same log."""
+    written, stable = [], training.stable
+
+    def seen(df):
+        written.append(df.columns)
+        return stable(df)
+
+    monkeypatch.setattr(training, "stable", seen)
+    log = training.train_epoch(rows, SMALL)
+    assert len(written) == 1 and written[0][0] == "kind"
+    several = training.train(rows, SMALL, epochs=2)
+    assert len(written) == 4 and written[1][-1] == "shard"
+    assert sorted(map(str, log.collect())) == sorted(map(str, several.batch_log.where("epoch = 1").collect()))
+
+
 def test_token_vectors_are_kept_from_task_to_task(monkeypatch):
     ids, full = np.arange(40)[:, None], np.ones(40, dtype=bool)
     first = ContextFeatures(SMALL)(ids, full)
