@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from wordloom.config import ModelConfig
 from wordloom.functions import draws, vectors
-from wordloom.operators import features
+from wordloom.operators import features, samples, vocab
 from wordloom.operators.network import ContextFeatures, sample_rows, uniform_draws
+from wordloom.sources.text import lines_in_memory
 
 CFG = ModelConfig()
 
@@ -152,3 +153,32 @@ def test_rows_of_a_context_stand_side_by_side(spark):
     rows = spark.createDataFrame([(n, [n % 3]) for n in range(60)], "n bigint, context array<bigint>").coalesce(1)
     found = [r["context"][0] for r in features.sample_features(rows, ModelConfig()).collect()]
     assert found == sorted(found)
+
+
+@pytest.mark.parametrize("width", [1, 3])
+def test_joined_features_are_the_text_of_the_arrays(spark, width):
+    """Text and arrays come from the same run of equal contexts; partial windows have zeros."""
+    from wordloom.plans.registry import joined_reals
+
+    cfg = ModelConfig(embedding_size=6, window_size=width)
+    lines = lines_in_memory(spark, [" ".join("abacadbbcaab"[: n % 12]) for n in range(60)])
+    rows = samples.training_samples(lines, vocab.fit_vocab(lines), width).select("doc_id", "line_no", "k", "context")
+    arrays = features.sample_features(rows, cfg).withColumn("features", joined_reals("features"))
+    text = features.sample_features(rows, cfg, joined=True)
+    assert text.columns == arrays.columns and dict(text.dtypes)["features"] == "string"
+    found = sorted(map(str, text.collect()))
+    assert found == sorted(map(str, arrays.collect())) and any("mask=0" in r for r in found)
+    # By context in each partition, in the order of arrays.
+    for part in text.select("context").rdd.glom().collect():
+        assert [r["context"] for r in part] == sorted(r["context"] for r in part)
+
+
+def test_millionths_round_half_away_from_zero(spark):
+    from wordloom.operators.arrow import joined_millionths
+    from wordloom.plans.registry import joined_reals
+
+    values = np.array([[0.5e-6, -0.5e-6, 1.5e-6, -1.5e-6], [2.4999995, -2.4999996, 0.0, -0.0], [1e6, -1e6, 0.1, -0.3]])
+    table = spark.createDataFrame([(n, row) for n, row in enumerate(values.tolist())], "n int, v array<double>")
+    want = [r["t"] for r in table.select("n", joined_reals("v").alias("t")).orderBy("n").collect()]
+    assert joined_millionths(values).to_pylist() == want
+    assert want[0].split() == ["1", "-1", "2", "-2"]
