@@ -288,6 +288,16 @@ def test_one_pass_does_not_write_its_shards(rows, monkeypatch):
     assert sorted(map(str, log.collect())) == sorted(map(str, several.batch_log.where("epoch = 1").collect()))
 
 
+def test_a_pass_without_steps_reads_the_shards_alone(rows):
+    """The shuffle that deals them need not move contexts and labels, which only steps use."""
+    key = ["epoch", "shard", "batch_no", "total"]
+    sharded, counts = training.prepare(rows, SMALL)
+    flat = to_array(initial_model(rows.sparkSession, SMALL), SIZES)
+    alone = training.run_pass(sharded.select("shard"), flat, SMALL, 1, SIZES, counts["grid"], steps=False)
+    found = sorted(training.batch_rows(alone, 1).select(key).collect())
+    assert found == sorted(training.train_epoch(rows, SMALL).select(key).collect()) and len(found) > 3
+
+
 def test_token_vectors_are_kept_from_task_to_task(monkeypatch):
     ids, full = np.arange(40)[:, None], np.ones(40, dtype=bool)
     first = ContextFeatures(SMALL)(ids, full)
