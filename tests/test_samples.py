@@ -92,3 +92,18 @@ def test_places_of_windows_need_no_ids(spark, monkeypatch):
         assert sorted(samples.window_places(lines, width).collect()) == sorted(want.collect())
     plan = samples.window_places(lines, 1)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_a_pass_has_few_tasks_of_bounded_size(spark):
+    """Each task of a pass sends all parameters: shuffle partitions are not multiplied, and large runs get more tasks."""
+    cores, cfg = spark.sparkContext.defaultParallelism, ModelConfig()
+    assert samples.shard_tasks(spark, 5, cfg) == 5
+    assert samples.shard_tasks(spark, 1_000, cfg) == 8 * cores
+    assert samples.shard_tasks(spark, 100_000, cfg) == 2_000
+    assert samples.shard_tasks(spark, 1_000, ModelConfig(max_tasks=3)) == 3
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert samples.shard_tasks(spark, 1_000, cfg) == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
